@@ -181,15 +181,15 @@ register("sl8_enhanced_county_view", with_(SALES) + _GROWTH + f"""
 , stores AS (
   SELECT county, store_number, store_name, {money('sale_dollars')} AS store_sales, AVG(sales_growth) AS store_growth
   FROM b2 WHERE county IN (SELECT county FROM counties) GROUP BY 1, 2, 3)
-, s2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY county ORDER BY store_sales DESC, store_number, store_name) AS store_rank FROM stores)
+, s2 AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY county ORDER BY store_sales DESC, store_number, store_name) AS INTEGER) AS store_rank FROM stores)
 , s3 AS (SELECT *, MAX(store_sales) OVER (PARTITION BY county) AS max_store_sales FROM s2 WHERE store_rank <= 3)
 , products AS (
   SELECT b.county, b.store_number, b.store_name, b.item_description,
          {money('b.sale_dollars')} AS product_sales, AVG(b.profit_margin) AS avg_margin
   FROM b2 b JOIN s3 ON b.county = s3.county AND b.store_number = s3.store_number AND b.store_name = s3.store_name
   GROUP BY 1, 2, 3, 4)
-, p2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY county, store_number, store_name
-                                      ORDER BY product_sales DESC, item_description) AS product_rank FROM products)
+, p2 AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY county, store_number, store_name
+                                      ORDER BY product_sales DESC, item_description) AS INTEGER) AS product_rank FROM products)
 , p3 AS (SELECT *, MAX(product_sales) OVER (PARTITION BY county, store_number, store_name) AS max_product_sales
          FROM p2 WHERE product_rank <= 2)
 SELECT p3.county, p3.store_number, p3.store_name, s3.store_rank, p3.item_description, p3.product_rank,
@@ -224,7 +224,7 @@ register("h3_geo_hierarchy", with_(SALES) + f"""
 , counties AS (SELECT county, {money('sale_dollars')} AS county_sales FROM sales GROUP BY county
                ORDER BY county_sales DESC, county ASC NULLS LAST LIMIT 5)
 , cs AS (SELECT DISTINCT county, store_number FROM sales WHERE county IN (SELECT county FROM counties))
-, cs2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY county ORDER BY store_number) AS store_rank FROM cs)
+, cs2 AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY county ORDER BY store_number) AS INTEGER) AS store_rank FROM cs)
 , stores AS (SELECT * FROM cs2 WHERE store_rank <= 3)
 , names AS (SELECT store_number, store_name FROM (
       SELECT store_number, store_name,
@@ -240,3 +240,226 @@ SELECT s.county, c.county_sales, s.store_rank, s.store_number, n.store_name,
 FROM stores s JOIN counties c ON s.county = c.county
 LEFT JOIN names n ON s.store_number = n.store_number
 LEFT JOIN top t ON s.store_number = t.store_number""")
+
+
+# ------------------------------------------------------------------ funnel (F*, H1-H10, R2, A*)
+from flowlens.plans.funnel import CALL_LOOKUPS, CANONICAL_REASONS, DROP_STAGE_OF_COLUMN, REASON_PREFIXES  # noqa: E402
+from flowlens.sources.adapters import STAGES  # noqa: E402
+
+STAGE_DIM = "stages AS (SELECT * FROM (VALUES " + ", ".join(f"({q(s)}, {i + 1})" for i, s in enumerate(STAGES)) + ") t(stage, stage_order))"
+F1 = """per AS (SELECT lead_stage AS stage, COUNT(DISTINCT lead_id) AS leads FROM interactions
+            WHERE lead_stage IS NOT NULL GROUP BY 1),
+f1 AS (SELECT s.stage, s.stage_order, COALESCE(p.leads, 0) AS leads,
+              LAG(COALESCE(p.leads, 0)) OVER (ORDER BY s.stage_order) - COALESCE(p.leads, 0) AS dropped
+       FROM stages s LEFT JOIN per p ON s.stage = p.stage)"""
+
+
+def _canon(col: str) -> str:
+    out = col
+    for a, b in CANONICAL_REASONS.items():
+        out = f"CASE WHEN {out} = {q(a)} THEN {q(b)} ELSE {out} END"
+    return out
+
+
+def _melted(src: str, canon_cols: tuple[str, ...] = ()) -> str:
+    parts = []
+    for c in REASON_COLUMNS:
+        v = _canon(c) if c in canon_cols else c
+        parts.append(f"SELECT lead_id, {q(c)} AS reason_type, {v} AS reason FROM {src} WHERE {c} IS NOT NULL")
+    return "melted AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def _category(col: str) -> str:
+    out = col
+    for p in REASON_PREFIXES:
+        out = f"replace({out}, {q(p)}, '')"
+    out = f"replace({out}, '_', ' ')"
+    return f"upper(substr({out}, 1, 1)) || lower(substr({out}, 2))"
+
+
+COL_STAGE = "colstage AS (SELECT * FROM (VALUES " + ", ".join(f"({q(c)}, {q(s)})" for c, s in DROP_STAGE_OF_COLUMN.items()) + ") t(reason_type, stage))"
+F10 = f"""counts AS (SELECT reason_type, reason, COUNT(*) AS count FROM melted GROUP BY 1, 2),
+drops AS (SELECT c.reason_type, c.stage, f1.dropped FROM colstage c JOIN f1 ON c.stage = f1.stage WHERE f1.dropped IS NOT NULL),
+pcts AS (SELECT k.reason_type, d.stage, k.reason, k.count,
+                ROUND(CASE WHEN d.dropped > 0 THEN k.count / d.dropped * 100 ELSE 0.0 END, 6) AS pct,
+                CAST(ROW_NUMBER() OVER (PARTITION BY k.reason_type ORDER BY k.count DESC, k.reason) AS INTEGER) AS rank
+         FROM counts k LEFT JOIN drops d ON k.reason_type = d.reason_type)"""
+
+register("f1_distinct_funnel", with_(INTERACTIONS, STAGE_DIM, F1) + "SELECT * FROM f1")
+
+register("f2_row_funnel", with_(INTERACTIONS, LEADS, DEMO) + """
+, x AS (SELECT (SELECT COUNT(*) FROM leads) AS total_leads,
+               (SELECT COUNT(DISTINCT lead_gen_source) FROM leads) AS n_sources,
+               (SELECT COUNT(*) FROM demo) AS demo_watched,
+               (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'awareness') AS a,
+               (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'consideration') AS c,
+               (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'conversion') AS v)
+SELECT total_leads, n_sources, demo_watched, a AS lead_to_awareness, c AS awareness_to_consideration,
+       v AS consideration_to_conversion, total_leads - a AS dropout_after_lead, a - c AS dropout_after_awareness,
+       c - v AS dropout_after_consideration,
+       ROUND(a / NULLIF(total_leads, 0), 6) AS rate_awareness, ROUND(c / NULLIF(a, 0), 6) AS rate_consideration,
+       ROUND(v / NULLIF(c, 0), 6) AS rate_conversion, ROUND(v / NULLIF(total_leads, 0), 6) AS overall_rate
+FROM x""")
+
+register("f3_call_success", with_(INTERACTIONS, STAGE_DIM) + """
+, rate AS (SELECT lead_stage AS stage,
+                  AVG(CASE WHEN call_status = 'successful' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS success_rate
+           FROM interactions GROUP BY 1)
+SELECT s.stage, s.stage_order, COALESCE(ROUND(r.success_rate, 6), 0.0::DOUBLE) AS success_rate
+FROM stages s LEFT JOIN rate r ON s.stage = r.stage""")
+
+F4 = """f4 AS (SELECT stage, next_stage,
+              ROUND(CASE WHEN leads > 0 AND next_leads > 0 THEN next_leads / leads * 100 ELSE 0.0::DOUBLE END, 6) AS conversion_pct
+       FROM (SELECT stage, leads, LEAD(stage) OVER (ORDER BY stage_order) AS next_stage,
+                    LEAD(leads) OVER (ORDER BY stage_order) AS next_leads FROM f1) WHERE next_stage IS NOT NULL)"""
+register("f4_stage_conversion", with_(INTERACTIONS, STAGE_DIM, F1, F4) + "SELECT * FROM f4")
+
+register("f5_overall_dropoff", with_(INTERACTIONS) + """
+SELECT COUNT(DISTINCT lead_id) AS total_leads,
+       COUNT(DISTINCT CASE WHEN lead_stage = 'conversion' THEN lead_id END) AS converted_leads,
+       COUNT(DISTINCT lead_id) - COUNT(DISTINCT CASE WHEN lead_stage = 'conversion' THEN lead_id END) AS drop_offs
+FROM interactions""")
+
+register("f6_demo_insight", with_(INTERACTIONS, DEMO) + """
+, d AS (SELECT COUNT(DISTINCT lead_id) AS demo_watched_count, ROUND(AVG(watched_percentage), 6) AS avg_watch_percentage,
+               (SELECT language FROM demo WHERE language IS NOT NULL GROUP BY language
+                ORDER BY COUNT(*) DESC, language LIMIT 1) AS top_demo_language FROM demo)
+, a AS (SELECT COUNT(DISTINCT CASE WHEN lead_stage = 'awareness' THEN lead_id END) AS awareness_leads FROM interactions)
+SELECT d.demo_watched_count,
+       ROUND(CASE WHEN a.awareness_leads > 0 THEN d.demo_watched_count / a.awareness_leads * 100 ELSE 0.0::DOUBLE END, 6) AS demo_attendance_rate,
+       d.avg_watch_percentage, d.top_demo_language
+FROM d, a""")
+
+register("f7_demo_influence", with_(INTERACTIONS, DEMO) + """
+, w AS (SELECT COUNT(DISTINCT lead_id) AS demo_watched_counts FROM demo)
+, c AS (SELECT COUNT(DISTINCT CASE WHEN lead_stage = 'consideration' THEN lead_id END) AS n FROM interactions)
+SELECT w.demo_watched_counts,
+       ROUND(CASE WHEN w.demo_watched_counts > 0 THEN c.n / w.demo_watched_counts * 100 ELSE 0.0::DOUBLE END, 6) AS demo_conversion_rate
+FROM w, c""")
+
+register("f8_source_breakdown", with_(LEADS) + """
+SELECT lead_gen_source, COUNT(*) AS count,
+       ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, lead_gen_source) = 1 AS is_top
+FROM leads WHERE lead_gen_source IS NOT NULL GROUP BY 1""")
+
+register("f9_reasons_by_category", with_(NO_INTEREST, _melted("no_interest", (REASON_COLUMNS[0],))) + f"""
+SELECT reason_type, reason, COUNT(*) AS count, {_category('reason_type')} AS category
+FROM melted GROUP BY 1, 2""")
+
+register("f10_reasons_pct_of_drop", with_(INTERACTIONS, NO_INTEREST, STAGE_DIM, F1, COL_STAGE, _melted("no_interest"), F10) + """
+SELECT reason_type, stage, reason, count, pct, rank FROM pcts WHERE rank <= 3""")
+
+register("h10_reason_nodes", with_(INTERACTIONS, NO_INTEREST, STAGE_DIM, F1, COL_STAGE, _melted("no_interest"), F10) + """
+SELECT concat_ws('_', stage, 'reason', CAST(rank AS VARCHAR)) AS node_id, reason_type, reason, count, pct FROM pcts""")
+
+register("f11_reasons_all_stages", with_(NO_INTEREST, _melted("no_interest")) + """
+SELECT reason, COUNT(*) AS count FROM melted GROUP BY 1""")
+
+register("p5_reasons_canonical", with_(NO_INTEREST, _melted("no_interest", tuple(REASON_COLUMNS))) + """
+SELECT reason, COUNT(*) AS count FROM melted GROUP BY 1""")
+
+register("f12_top_reason", with_(NO_INTEREST, _melted("no_interest")) + f"""
+, req AS (SELECT * FROM (VALUES {", ".join(f"({q(c)})" for c in REASON_COLUMNS)}) t(reason_type))
+, counts AS (SELECT reason_type, reason, COUNT(*) AS count FROM melted GROUP BY 1, 2)
+, top AS (SELECT reason_type, reason FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY reason_type ORDER BY count DESC, reason) AS rn
+                                           FROM counts) WHERE rn = 1)
+SELECT r.reason_type, COALESCE(t.reason, 'N/A') AS top_reason FROM req r LEFT JOIN top t ON r.reason_type = t.reason_type""")
+
+_ALL_CALL_REASONS = sorted({r for pair in CALL_REASONS.values() for r in pair})
+register("r2_stage_reason_crosstab", with_(INTERACTIONS) + "SELECT lead_stage AS stage, " + ", ".join(
+    f"COUNT(*) FILTER (WHERE call_reason = {q(r)}) AS {r}" for r in _ALL_CALL_REASONS) + " FROM interactions GROUP BY 1")
+
+register("f13_call_patterns", with_(INTERACTIONS) + "SELECT " + ", ".join(
+    f"COUNT(*) FILTER (WHERE lead_stage = {q(s)} AND call_reason = {q(r)}) AS {n}" for n, s, r in CALL_LOOKUPS) + " FROM interactions")
+
+register("f14_stage_summary", with_(INTERACTIONS, STAGE_DIM, F1, F4) + """
+, succ AS (SELECT lead_stage AS stage,
+                  ROUND(AVG(CASE WHEN call_status = 'successful' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 6) AS success_rate
+           FROM interactions GROUP BY 1)
+, gap AS (SELECT lead_stage AS stage,
+                 CAST(CASE WHEN COUNT(call_done_date) >= 2
+                           THEN floor(datediff('day', MIN(call_done_date), MAX(call_done_date)) / (COUNT(call_done_date) - 1))
+                           ELSE 0 END AS BIGINT) AS avg_days
+          FROM interactions GROUP BY 1)
+SELECT f1.stage, f1.stage_order, f1.leads, COALESCE(f4.conversion_pct, 0.0::DOUBLE) AS conversion_pct,
+       COALESCE(s.success_rate, 0.0::DOUBLE) AS success_rate, COALESCE(g.avg_days, 0) AS avg_days
+FROM f1 LEFT JOIN f4 ON f1.stage = f4.stage LEFT JOIN succ s ON f1.stage = s.stage LEFT JOIN gap g ON f1.stage = g.stage""")
+
+register("f15_manager_workload", with_(MANAGERS) + """
+SELECT ROUND(AVG(n), 6) AS avg_cycles FROM (SELECT jnr_sm_id, COUNT(DISTINCT cycle) AS n FROM managers
+                                            WHERE jnr_sm_id IS NOT NULL GROUP BY 1)""")
+
+_F16_NODES = ["Lead", "Awareness (Demo Video)", "Consideration", "Conversion"]
+register("f16_decision_funnel_edges", with_(INTERACTIONS, NO_INTEREST, STAGE_DIM, F1, _melted("no_interest")) + f"""
+, nodes AS (SELECT node, stage_order, lower(split_part(trim(node), ' ', 1)) AS stage
+            FROM (VALUES {", ".join(f"({q(n)}, {i + 1})" for i, n in enumerate(_F16_NODES))}) t(node, stage_order))
+, sn AS (SELECT n.node, n.stage_order, f1.leads FROM nodes n LEFT JOIN f1 ON n.stage = f1.stage)
+SELECT * FROM (SELECT node AS src, LEAD(node) OVER (ORDER BY stage_order) AS dst, 'yes' AS kind, leads FROM sn) WHERE dst IS NOT NULL
+UNION ALL SELECT node, 'Drop ' || CAST(stage_order AS VARCHAR), 'no', CAST(NULL AS BIGINT) FROM sn
+UNION ALL SELECT 'Drop 1', 'Drop-off: ' || reason, 'reason', COUNT(*) FROM melted GROUP BY reason""")
+
+register("f17_success_failure_leads", with_(INTERACTIONS) + """
+SELECT lead_stage AS stage, call_status, COUNT(DISTINCT lead_id) AS leads FROM interactions GROUP BY 1, 2""")
+
+register("f18_language_distribution", with_(DEMO) + """
+SELECT language, COUNT(*) AS count FROM demo WHERE language IS NOT NULL GROUP BY 1""")
+
+register("a24_reason_text", with_(INTERACTIONS, NO_INTEREST, STAGE_DIM, F1, COL_STAGE, _melted("no_interest"), F10) + """
+SELECT reason_type, string_agg(printf('- %s (%d leads, %.1f%%)', reason, count, ROUND(pct, 1)), chr(10) ORDER BY rank) AS text
+FROM pcts WHERE rank <= 3 GROUP BY reason_type""")
+
+register("f19_reason_names", with_(NO_INTEREST, _melted("no_interest")) + """
+, counts AS (SELECT reason_type, reason, COUNT(*) AS count FROM melted GROUP BY 1, 2)
+, r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY reason_type ORDER BY count DESC, reason) AS rank FROM counts)
+SELECT reason_type,
+       string_agg(CASE WHEN rank <= 3 THEN '- ' || reason END, chr(10) ORDER BY rank)
+         || CASE WHEN MAX(rank) > 3 THEN chr(10) || '- ...' ELSE '' END AS text
+FROM r GROUP BY reason_type""")
+
+register("h9_flow_graph_edges", with_(INTERACTIONS, LEADS, DEMO, NO_INTEREST, _melted("no_interest", (REASON_COLUMNS[0],))) + f"""
+, x AS (SELECT (SELECT COUNT(*) FROM leads) AS t,
+               (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'awareness') AS a,
+               (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'consideration') AS c,
+               (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'conversion') AS v)
+, cp AS (SELECT {", ".join(f"COUNT(*) FILTER (WHERE lead_stage = {q(s)} AND call_reason = {q(r)}) AS {n}" for n, s, r in CALL_LOOKUPS)} FROM interactions)
+SELECT 'Lead' AS src, 'Awareness' AS dst, 'main' AS cluster, a AS value, ROUND(a / NULLIF(t, 0), 6) AS pct FROM x
+UNION ALL SELECT 'Awareness', 'Consideration', 'main', c, ROUND(c / NULLIF(a, 0), 6) FROM x
+UNION ALL SELECT 'Consideration', 'Conversion', 'main', v, ROUND(v / NULLIF(c, 0), 6) FROM x
+UNION ALL SELECT 'Lead', 'Dropout1', 'dropout', t - a, ROUND((t - a) / NULLIF(t, 0), 6) FROM x
+UNION ALL SELECT 'Awareness', 'Dropout2', 'dropout', a - c, ROUND((a - c) / NULLIF(a, 0), 6) FROM x
+UNION ALL SELECT 'Consideration', 'Dropout3', 'dropout', c - v, ROUND((c - v) / NULLIF(c, 0), 6) FROM x
+UNION ALL SELECT {_category('reason_type')} || '_header', concat_ws('_', {_category('reason_type')}, reason), 'reasons', COUNT(*), CAST(NULL AS DOUBLE)
+          FROM melted GROUP BY reason_type, reason
+UNION ALL SELECT 'Start', 'Intro', 'calls', intro_calls, CAST(NULL AS DOUBLE) FROM cp
+UNION ALL SELECT 'Intro', 'Demo', 'calls', demo_scheduled_calls, CAST(NULL AS DOUBLE) FROM cp
+UNION ALL SELECT 'Demo', 'Followup', 'calls', followup_calls, CAST(NULL AS DOUBLE) FROM cp
+UNION ALL SELECT 'Followup', 'ConversionCall', 'calls', converted_calls, CAST(NULL AS DOUBLE) FROM cp
+UNION ALL SELECT 'Lead', 'Start', 'link', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE)
+UNION ALL SELECT 'ConversionCall', 'Conversion', 'link', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE)""")
+
+register("h1_hierarchy_edges", with_(MANAGERS) + """
+SELECT DISTINCT snr_sm_id AS src, jnr_sm_id AS dst, 1 AS level FROM managers
+UNION ALL SELECT jnr_sm_id, CAST(lead_id AS VARCHAR), 2 FROM managers""")
+
+register("h2_hierarchy_nodes", with_(MANAGERS) + """
+SELECT DISTINCT node, kind FROM (
+  SELECT snr_sm_id AS node, 'senior' AS kind FROM managers
+  UNION ALL SELECT jnr_sm_id, 'junior' FROM managers
+  UNION ALL SELECT CAST(lead_id AS VARCHAR), 'lead' FROM managers)""")
+
+register("h6_edge_stats", with_(EDGES) + """
+SELECT (SELECT COUNT(*) FROM edges) AS n_edges,
+       (SELECT COUNT(*) FROM (SELECT node1 AS node FROM edges UNION SELECT node2 FROM edges)) AS n_nodes""")
+
+register("h8_interaction_network", with_(MANAGERS, INTERACTIONS) + """
+SELECT m.jnr_sm_id, m.lead_id, COUNT(*) AS n_interactions
+FROM managers m JOIN interactions i ON m.lead_id = i.lead_id GROUP BY 1, 2""")
+
+register("a1_row_counts", with_(INTERACTIONS, LEADS, DEMO, MANAGERS) + """
+SELECT (SELECT COUNT(*) FROM interactions) AS interaction_rows, (SELECT COUNT(*) FROM leads) AS lead_rows,
+       (SELECT COUNT(*) FROM demo) AS demo_rows, (SELECT COUNT(*) FROM managers) AS manager_rows""")
+
+register("a2_distinct_counts", with_(INTERACTIONS, LEADS, DEMO) + """
+SELECT (SELECT COUNT(DISTINCT lead_id) FROM interactions) AS distinct_leads,
+       (SELECT COUNT(DISTINCT lead_gen_source) FROM leads) AS distinct_sources,
+       (SELECT COUNT(DISTINCT language) FROM demo) AS distinct_languages""")

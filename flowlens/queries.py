@@ -114,3 +114,171 @@ def a20_date_range(spark, d):
 def h3_geo_hierarchy(spark, d):
     return S.geo_hierarchy(A.sales_view(spark, d, ["county", "store_number", "store_name", "item_description",
                                                    "sale_dollars", "date", "invoice_and_item_number"]))
+
+
+# ------------------------------------------------------------------ funnel
+from flowlens.plans import funnel as FN  # noqa: E402
+from flowlens.plans import hierarchy as HR  # noqa: E402
+
+
+@query("f1_distinct_funnel")
+def f1_distinct_funnel(spark, d):
+    return FN.distinct_funnel(spark, A.interactions_view(spark, d))
+
+
+@query("f2_row_funnel")
+def f2_row_funnel(spark, d):
+    return FN.row_funnel(A.leads_view(spark, d), A.demo_view(spark, d), A.interactions_view(spark, d))
+
+
+@query("f3_call_success")
+def f3_call_success(spark, d):
+    return FN.call_success(spark, A.interactions_view(spark, d))
+
+
+@query("f4_stage_conversion")
+def f4_stage_conversion(spark, d):
+    return FN.stage_conversion(spark, A.interactions_view(spark, d))
+
+
+@query("f5_overall_dropoff")
+def f5_overall_dropoff(spark, d):
+    return FN.overall_dropoff(A.interactions_view(spark, d))
+
+
+@query("f6_demo_insight")
+def f6_demo_insight(spark, d):
+    return FN.demo_insight(A.demo_view(spark, d), A.interactions_view(spark, d))
+
+
+@query("f7_demo_influence")
+def f7_demo_influence(spark, d):
+    return FN.demo_influence(A.demo_view(spark, d), A.interactions_view(spark, d))
+
+
+@query("f8_source_breakdown")
+def f8_source_breakdown(spark, d):
+    return FN.source_breakdown(A.leads_view(spark, d))
+
+
+@query("f9_reasons_by_category")
+def f9_reasons_by_category(spark, d):
+    return FN.reasons_by_category(A.no_interest_view(spark, d))
+
+
+@query("f10_reasons_pct_of_drop")
+def f10_reasons_pct_of_drop(spark, d):
+    return FN.reasons_pct_of_drop(spark, A.no_interest_view(spark, d), A.interactions_view(spark, d), 3)
+
+
+@query("h10_reason_nodes")
+def h10_reason_nodes(spark, d):
+    r = FN.reasons_pct_of_drop(spark, A.no_interest_view(spark, d), A.interactions_view(spark, d), None)
+    return r.select(F.concat_ws("_", "stage", F.lit("reason"), F.col("rank").cast("string")).alias("node_id"),
+                    "reason_type", "reason", "count", "pct")
+
+
+@query("f11_reasons_all_stages")
+def f11_reasons_all_stages(spark, d):
+    return FN.reasons_all_stages(A.no_interest_view(spark, d))
+
+
+@query("p5_reasons_canonical")
+def p5_reasons_canonical(spark, d):
+    return FN.reasons_all_stages(A.no_interest_view(spark, d), canonical=True)
+
+
+@query("f12_top_reason")
+def f12_top_reason(spark, d):
+    return FN.top_reason(spark, A.no_interest_view(spark, d))
+
+
+@query("r2_stage_reason_crosstab")
+def r2_stage_reason_crosstab(spark, d):
+    return FN.stage_reason_crosstab(A.interactions_view(spark, d))
+
+
+@query("f13_call_patterns")
+def f13_call_patterns(spark, d):
+    return FN.call_patterns(A.interactions_view(spark, d))
+
+
+@query("f14_stage_summary")
+def f14_stage_summary(spark, d):
+    return FN.stage_summary(spark, A.interactions_view(spark, d))
+
+
+@query("f15_manager_workload")
+def f15_manager_workload(spark, d):
+    return FN.manager_workload(A.managers_view(spark, d))
+
+
+@query("f16_decision_funnel_edges")
+def f16_decision_funnel_edges(spark, d):
+    return FN.decision_funnel_edges(spark, A.interactions_view(spark, d), A.no_interest_view(spark, d))
+
+
+@query("f17_success_failure_leads")
+def f17_success_failure_leads(spark, d):
+    return FN.success_failure_leads(A.interactions_view(spark, d))
+
+
+@query("f18_language_distribution")
+def f18_language_distribution(spark, d):
+    return FN.language_distribution(A.demo_view(spark, d))
+
+
+@query("a24_reason_text")
+def a24_reason_text(spark, d):
+    return FN.reason_text(spark, A.no_interest_view(spark, d), A.interactions_view(spark, d), 3)
+
+
+@query("f19_reason_names")
+def f19_reason_names(spark, d):
+    return FN.reason_names(A.no_interest_view(spark, d), 3)
+
+
+@query("h9_flow_graph_edges")
+def h9_flow_graph_edges(spark, d):
+    return FN.flow_graph_edges(spark, A.leads_view(spark, d), A.demo_view(spark, d),
+                               A.interactions_view(spark, d), A.no_interest_view(spark, d))
+
+
+@query("h1_hierarchy_edges")
+def h1_hierarchy_edges(spark, d):
+    return HR.hierarchy_edges(A.managers_view(spark, d))
+
+
+@query("h2_hierarchy_nodes")
+def h2_hierarchy_nodes(spark, d):
+    return HR.hierarchy_nodes(A.managers_view(spark, d))
+
+
+@query("h6_edge_stats")
+def h6_edge_stats(spark, d):
+    return HR.edge_stats(A.edges_view(spark, d))
+
+
+@query("h8_interaction_network")
+def h8_interaction_network(spark, d):
+    return HR.interaction_network(A.managers_view(spark, d), A.interactions_view(spark, d))
+
+
+@query("a1_row_counts")
+def a1_row_counts(spark, d):
+    parts = [A.interactions_view(spark, d).agg(F.count(F.lit(1)).alias("interaction_rows")),
+             A.leads_view(spark, d).agg(F.count(F.lit(1)).alias("lead_rows")),
+             A.demo_view(spark, d).agg(F.count(F.lit(1)).alias("demo_rows")),
+             A.managers_view(spark, d).agg(F.count(F.lit(1)).alias("manager_rows"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, how="cross")  # one-row aggregates
+    return out
+
+
+@query("a2_distinct_counts")
+def a2_distinct_counts(spark, d):
+    i = A.interactions_view(spark, d).agg(F.count_distinct("lead_id").alias("distinct_leads"))
+    s = A.leads_view(spark, d).agg(F.count_distinct("lead_gen_source").alias("distinct_sources"))
+    m = A.demo_view(spark, d).agg(F.count_distinct("language").alias("distinct_languages"))
+    return i.join(s, how="cross").join(m, how="cross")  # one-row aggregates
