@@ -463,3 +463,214 @@ register("a2_distinct_counts", with_(INTERACTIONS, LEADS, DEMO) + """
 SELECT (SELECT COUNT(DISTINCT lead_id) FROM interactions) AS distinct_leads,
        (SELECT COUNT(DISTINCT lead_gen_source) FROM leads) AS distinct_sources,
        (SELECT COUNT(DISTINCT language) FROM demo) AS distinct_languages""")
+
+
+# ------------------------------------------------------------------ sampling, scaling, models, evaluation
+from flowlens.linear_sql import gd_sql  # noqa: E402
+from flowlens.plans.fraud import FIXED_WEIGHTS, SEED, TEST_SIZE  # noqa: E402
+from flowlens.sources.adapters import FRAUD_FEATURES  # noqa: E402
+
+FEAT = FRAUD_FEATURES
+UNIT = "(('0x' || substr({h}, 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+def hkey(seed, *cols: str) -> str:
+    return "md5(concat_ws('|', " + ", ".join([q(str(seed))] + [f"CAST({c} AS VARCHAR)" for c in cols]) + "))"
+
+
+TRAIN_FRACTION = f"CAST({1.0 - TEST_SIZE!r} AS DOUBLE)"
+SPLIT = f"""flagged AS (
+  SELECT * EXCLUDE (rn, nc, h), rn <= floor(nc * {TRAIN_FRACTION}) AS is_train FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY h) AS rn, COUNT(*) OVER (PARTITION BY label) AS nc
+    FROM (SELECT *, {hkey(SEED, 'row_id')} AS h FROM labelled)))"""
+STATS = "stats AS (SELECT " + ", ".join(
+    f"AVG({c}) AS mean_{c}, CASE WHEN STDDEV_POP({c}) = 0 THEN 1.0::DOUBLE ELSE STDDEV_POP({c}) END AS std_{c}" for c in FEAT
+) + " FROM flagged WHERE is_train)"
+SCALED = "scaled AS (SELECT row_id, label, is_train, " + ", ".join(
+    f"(f.{c} - s.mean_{c}) / s.std_{c} AS {c}" for c in FEAT) + " FROM flagged f, stats s)"
+
+
+def _logit(w, alias="t") -> str:
+    z = f"{float(w[0])!r}::DOUBLE"
+    for wi, c in zip(w[1:], FEAT):
+        z = f"({z} + {float(wi)!r}::DOUBLE * {alias}.{c})"
+    return z
+
+
+PROB = f"1.0::DOUBLE / (1.0::DOUBLE + exp(-({_logit(FIXED_WEIGHTS)})))"
+SCORED = f"""scored AS (SELECT t.row_id, t.label, {PROB} AS probability FROM scaled t WHERE NOT t.is_train),
+scored2 AS (SELECT *, CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction FROM scored)"""
+FRAUD_BASE = (LABELLED, SPLIT, STATS, SCALED, SCORED)
+
+
+def _metrics(tp="tp", fp="fp", tn="tn", fn="fn") -> str:
+    prec = f"CASE WHEN {tp} + {fp} > 0 THEN {tp} / ({tp} + {fp}) ELSE 0.0::DOUBLE END"
+    rec = f"CASE WHEN {tp} + {fn} > 0 THEN {tp} / ({tp} + {fn}) ELSE 0.0::DOUBLE END"
+    f1 = f"CASE WHEN ({prec}) + ({rec}) > 0 THEN 2.0::DOUBLE * ({prec}) * ({rec}) / (({prec}) + ({rec})) ELSE 0.0::DOUBLE END"
+    acc = f"CASE WHEN {tp} + {fp} + {tn} + {fn} > 0 THEN ({tp} + {tn}) / ({tp} + {fp} + {tn} + {fn}) ELSE 0.0::DOUBLE END"
+    return f"ROUND({acc}, 6) AS accuracy, ROUND({prec}, 6) AS precision, ROUND({rec}, 6) AS recall, ROUND({f1}, 6) AS f1"
+
+
+register("m1_random_split", with_(LABELLED) + f"""
+SELECT row_id, label, rn <= floor(n * CAST(0.8 AS DOUBLE)) AS is_train FROM (
+  SELECT row_id, label, ROW_NUMBER() OVER (ORDER BY h) AS rn, COUNT(*) OVER () AS n
+  FROM (SELECT row_id, label, {hkey(SEED, 'row_id')} AS h FROM labelled))""")
+
+register("m2_stratified_split", with_(LABELLED, SPLIT) + "SELECT row_id, label, is_train FROM flagged")
+
+register("m4_sample_n_per_class", with_(LABELLED) + f"""
+SELECT row_id, label FROM (
+  SELECT row_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {hkey(SEED, 'row_id')}) AS rn FROM labelled)
+WHERE rn <= 100""")
+
+register("h7_edge_sample", with_(EDGES) + f"""
+SELECT node1, node2 FROM (SELECT node1, node2, ROW_NUMBER() OVER (ORDER BY {hkey(SEED, 'node1', 'node2')}) AS rn FROM edges)
+WHERE rn <= 30""")
+
+register("m5_fraction_sample", with_(LABELLED) + f"""
+SELECT row_id, label FROM labelled WHERE {UNIT.format(h=hkey(SEED, 'row_id'))} < 0.1::DOUBLE""")
+
+register("m6_undersample_to_minority", with_(EMBEDDED) + f"""
+, c AS (SELECT label, COUNT(*) AS n FROM embedded GROUP BY label)
+, mm AS (SELECT MIN(n) AS mn, MAX(n) AS mx, (SELECT label FROM c ORDER BY n, label LIMIT 1) AS minority FROM c)
+SELECT e.vec_id, e.label FROM embedded e, mm
+WHERE e.label = mm.minority OR {UNIT.format(h=hkey(SEED, 'e.vec_id'))} < mm.mn / mm.mx""")
+
+
+def _under(ratio: float) -> str:
+    return with_(EMBEDDED) + f"""
+, nmin AS (SELECT floor(COUNT(*) / CAST({ratio!r} AS DOUBLE)) AS n FROM embedded WHERE label = 1)
+, maj AS (SELECT vec_id, label, ROW_NUMBER() OVER (ORDER BY {hkey(SEED, 'vec_id')}) AS rn FROM embedded WHERE label = 0)
+SELECT vec_id, label FROM embedded WHERE label = 1
+UNION ALL SELECT vec_id, label FROM maj, nmin WHERE rn <= nmin.n"""
+
+
+register("m7_undersample_ratio", _under(0.5))
+register("m8_undersample_one_to_one", _under(1.0))
+
+register("m15_balanced_weights", with_(LABELLED) + """
+, c AS (SELECT label, COUNT(*) AS nc FROM labelled GROUP BY label)
+, t AS (SELECT SUM(nc) AS n FROM c)
+SELECT c.label, ROUND(t.n / (2.0::DOUBLE * c.nc), 6) AS weight, c.nc AS count FROM c, t""")
+
+register("m16_class_counts", with_(EMBEDDED) + """
+SELECT label, COUNT(*) AS count, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS share FROM embedded GROUP BY label""")
+
+register("m17_curated_subset", with_(LABELLED) + f"""
+, head AS (SELECT row_id, label FROM (
+    SELECT row_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {hkey('head', 'row_id')}) AS rn FROM labelled)
+  WHERE (label = 0 AND rn <= 2000) OR (label = 1 AND rn <= 200))
+SELECT row_id, label FROM (
+  SELECT row_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {hkey(SEED, 'row_id')}) AS rn FROM head)
+WHERE (label = 0 AND rn <= 98) OR (label = 1 AND rn <= 2)""")
+
+register("a21_moments", with_(LABELLED) + "SELECT " + ", ".join(
+    f"ROUND(AVG({c}), 6) AS mean_{c}, ROUND(STDDEV_POP({c}), 6) AS std_{c}" for c in FEAT) + " FROM labelled")
+
+
+def _std_all(cols, extra="") -> str:
+    st = "st AS (SELECT " + ", ".join(
+        f"AVG({c}) AS mean_{c}, CASE WHEN STDDEV_POP({c}) = 0 THEN 1.0::DOUBLE ELSE STDDEV_POP({c}) END AS std_{c}" for c in cols
+    ) + " FROM labelled)"
+    return with_(LABELLED, st) + "SELECT row_id" + extra + ", " + ", ".join(
+        f"ROUND((l.{c} - st.mean_{c}) / st.std_{c}, 6) AS {c}" for c in cols) + " FROM labelled l, st"
+
+
+register("m10_standardize_one", _std_all(["l_extendedprice"]))
+register("m12_standardize_all", _std_all(FEAT))
+register("m13_amount_then_intercept", _std_all(["l_extendedprice"], ", 1.0::DOUBLE AS intercept, label"))
+
+register("m11_scale_test_with_train", with_(LABELLED, SPLIT, STATS, SCALED) + "SELECT row_id, " + ", ".join(
+    f"ROUND({c}, 6) AS {c}" for c in FEAT) + " FROM scaled WHERE NOT is_train")
+
+register("t1_scores", with_(*FRAUD_BASE) + "SELECT row_id, label, ROUND(probability, 6) AS probability, prediction FROM scored2")
+
+register("t8_log_loss", with_(*FRAUD_BASE) + """
+SELECT ROUND(AVG(-label * ln(LEAST(GREATEST(probability, 1e-15::DOUBLE), 1.0::DOUBLE - 1e-15::DOUBLE))
+             - (1.0::DOUBLE - label) * ln(1.0::DOUBLE - LEAST(GREATEST(probability, 1e-15::DOUBLE), 1.0::DOUBLE - 1e-15::DOUBLE))), 6) AS log_loss
+FROM scored""")
+
+register("e1_confusion", with_(*FRAUD_BASE) + """
+, c AS (SELECT COUNT(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, COUNT(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+               COUNT(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn, COUNT(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn
+        FROM scored2)
+SELECT tp, fp, tn, fn, """ + _metrics() + " FROM c")
+
+
+def _thr_sql(ts) -> str:
+    vals = ", ".join(f"({float(t)!r}::DOUBLE)" for t in ts)
+    return f"""
+, th AS (SELECT * FROM (VALUES {vals}) v(threshold))
+, c AS (SELECT th.threshold,
+               COUNT(*) FILTER (WHERE s.label = 1 AND s.probability >= th.threshold) AS tp,
+               COUNT(*) FILTER (WHERE s.label = 0 AND s.probability >= th.threshold) AS fp,
+               COUNT(*) FILTER (WHERE s.label = 0 AND s.probability < th.threshold) AS tn,
+               COUNT(*) FILTER (WHERE s.label = 1 AND s.probability < th.threshold) AS fn
+        FROM th, scored s GROUP BY th.threshold)
+, m AS (SELECT threshold, tp, fp, tn, fn, {_metrics()} FROM c)"""
+
+
+register("e3_threshold_metrics", with_(*FRAUD_BASE) + _thr_sql([0.3, 0.5, 0.7]) + " SELECT * FROM m")
+
+_GRID = [0.1 + i * 0.01 for i in range(40)]
+register("e7_grid_threshold", with_(*FRAUD_BASE) + _thr_sql(_GRID) + """
+, best AS (SELECT threshold, f1 FROM m WHERE f1 > 0 ORDER BY f1 DESC, threshold ASC LIMIT 1)
+SELECT COALESCE((SELECT threshold FROM best), 0.5::DOUBLE) AS best_threshold,
+       COALESCE((SELECT f1 FROM best), 0.0::DOUBLE) AS best_f1""")
+
+SCORE_COUNTS = """sc AS (SELECT ROUND(probability, 6) AS score, COUNT(*) FILTER (WHERE label = 1) AS pos,
+                           COUNT(*) FILTER (WHERE label = 0) AS neg FROM scored GROUP BY 1),
+cum AS (SELECT *, COALESCE(SUM(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_pos,
+                  COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_neg FROM sc)"""
+
+register("e4_roc_auc", with_(*FRAUD_BASE, SCORE_COUNTS) + """
+SELECT ROUND(SUM(pos * (cum_neg + neg / 2.0::DOUBLE)) / (SUM(pos) * SUM(neg)), 6) AS auc FROM cum""")
+
+PR = """pr AS (
+  SELECT c.score AS threshold, CAST(t.P - c.cum_pos AS BIGINT) AS tp, CAST(t.N - c.cum_neg AS BIGINT) AS fp,
+         ROUND(CASE WHEN (t.P - c.cum_pos) + (t.N - c.cum_neg) > 0
+                    THEN (t.P - c.cum_pos) / ((t.P - c.cum_pos) + (t.N - c.cum_neg)) ELSE 0.0::DOUBLE END, 6) AS precision,
+         ROUND(CASE WHEN t.P > 0 THEN (t.P - c.cum_pos) / t.P ELSE 0.0::DOUBLE END, 6) AS recall
+  FROM cum c, (SELECT SUM(pos) AS P, SUM(neg) AS N FROM sc) t
+  WHERE c.score >= (SELECT MIN(score) FROM sc WHERE pos > 0))"""
+
+register("e5_pr_curve", with_(*FRAUD_BASE, SCORE_COUNTS, PR) + "SELECT * FROM pr")
+
+register("e6_best_f1_threshold", with_(*FRAUD_BASE, SCORE_COUNTS, PR) + """
+SELECT threshold AS best_threshold, precision, recall,
+       ROUND(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0::DOUBLE END, 6) AS f1
+FROM pr ORDER BY f1 DESC, threshold ASC LIMIT 1""")
+
+
+def _prf(tp, fp, fn):
+    pr = f"CASE WHEN {tp} + {fp} > 0 THEN {tp} / ({tp} + {fp}) ELSE 0.0::DOUBLE END"
+    rc = f"CASE WHEN {tp} + {fn} > 0 THEN {tp} / ({tp} + {fn}) ELSE 0.0::DOUBLE END"
+    f = f"CASE WHEN ({pr}) + ({rc}) > 0 THEN 2 * ({pr}) * ({rc}) / (({pr}) + ({rc})) ELSE 0.0::DOUBLE END"
+    return pr, rc, f
+
+
+_p1, _r1, _f1 = _prf("tp", "fp", "fn")
+_p0, _r0, _f0 = _prf("tn", "fn", "fp")
+register("e8_classification_report", with_(*FRAUD_BASE) + f"""
+, c AS (SELECT COUNT(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, COUNT(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+               COUNT(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn, COUNT(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn
+        FROM scored2)
+, v AS (SELECT {_p0} AS p0, {_r0} AS r0, {_f0} AS f0, {_p1} AS p1, {_r1} AS r1, {_f1} AS f1,
+               tn + fp AS s0, tp + fn AS s1, tp + fp + tn + fn AS n, (tp + tn) / (tp + fp + tn + fn) AS acc FROM c)
+SELECT '0' AS class, ROUND(p0, 6) AS precision, ROUND(r0, 6) AS recall, ROUND(f0, 6) AS f1, CAST(s0 AS BIGINT) AS support FROM v
+UNION ALL SELECT '1', ROUND(p1, 6), ROUND(r1, 6), ROUND(f1, 6), CAST(s1 AS BIGINT) FROM v
+UNION ALL SELECT 'accuracy', ROUND(acc, 6), ROUND(acc, 6), ROUND(acc, 6), CAST(n AS BIGINT) FROM v
+UNION ALL SELECT 'macro avg', ROUND((p0 + p1) / 2, 6), ROUND((r0 + r1) / 2, 6), ROUND((f0 + f1) / 2, 6), CAST(n AS BIGINT) FROM v
+UNION ALL SELECT 'weighted avg', ROUND((p0 * s0 + p1 * s1) / n, 6), ROUND((r0 * s0 + r1 * s1) / n, 6),
+                 ROUND((f0 * s0 + f1 * s1) / n, 6), CAST(n AS BIGINT) FROM v""")
+
+TRAIN = "train AS (SELECT * FROM scaled WHERE is_train)"
+register("t2_gd_mean", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3))
+register("t3_gd_l2_all", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3, l2=0.1, l2_bias=True))
+register("t4_gd_l2_bias_free", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3, l2=0.01, clip_z=20.0))
+register("t5_gd_summed", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 1e-5, 3, mean=False))
+TRAIN_W = """trainw AS (SELECT t.*, n.n / (2.0::DOUBLE * c.nc) AS sw FROM scaled t
+  JOIN (SELECT label, COUNT(*) AS nc FROM scaled WHERE is_train GROUP BY label) c ON t.label = c.label,
+  (SELECT COUNT(*) AS n FROM scaled WHERE is_train) n WHERE t.is_train)"""
+register("t6_gd_weighted", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN_W) + gd_sql(FEAT, 0.1, 3, weight="sw", train="trainw"))
+register("t13_coefficients", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3, as_table=True))

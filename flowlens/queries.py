@@ -282,3 +282,204 @@ def a2_distinct_counts(spark, d):
     s = A.leads_view(spark, d).agg(F.count_distinct("lead_gen_source").alias("distinct_sources"))
     m = A.demo_view(spark, d).agg(F.count_distinct("language").alias("distinct_languages"))
     return i.join(s, how="cross").join(m, how="cross")  # one-row aggregates
+
+
+# ------------------------------------------------------------------ sampling, scaling, models, evaluation
+from flowlens.operators import evaluate as EV  # noqa: E402
+from flowlens.operators import linear as LN  # noqa: E402
+from flowlens.operators import sampling as SM  # noqa: E402
+from flowlens.operators.aggregates import moments  # noqa: E402
+from flowlens.operators.scaling import standardize, with_intercept  # noqa: E402
+from flowlens.plans import fraud as FR  # noqa: E402
+
+_FEAT = A.FRAUD_FEATURES
+
+
+def _r6_all(df, cols):
+    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@query("m1_random_split")
+def m1_random_split(spark, d):
+    return SM.random_split(A.labelled_view(spark, d).select("row_id", "label"), "row_id", 0.8, FR.SEED)
+
+
+@query("m2_stratified_split")
+def m2_stratified_split(spark, d):
+    return SM.stratified_split(A.labelled_view(spark, d).select("row_id", "label"), "row_id", "label", FR.TEST_SIZE, FR.SEED)
+
+
+@query("m4_sample_n_per_class")
+def m4_sample_n_per_class(spark, d):
+    return SM.sample_n(A.labelled_view(spark, d).select("row_id", "label"), "row_id", 100, FR.SEED, ["label"])
+
+
+@query("h7_edge_sample")
+def h7_edge_sample(spark, d):
+    return SM.sample_n(A.edges_view(spark, d), ["node1", "node2"], 30, FR.SEED)
+
+
+@query("m5_fraction_sample")
+def m5_fraction_sample(spark, d):
+    return SM.sample_fraction(A.labelled_view(spark, d).select("row_id", "label"), "row_id", 0.1, FR.SEED)
+
+
+@query("m6_undersample_to_minority")
+def m6_undersample_to_minority(spark, d):
+    return SM.undersample_to_minority(A.embedding_view(spark, d).select("vec_id", "label"), "vec_id", "label", FR.SEED)
+
+
+@query("m7_undersample_ratio")
+def m7_undersample_ratio(spark, d):
+    return SM.undersample_ratio(A.embedding_view(spark, d).select("vec_id", "label"), "vec_id", "label", 0.5, FR.SEED)
+
+
+@query("m8_undersample_one_to_one")
+def m8_undersample_one_to_one(spark, d):
+    return SM.undersample_ratio(A.embedding_view(spark, d).select("vec_id", "label"), "vec_id", "label", 1.0, FR.SEED)
+
+
+@query("m15_balanced_weights")
+def m15_balanced_weights(spark, d):
+    w = SM.balanced_weights(A.labelled_view(spark, d).select("row_id", "label"), "label")
+    return w.groupBy("label", r6("weight").alias("weight")).agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("m16_class_counts")
+def m16_class_counts(spark, d):
+    return SM.class_counts(A.embedding_view(spark, d), "label")
+
+
+@query("m17_curated_subset")
+def m17_curated_subset(spark, d):
+    lv = A.labelled_view(spark, d).select("row_id", "label")
+    return SM.curated_subset(lv, "row_id", "label", {0: 2000, 1: 200}, {0: 98, 1: 2}, FR.SEED)
+
+
+@query("a21_moments")
+def a21_moments(spark, d):
+    m = moments(A.labelled_view(spark, d), _FEAT, zero_std_to_one=False)
+    return _r6_all(m, m.columns)
+
+
+@query("m10_standardize_one")
+def m10_standardize_one(spark, d):
+    lv = A.labelled_view(spark, d).select("row_id", "l_extendedprice")
+    return _r6_all(standardize(lv, ["l_extendedprice"]), ["l_extendedprice"])
+
+
+@query("m12_standardize_all")
+def m12_standardize_all(spark, d):
+    lv = A.labelled_view(spark, d).select("row_id", *_FEAT)
+    return _r6_all(standardize(lv, _FEAT), _FEAT)
+
+
+@query("m11_scale_test_with_train")
+def m11_scale_test_with_train(spark, d):
+    s = FR.split_and_scale(A.labelled_view(spark, d)).filter(~F.col("is_train")).select("row_id", *_FEAT)
+    return _r6_all(s, _FEAT)
+
+
+@query("m13_amount_then_intercept")
+def m13_amount_then_intercept(spark, d):
+    lv = A.labelled_view(spark, d).select("row_id", "l_extendedprice", "label")
+    return _r6_all(with_intercept(standardize(lv, ["l_extendedprice"])), ["l_extendedprice"])
+
+
+@query("t1_scores")
+def t1_scores(spark, d):
+    s = FR.scored_test(spark, A.labelled_view(spark, d))
+    return s.select("row_id", "label", r6("probability").alias("probability"), "prediction")
+
+
+@query("t8_log_loss")
+def t8_log_loss(spark, d):
+    return LN.log_loss(FR.scored_test(spark, A.labelled_view(spark, d))).select(r6("log_loss").alias("log_loss"))
+
+
+@query("e1_confusion")
+def e1_confusion(spark, d):
+    return EV.confusion(FR.scored_test(spark, A.labelled_view(spark, d)))
+
+
+@query("e3_threshold_metrics")
+def e3_threshold_metrics(spark, d):
+    return EV.threshold_metrics(FR.scored_test(spark, A.labelled_view(spark, d)), [0.3, 0.5, 0.7])
+
+
+GRID = [0.1 + i * 0.01 for i in range(40)]  # np.arange(0.1, 0.5, 0.01)
+
+
+@query("e7_grid_threshold")
+def e7_grid_threshold(spark, d):
+    return EV.grid_best_threshold(FR.scored_test(spark, A.labelled_view(spark, d)), GRID)
+
+
+@query("e4_roc_auc")
+def e4_roc_auc(spark, d):
+    return EV.roc_auc(FR.scored_test(spark, A.labelled_view(spark, d)), digits=6)
+
+
+@query("e5_pr_curve")
+def e5_pr_curve(spark, d):
+    return EV.pr_curve(FR.scored_test(spark, A.labelled_view(spark, d)), digits=6)
+
+
+@query("e6_best_f1_threshold")
+def e6_best_f1_threshold(spark, d):
+    return EV.best_f1_threshold(EV.pr_curve(FR.scored_test(spark, A.labelled_view(spark, d)), digits=6))
+
+
+@query("e8_classification_report")
+def e8_classification_report(spark, d):
+    return EV.classification_report(FR.scored_test(spark, A.labelled_view(spark, d)))
+
+
+def _weights_df(spark, weights):
+    names = ["w_bias"] + [f"w_{c}" for c in _FEAT]
+    return spark.createDataFrame([tuple(round(float(w), 6) for w in weights)], ", ".join(f"{n} double" for n in names))
+
+
+GD_VARIANTS = {
+    # name: (config, iterations checked by SQL)
+    "t2_gd_mean": LN.GDConfig(learning_rate=0.1, n_iterations=3),
+    "t3_gd_l2_all": LN.GDConfig(learning_rate=0.1, n_iterations=3, l2=0.1, l2_bias=True),
+    "t4_gd_l2_bias_free": LN.GDConfig(learning_rate=0.1, n_iterations=3, l2=0.01, clip_z=20.0),
+    "t5_gd_summed": LN.GDConfig(learning_rate=1e-5, n_iterations=3, mean_gradient=False),
+}
+
+
+def _gd_query(name, cfg):
+    def fn(spark, d):
+        return _weights_df(spark, FR.train_gd(A.labelled_view(spark, d), cfg).weights)
+    QUERIES[name] = fn
+
+
+for _n, _c in GD_VARIANTS.items():
+    _gd_query(_n, _c)
+
+
+@query("t6_gd_weighted")
+def t6_gd_weighted(spark, d):
+    train = FR.split_and_scale(A.labelled_view(spark, d)).filter("is_train")
+    w = SM.balanced_weights(train, "label", "sw")
+    res = LN.fit_logistic_gd(w, _FEAT, "label", LN.GDConfig(learning_rate=0.1, n_iterations=3, weight_col="sw"))
+    return _weights_df(spark, res.weights)
+
+
+@query("t13_coefficients")
+def t13_coefficients(spark, d):
+    res = FR.train_gd(A.labelled_view(spark, d), GD_VARIANTS["t2_gd_mean"])
+    t = LN.coefficient_table(spark, [round(w, 6) for w in res.weights], _FEAT)
+    return t
+
+
+@query("e10_cost_history")
+def e10_cost_history(spark, d):
+    cfg = LN.GDConfig(learning_rate=0.1, n_iterations=20, l2=0.01, clip_z=20.0, patience=5)
+    return FR.train_gd(A.labelled_view(spark, d), cfg).history_df(spark)
+
+
+@query("e9_rebalancing_comparison")
+def e9_rebalancing_comparison(spark, d):
+    return FR.rebalancing_comparison(spark, A.labelled_view(spark, d), n_iterations=20)
