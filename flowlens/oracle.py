@@ -674,3 +674,31 @@ TRAIN_W = """trainw AS (SELECT t.*, n.n / (2.0::DOUBLE * c.nc) AS sw FROM scaled
   (SELECT COUNT(*) AS n FROM scaled WHERE is_train) n WHERE t.is_train)"""
 register("t6_gd_weighted", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN_W) + gd_sql(FEAT, 0.1, 3, weight="sw", train="trainw"))
 register("t13_coefficients", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3, as_table=True))
+
+
+# ------------------------------------------------------------------ kNN and SMOTE (brute force in SQL)
+KNN = """mino AS (SELECT vec_id, features FROM embedded WHERE label = 1),
+knn AS (SELECT * FROM (
+  SELECT a.vec_id, b.vec_id AS neighbor_id, list_distance(a.features, b.features) AS distance,
+         CAST(ROW_NUMBER() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.features, b.features), b.vec_id) AS INTEGER) AS rank
+  FROM mino a, mino b WHERE a.vec_id <> b.vec_id) WHERE rank <= 5)"""
+register("j7_knn_minority", with_(EMBEDDED, KNN) + "SELECT vec_id, neighbor_id, rank, ROUND(distance, 6) AS distance FROM knn")
+
+
+def _u(kind: str) -> str:
+    return UNIT.format(h=f"md5(concat_ws('|', {q(str(SEED))}, {q(kind)}, CAST(i AS VARCHAR)))")
+
+
+register("m9_smote", with_(EMBEDDED, KNN) + f"""
+, cnt AS (SELECT (SELECT COUNT(*) FROM embedded WHERE label = 1) AS n_min, (SELECT COUNT(*) FROM embedded WHERE label = 0) AS n_maj)
+, idx AS (SELECT vec_id, features, ROW_NUMBER() OVER (ORDER BY vec_id) - 1 AS pos FROM mino)
+, syn AS (SELECT i, CAST(floor({_u('base')} * n_min) AS BIGINT) AS pos,
+                 CAST(floor({_u('nb')} * LEAST(5, GREATEST(n_min - 1, 1))) + 1 AS INTEGER) AS rank,
+                 {_u('gap')} AS gap
+          FROM cnt, range(CAST(floor(1.0::DOUBLE * n_maj - n_min) AS BIGINT)) r(i))
+, synfull AS (SELECT s.i AS syn_id, b.vec_id AS base_id, k.neighbor_id, s.gap,
+                  list_transform(list_zip(b.features, nb.features), lambda p: p[1] + s.gap * (p[2] - p[1])) AS v
+           FROM syn s JOIN idx b ON s.pos = b.pos JOIN knn k ON k.vec_id = b.vec_id AND k.rank = s.rank
+           JOIN mino nb ON nb.vec_id = k.neighbor_id)
+SELECT syn_id, base_id, neighbor_id, ROUND(gap, 6) AS gap,
+       ROUND(sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) AS norm, 1 AS label FROM synfull""")

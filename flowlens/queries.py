@@ -483,3 +483,21 @@ def e10_cost_history(spark, d):
 @query("e9_rebalancing_comparison")
 def e9_rebalancing_comparison(spark, d):
     return FR.rebalancing_comparison(spark, A.labelled_view(spark, d), n_iterations=20)
+
+
+# ------------------------------------------------------------------ kNN and SMOTE (embeddings, minority = class 0)
+from flowlens.operators import knn as KN  # noqa: E402
+
+
+@query("j7_knn_minority")
+def j7_knn_minority(spark, d):
+    e = A.embedding_view(spark, d).filter(F.col("label") == 1)
+    nn = KN.knn_self_join(e, "vec_id", "features", k=5, n_pivots=4)
+    return nn.select("vec_id", "neighbor_id", "rank", r6("distance").alias("distance"))
+
+
+@query("m9_smote")
+def m9_smote(spark, d):
+    s = KN.smote(A.embedding_view(spark, d), "vec_id", "features", "label", k=5, ratio=1.0, seed=FR.SEED)
+    norm = F.sqrt(F.aggregate(F.transform("features", lambda x: x * x), F.lit(0.0), lambda a, b: a + b))
+    return s.select("syn_id", "base_id", "neighbor_id", r6("gap").alias("gap"), r6(norm).alias("norm"), "label")
