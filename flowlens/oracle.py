@@ -702,3 +702,47 @@ register("m9_smote", with_(EMBEDDED, KNN) + f"""
            JOIN mino nb ON nb.vec_id = k.neighbor_id)
 SELECT syn_id, base_id, neighbor_id, ROUND(gap, 6) AS gap,
        ROUND(sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) AS norm, 1 AS label FROM synfull""")
+
+
+# ------------------------------------------------------------------ sources, sinks, reshaping, labels
+register("s5_format_scan", "SELECT l_returnflag, COUNT(*) AS rows FROM lineitem GROUP BY 1")
+
+register("s6_sql_source", with_(SALES) + f"SELECT COUNT(*) AS n_rows, {money('sale_dollars')} AS total FROM sales")
+
+
+def _dq(expr: str) -> str:
+    return f"'\"' || replace(CAST({expr} AS VARCHAR), '\"', '\\\\\"') || '\"'"
+
+
+register("s10_dot_hierarchy", with_(MANAGERS) + f"""
+, nodes AS (SELECT DISTINCT node, kind FROM (
+    SELECT snr_sm_id AS node, 'senior' AS kind FROM managers
+    UNION ALL SELECT jnr_sm_id, 'junior' FROM managers
+    UNION ALL SELECT CAST(lead_id AS VARCHAR), 'lead' FROM managers))
+, edges AS (SELECT DISTINCT snr_sm_id AS src, jnr_sm_id AS dst FROM managers
+            UNION ALL SELECT jnr_sm_id, CAST(lead_id AS VARCHAR) FROM managers)
+SELECT 0 AS seq, '' AS key, 'digraph "SalesHierarchy" {{' AS line
+UNION ALL SELECT 1, node, '  ' || {_dq('node')} || ' [label=' || {_dq("concat_ws(': ', kind, node)")} || '];' FROM nodes
+UNION ALL SELECT 2, concat_ws(chr(1), src, dst), '  ' || {_dq('src')} || ' -> ' || {_dq('dst')} || ';' FROM edges
+UNION ALL SELECT 3, '', '}}'""")
+
+register("r3_reason_stage_crosstab", with_(NO_INTEREST, _melted("no_interest")) + "SELECT reason, " + ", ".join(
+    f"COUNT(*) FILTER (WHERE reason_type = {q(c)}) AS {c}" for c in REASON_COLUMNS) + " FROM melted GROUP BY reason")
+
+register("p12_drilldown_labels", with_(SALES) + _GROWTH + f"""
+, counties AS (
+  SELECT county, {money('sale_dollars')} AS county_sales FROM b2 GROUP BY county
+  ORDER BY county_sales DESC, county ASC NULLS LAST LIMIT 10)
+, stores AS (
+  SELECT county, store_number, store_name, {money('sale_dollars')} AS store_sales
+  FROM b2 WHERE county IN (SELECT county FROM counties) GROUP BY 1, 2, 3)
+, s3 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY county ORDER BY store_sales DESC, store_number, store_name) AS r
+                        FROM stores) WHERE r <= 3)
+, products AS (
+  SELECT b.county, b.store_number, b.store_name, b.item_description, {money('b.sale_dollars')} AS product_sales
+  FROM b2 b JOIN s3 ON b.county = s3.county AND b.store_number = s3.store_number AND b.store_name = s3.store_name
+  GROUP BY 1, 2, 3, 4)
+, p3 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY county, store_number, store_name
+                                                     ORDER BY product_sales DESC, item_description) AS r FROM products) WHERE r <= 2)
+SELECT county, store_number, item_description, left(item_description, 15) || '...' AS product_label,
+       '$' || format('{{:,.0f}}', product_sales) AS sales_label FROM p3""")

@@ -501,3 +501,86 @@ def m9_smote(spark, d):
     s = KN.smote(A.embedding_view(spark, d), "vec_id", "features", "label", k=5, ratio=1.0, seed=FR.SEED)
     norm = F.sqrt(F.aggregate(F.transform("features", lambda x: x * x), F.lit(0.0), lambda a, b: a + b))
     return s.select("syn_id", "base_id", "neighbor_id", r6("gap").alias("gap"), r6(norm).alias("norm"), "label")
+
+
+# ------------------------------------------------------------------ ML-library operators (rows-only checks)
+from flowlens.operators import mlmodels as ML  # noqa: E402
+from flowlens.session import ensure_checkpoint_dir  # noqa: E402
+
+
+def _emb_split(spark, d, binary):
+    e = A.embedding_view(spark, d, binary=binary)
+    return SM.stratified_split(e, "vec_id", "label", 0.2, FR.SEED)
+
+
+@query("t9_mllib_logistic")
+def t9_mllib_logistic(spark, d):
+    data = FR.split_and_scale(A.labelled_view(spark, d))
+    m = ML.mllib_logistic(data.filter("is_train"), _FEAT, max_iter=100)
+    return ML.accuracy(m, data.filter(~F.col("is_train")), _FEAT).withColumn("model", F.lit("mllib_logistic"))
+
+
+@query("t10_ovr_linear_svc")
+def t10_ovr_linear_svc(spark, d):
+    data = _emb_split(spark, d, binary=False)
+    m = ML.ovr_linear_svc(data.filter("is_train"), "features", max_iter=10, parallelism=5)
+    return ML.accuracy(m, data.filter(~F.col("is_train")), "features").withColumn("model", F.lit("ovr_linear_svc"))
+
+
+@query("t11_decision_tree")
+def t11_decision_tree(spark, d):
+    data = _emb_split(spark, d, binary=False)
+    m = ML.decision_tree(data.filter("is_train"), "features")
+    return ML.accuracy(m, data.filter(~F.col("is_train")), "features").withColumn("model", F.lit("decision_tree"))
+
+
+@query("t12_tree_nodes")
+def t12_tree_nodes(spark, d):
+    data = _emb_split(spark, d, binary=False)
+    m = ML.decision_tree(data.filter("is_train"), "features", max_depth=5)
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    import uuid
+
+    return ML.tree_nodes(m, f"{base}/tree-{uuid.uuid4().hex}")
+
+
+# ------------------------------------------------------------------ sources, sinks, reshaping, labels
+from flowlens.functions.columns import prefix_ellipsis, usd_label  # noqa: E402
+from flowlens.sources.readers import read_warehouse, sql_source  # noqa: E402
+from flowlens.sources.sinks import dot_lines  # noqa: E402
+
+
+@query("s5_format_scan")
+def s5_format_scan(spark, d):
+    li = read_warehouse(spark, "parquet", path=f"{d}/lineitem.parquet")
+    return li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("s6_sql_source")
+def s6_sql_source(spark, d):
+    sales = A.sales_view(spark, d, ["invoice_and_item_number", "sale_dollars"])
+    return sql_source(spark, "SELECT COUNT(*) AS n_rows, CAST(SUM(CAST(sale_dollars AS DECIMAL(18,2))) AS DOUBLE) AS total "
+                             "FROM flowlens_sales", {"flowlens_sales": sales})
+
+
+@query("s10_dot_hierarchy")
+def s10_dot_hierarchy(spark, d):
+    m = A.managers_view(spark, d)
+    nodes = HR.hierarchy_nodes(m).select(F.col("node").alias("id"), F.concat_ws(": ", "kind", "node").alias("label"))
+    return dot_lines("SalesHierarchy", nodes, HR.hierarchy_edges(m).select("src", "dst"))
+
+
+@query("r3_reason_stage_crosstab")
+def r3_reason_stage_crosstab(spark, d):
+    from flowlens.operators.reshape import melt, pivot_count
+
+    long = melt(A.no_interest_view(spark, d), ["lead_id"], A.REASON_COLUMNS, "reason_type", "reason")
+    return pivot_count(long, "reason", "reason_type", A.REASON_COLUMNS)
+
+
+@query("p12_drilldown_labels")
+def p12_drilldown_labels(spark, d):
+    t = S.enhanced_county_view(A.sales_view(spark, d, _GROWTH_COLS))
+    return t.select("county", "store_number", "item_description",
+                    prefix_ellipsis("item_description", 15).alias("product_label"),
+                    usd_label("product_sales").alias("sales_label"))
