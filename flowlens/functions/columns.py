@@ -113,7 +113,7 @@ def relative_width(value: Column | str, group_max: Column | str, base: float, sp
 
 def lenient_date(c: Column | str, fmt: str | None = None) -> Column:
     """Unparsable → NULL (``errors='coerce'``)."""
-    return F.try_to_date(col_(c), F.lit(fmt)) if fmt else F.try_to_date(col_(c))
+    return F.try_to_date(col_(c), fmt) if fmt else F.try_to_date(col_(c))
 
 
 def strict_date(c: Column | str, fmt: str = "M/d/yyyy") -> Column:

@@ -57,10 +57,10 @@ def read_labelled_csv(
     empty DataFrame of the same schema instead of an error.
     """
     feature_cols = feature_cols or [c for c in schemas.CREDITCARD_FEATURES if c not in set(drop_cols)]
-    raw_schema = schemas.creditcard_raw()
     out_schema = "features array<double>, label int"
     try:
-        raw = read_csv(spark, path, raw_schema, header=True)
+        # header names, every column a string: no inference pass, columns matched by name
+        raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
         raw.schema  # noqa: B018 - resolves the path
     except Exception:  # noqa: BLE001 - S4: load failure gives an empty set
         return spark.createDataFrame([], out_schema)
