@@ -7,8 +7,8 @@ window over (a) a table of bucket counts, whose size is bounded by the number of
 
 Order keys are seeded MD5 hex strings (``hash_key``): uniform, deterministic under any
 partitioning or retry, and reproducible by any SQL engine (the oracle orders by the same
-``md5(concat_ws('|', seed, key...))``). The first ``PREFIX_HEX`` hex digits give an
-order-preserving bucket, so a bucket holds about n / 16^PREFIX_HEX rows.
+``md5(concat_ws('|', seed, key...))``). A hex prefix is an order-preserving bucket; prefixes
+are refined level by level until the bucket that holds the n-th row is small.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlens.session import cut_lineage
+
 PREFIX_HEX = 5  # 1,048,576 buckets: ≤ ~1e6 rows per bucket at 1e12 rows; ≤ 1M-row count table per group
 UNIT_HEX = 13  # 52 bits of the hash give a uniform number in [0, 1)
 
@@ -39,47 +41,78 @@ def hash_unit(h: Column | str) -> Column:
     return F.conv(F.substring(hc, 1, UNIT_HEX), 16, 10).cast("bigint") / F.lit(float(16 ** UNIT_HEX))
 
 
+def _cumulate(counts: DataFrame, group: list[str], targets) -> DataFrame:
+    """Per group: the bucket where the running count reaches the target, and rows still needed."""
+    w = Window.partitionBy(*group).orderBy("_p") if group else Window.orderBy("_p")
+    c = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return c.filter((F.col("_before") < F.col("_n")) & (F.col("_before") + F.col("_cnt") >= F.col("_n"))).select(
+        *group, "_p", (F.col("_n") - F.col("_before")).alias("_need"), "_cnt"
+    )
+
+
 def first_n_flag(
     df: DataFrame,
     h: str,
-    n: int | DataFrame,
+    n: int | DataFrame | None = None,
     group: Sequence[str] = (),
     flag: str = "selected",
     tie: Sequence[str] = (),
-    digits: int = PREFIX_HEX,
+    fraction: float | None = None,
+    level_digits: int = 3,
+    max_bucket_rows: int = 2_000_000,
 ) -> DataFrame:
     """Add boolean ``flag``: the row is among the first ``n`` rows of its group by (h, *tie).
 
-    ``n`` is an int (same for every group) or a DataFrame (group cols..., n) with one row per
-    group (class counts × fraction, a few rows). Exact; the only window over raw rows is inside
-    each group's boundary bucket.
+    ``n`` is an int (same for every group), a DataFrame (group cols..., n) with one row per
+    group, or ``fraction`` gives n = floor(group size × fraction). Exact.
+
+    Buckets are hash prefixes of ``level_digits`` hex digits: counting them is a partial
+    aggregate; the running count is a window over ≤ 16^level_digits rows per group. While the
+    bucket holding the n-th row has more than ``max_bucket_rows`` rows it is refined by the next
+    digits (one filtered pass each). The only window over data rows covers that final bucket.
+    Plan: one scan per level plus two for the result; no shuffle of the full data.
     """
     group = list(group)
-    b = "_bucket"
-    with_b = df.withColumn(b, hash_bucket(h, digits))
-    counts = with_b.groupBy(*group, b).agg(F.count(F.lit(1)).alias("_cnt"))
-    if isinstance(n, int):
+    hc = F.col(h)
+    d = level_digits
+    counts = df.groupBy(*group, F.substring(hc, 1, d).alias("_p")).agg(F.count(F.lit(1)).alias("_cnt"))
+    if fraction is not None:
+        t = counts.groupBy(*group).agg(F.floor(F.sum("_cnt") * F.lit(float(fraction))).cast("bigint").alias("_n"))
+        counts = counts.join(F.broadcast(t), group) if group else counts.join(F.broadcast(t), how="cross")
+    elif isinstance(n, int):
         counts = counts.withColumn("_n", F.lit(n).cast("bigint"))
     else:
-        counts = counts.join(F.broadcast(n.select(*group, F.col("n").cast("bigint").alias("_n"))), group, "left").fillna(0, ["_n"])
-    w = Window.partitionBy(*group).orderBy(b) if group else Window.orderBy(b)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # one row per group: the bucket where the running count reaches n, and how many rows of it to take
-    bnd = counts.filter((F.col("_before") < F.col("_n")) & (F.col("_before") + F.col("_cnt") >= F.col("_n"))).select(
-        *group, F.col(b).alias("_bnd"), (F.col("_n") - F.col("_before")).alias("_need")
+        tn = n.select(*group, F.col("n").cast("bigint").alias("_n"))
+        counts = counts.join(F.broadcast(tn), group, "left").fillna(0, ["_n"])
+    # groups whose target is ≤ 0 take nothing
+    zero = counts.filter(F.col("_n") <= 0).select(*group).distinct()
+    # ≤ one row per group (a handful of classes): checkpointed once, then broadcast
+    bnd = cut_lineage(_cumulate(counts, group, None).withColumn("_d", F.lit(d)))
+    while True:
+        big = bnd.filter(F.col("_cnt") > max_bucket_rows)
+        if d >= 32 or big.isEmpty():
+            break
+        d_next = min(32, d + level_digits)
+        sub = df.join(F.broadcast(big.select(*group, F.col("_p").alias("_bp"), F.col("_need").alias("_n"))), group, "inner") if group \
+            else df.join(F.broadcast(big.select(F.col("_p").alias("_bp"), F.col("_need").alias("_n"))), how="cross")
+        sub = sub.filter(F.substring(hc, 1, d) == F.col("_bp"))
+        c2 = sub.groupBy(*group, F.substring(hc, 1, d_next).alias("_p"), "_n").agg(F.count(F.lit(1)).alias("_cnt"))
+        refined = _cumulate(c2, group, None).withColumn("_d", F.lit(d_next))
+        keep = bnd.filter(F.col("_cnt") <= max_bucket_rows)
+        bnd = cut_lineage(keep.unionByName(refined))
+        d = d_next
+    zero_rows = zero.select(*group, F.lit("").alias("_p"), F.lit(0).cast("bigint").alias("_need"),
+                            F.lit(0).cast("bigint").alias("_cnt"), F.lit(1).alias("_d"))
+    bnd = bnd.unionByName(zero_rows).select(*group, F.col("_p").alias("_bnd"), "_need", "_d")
+    j = df.join(F.broadcast(bnd), group, "left") if group else df.join(F.broadcast(bnd), how="left")
+    pref = F.substr(hc, F.lit(1), F.col("_d"))
+    outside = j.filter(F.col("_bnd").isNull() | (pref != F.col("_bnd"))).withColumn(
+        flag, F.col("_bnd").isNull() | (pref < F.col("_bnd"))
     )
-    # groups with n <= 0 take nothing: boundary below every bucket
-    none = counts.filter(F.col("_n") <= 0).select(*group).distinct().select(*group, F.lit(-1).cast("bigint").alias("_bnd"), F.lit(0).cast("bigint").alias("_need"))
-    bnd = bnd.unionByName(none)
-    # bnd has at most one row per group (a handful of classes): a proven broadcast bound
-    j = with_b.join(F.broadcast(bnd), group, "left") if group else with_b.join(F.broadcast(bnd), how="left")
-    outside = j.filter(F.col("_bnd").isNull() | (F.col(b) != F.col("_bnd"))).withColumn(
-        flag, F.col("_bnd").isNull() | (F.col(b) < F.col("_bnd"))
-    )
-    inside = j.filter(F.col(b) == F.col("_bnd"))
-    wb = Window.partitionBy(*group, b).orderBy(h, *tie)
+    inside = j.filter(pref == F.col("_bnd"))
+    wb = Window.partitionBy(*group).orderBy(h, *tie) if group else Window.orderBy(h, *tie)
     inside = inside.withColumn(flag, F.row_number().over(wb) <= F.col("_need"))
-    return outside.unionByName(inside).drop(b, "_bnd", "_need")
+    return outside.unionByName(inside).drop("_bnd", "_need", "_d")
 
 
 def first_n(df: DataFrame, h: str, n: int | DataFrame, group: Sequence[str] = (), tie: Sequence[str] = ()) -> DataFrame:
@@ -98,21 +131,32 @@ def class_targets(df: DataFrame, label: str, fraction: float) -> DataFrame:
     return df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(float(fraction))).cast("bigint").alias("n"))
 
 
+
+def quantile_buckets(df: DataFrame, order: str, n_buckets: int = 1024, relative_error: float = 1e-3,
+                     out: str = "_bk") -> DataFrame:
+    """Add an order-preserving bucket id from approximate quantiles of ``order``.
+
+    The ≤ n_buckets - 1 cut points are the only values brought to the driver; the bucket of a
+    row is a JVM-side binary search (``Bucketizer``), so buckets hold about n / n_buckets rows
+    whatever the key distribution.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    splits = df.agg(F.percentile_approx(F.col(order).cast("double"), qs, int(1 / relative_error)).alias("q")).first()["q"] or []
+    cuts = sorted(set(float(x) for x in splits))
+    tmp = "_bk_in"
+    bz = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol=tmp, outputCol=out)
+    return bz.transform(df.withColumn(tmp, F.col(order).cast("double"))).drop(tmp).withColumn(out, F.col(out).cast("int"))
+
+
 def dense_index(df: DataFrame, order: str, name: str = "idx", n_buckets: int = 1024, relative_error: float = 1e-3) -> DataFrame:
     """0-based dense position of every row by a numeric, unique ``order`` column.
 
     Buckets come from approximate quantiles (so equal-sized whatever the key distribution);
     per-bucket counts give exact offsets; ``row_number`` runs inside each bucket only.
     """
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = df.agg(F.percentile_approx(F.col(order).cast("double"), qs, int(1 / relative_error)).alias("q")).first()["q"] or []
-    cuts = sorted(set(float(x) for x in splits))  # ≤ n_buckets - 1 values on the driver
-    bucket = F.lit(0)
-    if cuts:
-        # number of cut points ≤ value: an order-preserving bucket id, computed JVM-side
-        arr = F.array(*[F.lit(c) for c in cuts])
-        bucket = F.size(F.filter(arr, lambda c: c <= F.col(order).cast("double")))
-    with_b = df.withColumn("_bk", bucket)
+    with_b = quantile_buckets(df, order, n_buckets, relative_error)
     counts = with_b.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_c").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # ≤ n_buckets rows
@@ -135,14 +179,7 @@ def prefix_sums(
     totals → offsets (≤ n_buckets rows, broadcast), then a window inside each bucket.
     ``exclusive`` sums the rows strictly before; otherwise up to and including the row.
     """
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = df.agg(F.percentile_approx(F.col(order).cast("double"), qs, int(1 / relative_error)).alias("q")).first()["q"] or []
-    cuts = sorted(set(float(x) for x in splits))
-    bucket = F.lit(0)
-    if cuts:
-        arr = F.array(*[F.lit(c) for c in cuts])
-        bucket = F.size(F.filter(arr, lambda c: c <= F.col(order).cast("double")))
-    with_b = df.withColumn("_bk", bucket)
+    with_b = quantile_buckets(df, order, n_buckets, relative_error)
     tot = with_b.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     wt = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("_bk", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in values])

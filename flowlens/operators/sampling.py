@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.operators.ranking import class_targets, first_n, first_n_flag, fraction_sample, hash_key, hash_unit
+from flowlens.operators.ranking import first_n, first_n_flag, fraction_sample, hash_key, hash_unit
 
 HASH = "_h"
 
@@ -26,17 +26,14 @@ def random_split(df: DataFrame, key: Sequence[str] | str, train_fraction: float
                  flag: str = "is_train") -> DataFrame:
     """M1: exactly ``int(train_fraction × n)`` rows flagged as train, chosen by hash order."""
     h = _hashed(df, key, seed)
-    total = h.agg(F.floor(F.count(F.lit(1)) * F.lit(float(train_fraction))).cast("bigint").alias("n"))
-    out = first_n_flag(h.withColumn("_g", F.lit(1)), HASH, total.withColumn("_g", F.lit(1)), ["_g"], flag)
-    return out.drop("_g", HASH)
+    return first_n_flag(h, HASH, None, (), flag, fraction=train_fraction).drop(HASH)
 
 
 def stratified_split(df: DataFrame, key: Sequence[str] | str, label: str, test_size: float = 0.2, seed: int = 42,
                      flag: str = "is_train") -> DataFrame:
     """M2/M3: per class, exactly ``int(n_c × (1 - test_size))`` rows flagged as train."""
     h = _hashed(df, key, seed)
-    targets = class_targets(h, label, 1.0 - test_size)
-    return first_n_flag(h, HASH, targets, [label], flag).drop(HASH)
+    return first_n_flag(h, HASH, None, [label], flag, fraction=1.0 - test_size).drop(HASH)
 
 
 def sample_n(df: DataFrame, key: Sequence[str] | str, n: int | DataFrame, seed: int = 42, group: Sequence[str] = ()) -> DataFrame:

@@ -22,20 +22,23 @@ def labelled(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 250, 2999, 5000])
-@pytest.mark.parametrize("digits", [1, 5])
-def test_first_n_global_matches_sort(spark, labelled, n, digits):
+@pytest.mark.parametrize("levels", [(1, 2_000_000), (1, 5), (3, 2_000_000)])
+def test_first_n_global_matches_sort(spark, labelled, n, levels):
     df, data = labelled
     h = df.withColumn("_h", RK.hash_key(42, "id"))
-    got = sorted(r.id for r in RK.first_n_flag(h, "_h", n, (), "sel", digits=digits).filter("sel").collect())
+    d, mx = levels
+    got = sorted(r.id for r in RK.first_n_flag(h, "_h", n, (), "sel", level_digits=d, max_bucket_rows=mx).filter("sel").collect())
     want = sorted(sorted(i for i, _ in data)[:0] if n == 0 else [i for i, _ in sorted(data, key=lambda t: md5(42, t[0]))[:n]])
     assert got == want
 
 
-def test_first_n_per_group_with_targets(spark, labelled):
+@pytest.mark.parametrize("mx", [2_000_000, 3])
+def test_first_n_per_group_with_targets(spark, labelled, mx):
     df, data = labelled
     h = df.withColumn("_h", RK.hash_key(9, "id"))
     targets = spark.createDataFrame([(0, 100), (1, 3)], "label int, n bigint")
-    got = sorted((r.label, r.id) for r in RK.first_n(h, "_h", targets, ["label"], ()).collect())
+    flagged = RK.first_n_flag(h, "_h", targets, ["label"], "sel", level_digits=1, max_bucket_rows=mx)
+    got = sorted((r.label, r.id) for r in flagged.filter("sel").collect())
     want = []
     for c, n in [(0, 100), (1, 3)]:
         ids = sorted((i for i, l in data if l == c), key=lambda i: md5(9, i))[:n]
