@@ -21,7 +21,7 @@ from flowlens.operators.topk import top_k_per_group
 from flowlens.sources.adapters import CALL_REASONS, REASON_COLUMNS, STAGES
 
 REASON_PREFIXES = ["reasons_for_not_interested_in_", "reasons_for_not_interested_to_"]
-# Alias → canonical reason (graph-2 replaces it in the demo column)
+# Alias → canonical reason (the dynamic flow chart replaces it in the demo column)
 CANONICAL_REASONS = {"Can't afford": "Cannot afford"}
 # drop stage that each reason column explains (drop into awareness, consideration, conversion)
 DROP_STAGE_OF_COLUMN = dict(zip(REASON_COLUMNS, STAGES[1:]))

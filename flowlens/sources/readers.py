@@ -56,7 +56,7 @@ def read_labelled_csv(
     most one non-empty field (blank or broken lines) are dropped; a missing file yields an
     empty DataFrame of the same schema instead of an error.
     """
-    feature_cols = feature_cols or [c for c in schemas.CREDITCARD_FEATURES if c not in set(drop_cols)]
+    feature_cols = feature_cols or [c for c in schemas.TXN_FEATURES if c not in set(drop_cols)]
     out_schema = "features array<double>, label int"
     try:
         # header names, every column a string: no inference pass, columns matched by name

@@ -55,13 +55,13 @@ EDGES = T.StructType([
     T.StructField("node2", T.LongType()),
 ])
 
-# credit-card table: Time, V1..V28, Amount, Class
-CREDITCARD_FEATURES = ["Time"] + [f"V{i}" for i in range(1, 29)] + ["Amount"]
+# card-transaction table: Time, V1..V28, Amount, Class
+TXN_FEATURES = ["Time"] + [f"V{i}" for i in range(1, 29)] + ["Amount"]
 
 
-def creditcard_raw() -> T.StructType:
+def txn_raw() -> T.StructType:
     """All 31 columns as strings so that a non-numeric field does not fail the scan."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in CREDITCARD_FEATURES + ["Class"]])
+    return T.StructType([T.StructField(c, T.StringType()) for c in TXN_FEATURES + ["Class"]])
 
 
 # Date format of the lead CSVs (fixed value of the input files)
