@@ -78,11 +78,15 @@ def top_by_sales(sales: DataFrame, key: str, k: int = 10) -> DataFrame:
     return arg_max_of_sum(sales, key, "sale_dollars", k).withColumnRenamed("total", "sales")
 
 
-def with_margin_and_growth(sales: DataFrame) -> DataFrame:
+HOT_GROUP_ROWS = 5_000_000  # a (county, store, item) group above this takes the skew-safe lag path
+
+
+def with_margin_and_growth(sales: DataFrame, hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """SL7: profit margin per row and row-over-row growth within (county, store, item).
 
     The order ends with the invoice so that the previous row is unique (the reference orders
-    by date only). NULL growth on the first row and where the previous sale is 0.
+    by date only). NULL growth on the first row and where the previous sale is 0. Groups larger
+    than ``hot_rows`` are range-partitioned instead of windowed (``windows.lag_growth``).
     """
     m = sales.withColumn(
         "profit_margin",
@@ -90,7 +94,7 @@ def with_margin_and_growth(sales: DataFrame) -> DataFrame:
     )
     return lag_growth(
         m, ["county", "store_number", "item_description"], ["date", "invoice_and_item_number"],
-        "sale_dollars", "prev_month_sales", "sales_growth",
+        "sale_dollars", "prev_month_sales", "sales_growth", hot_rows=hot_rows,
     )
 
 
