@@ -44,9 +44,15 @@ def predict(df: DataFrame, prob: str = "probability", threshold: float = 0.5, st
     return df.withColumn(name, F.when(cond, 1).otherwise(0))
 
 
-def log_loss_expr(label: Column, p: Column, eps: float = EPS) -> Column:
-    """ε-clipped binary cross-entropy of one row."""
+def log_loss_expr(label: Column, p: Column, eps: float = EPS, binary: bool = False) -> Column:
+    """ε-clipped binary cross-entropy of one row.
+
+    With ``binary`` (labels exactly 0 or 1) one logarithm per row: -log(p) or -log(1 - p),
+    the same value as the two-term form.
+    """
     pc = F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps))
+    if binary:
+        return -F.log(F.when(label == 1.0, pc).otherwise(F.lit(1.0) - pc))
     return -label * F.log(pc) - (F.lit(1.0) - label) * F.log(F.lit(1.0) - pc)
 
 
@@ -91,7 +97,7 @@ def _pass(df: DataFrame, w: Sequence[float], features: Sequence[str], label: str
     ).withColumn("_e", (F.col("_h") - F.col("_y")) * F.col("_s"))
     aggs = [F.sum("_e").alias("g0")] + [F.sum(F.col("_e") * F.col(c)).alias(f"g{i + 1}") for i, c in enumerate(features)]
     aggs += [
-        F.sum(log_loss_expr(F.col("_y"), F.col("_h")) * F.col("_s")).alias("loss"),
+        F.sum(log_loss_expr(F.col("_y"), F.col("_h"), binary=True) * F.col("_s")).alias("loss"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.when(F.col("_h") >= 0.5, 1.0).otherwise(0.0) == F.col("_y")).alias("correct"),
     ]

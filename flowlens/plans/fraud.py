@@ -43,15 +43,31 @@ def train_gd(labelled: DataFrame, cfg: GDConfig, features: Sequence[str] = FRAUD
     return fit_logistic_gd(train, features, label, cfg)
 
 
+def smote_columns(train: DataFrame, features: Sequence[str], key: str = "row_id", label: str = "label",
+                  ratio: float = 1.0, k: int = 5, seed: int = SEED) -> DataFrame:
+    """M9 on a frame with feature columns: train rows plus ``int(ratio · n_maj − n_min)`` synthetic
+    minority rows (features as columns again; synthetic keys are 'syn-<n>')."""
+    from flowlens.operators.knn import smote
+
+    arr = train.select(F.col(key).cast("string").alias(key), F.array(*features).alias("_f"), F.col(label).cast("int").alias(label))
+    syn = smote(arr, key, "_f", label, k=k, ratio=ratio, seed=seed)
+    syn_rows = syn.select(F.concat(F.lit("syn-"), F.col("syn_id").cast("string")).alias(key),
+                          *[F.col("_f")[i].alias(c) for i, c in enumerate(features)], F.col(label))
+    return train.select(F.col(key).cast("string").alias(key), *features, F.col(label).cast("int").alias(label)).unionByName(syn_rows)
+
+
 def rebalancing_comparison(spark: SparkSession, labelled: DataFrame, features: Sequence[str] = FRAUD_FEATURES,
-                           n_iterations: int = 50, learning_rate: float = 0.1, smote_fn=None) -> DataFrame:
-    """Class weights vs undersampling (vs SMOTE when ``smote_fn`` is given), metrics on the test split."""
+                           n_iterations: int = 50, learning_rate: float = 0.1, smote_ratio: float | None = 1.0,
+                           smote_fn=None) -> DataFrame:
+    """Class weights vs SMOTE vs undersampling, metrics on the test split."""
     data = split_and_scale(labelled, features)
     train, test = data.filter("is_train"), data.filter(~F.col("is_train"))
     models = {}
     models["class_weight"] = LogisticRegressionGD(learning_rate, n_iterations, class_weight="balanced").fit(train, features)
     down = undersample_ratio(train, "row_id", "label", 1.0, SEED)
     models["undersample"] = LogisticRegressionGD(learning_rate, n_iterations).fit(down, features)
+    if smote_fn is None and smote_ratio is not None:
+        smote_fn = lambda t: smote_columns(t, features, ratio=smote_ratio)
     if smote_fn is not None:
         models["smote"] = LogisticRegressionGD(learning_rate, n_iterations).fit(smote_fn(train), features)
     out = None

@@ -482,7 +482,7 @@ def e10_cost_history(spark, d):
 
 @query("e9_rebalancing_comparison")
 def e9_rebalancing_comparison(spark, d):
-    return FR.rebalancing_comparison(spark, A.labelled_view(spark, d), n_iterations=20)
+    return FR.rebalancing_comparison(spark, A.labelled_view(spark, d), n_iterations=10)
 
 
 # ------------------------------------------------------------------ kNN and SMOTE (embeddings, minority = class 0)
