@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.functions.columns import clip01, money_sum, r6, relative_width, safe_div
+from flowlens.functions.columns import clip01, money, money_sum, r6, relative_width, safe_div
+from flowlens.session import cut_lineage
 from flowlens.operators.aggregates import arg_max_of_sum, kpi_row
 from flowlens.operators.topk import first_k_distinct, top_k_per_group
 from flowlens.operators.windows import lag_growth, next_in_chain, period_growth
@@ -28,9 +29,10 @@ def performance_summary(sales: DataFrame) -> DataFrame:
     Each part is a global aggregate or a top-1 (exactly one row), so attaching them to each
     other is a join of one-row relations, not a data-sized cross product.
     """
-    total = sales.agg(money_sum("sale_dollars").alias("total_sales"))
+    by_county = cut_lineage(sales.groupBy("county").agg(F.sum(money("sale_dollars")).alias("total")))  # one row per county
+    total = by_county.agg(F.sum("total").cast("double").alias("total_sales"))  # exact: decimal sums
+    county = by_county.orderBy(F.desc("total"), F.asc_nulls_last("county")).limit(1).select(F.col("county").alias("top_county"))
     prod = arg_max_of_sum(sales, "item_description", "sale_dollars").select(F.col("item_description").alias("top_product"))
-    county = arg_max_of_sum(sales, "county", "sale_dollars").select(F.col("county").alias("top_county"))
     return total.join(F.broadcast(prod), how="cross").join(F.broadcast(county), how="cross")
 
 
@@ -106,34 +108,45 @@ def monthly_growth(sales: DataFrame, entity: str = "county") -> DataFrame:
 def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int = 3, n_products: int = 2) -> DataFrame:
     """SL8/H4: top counties → top stores per county → top products per (county, store).
 
-    One plan instead of 1 + 10 + 30 jobs. Products are keyed by the full path (county, store);
-    the reference filtered by store only (DF4). One row per product leaf with every level's
-    metrics, relative widths (P15), margin colour input (P14) and font class.
+    One plan instead of 1 + 10 + 30 jobs. The row-level growth window runs once; everything
+    after it reads one aggregate at the finest level (county, store, item), from which county
+    and store figures are derived exactly: money sums are decimals, averages are carried as
+    (sum, count). Products are keyed by the full path (county, store); the reference filtered
+    by store only (DF4). One row per product leaf with every level's metrics, relative widths
+    (P15), margin colour input (P14) and font class.
     """
     base = with_margin_and_growth(sales)
+    keys = ["county", "store_number", "store_name", "item_description"]
+    fine = base.groupBy(*keys).agg(
+        F.sum(money("sale_dollars")).alias("_sales"),
+        F.sum("sales_growth").alias("_gsum"), F.count("sales_growth").alias("_gcnt"),
+        F.sum("profit_margin").alias("_msum"), F.count("profit_margin").alias("_mcnt"),
+    )
+    fine = cut_lineage(fine)  # read at three levels below; one row per (county, store, item)
 
     counties = (
-        base.groupBy("county")
-        .agg(money_sum("sale_dollars").alias("county_sales"), F.avg("sales_growth").alias("county_growth"))
+        fine.groupBy("county")
+        .agg(F.sum("_sales").cast("double").alias("county_sales"),
+             safe_div(F.sum("_gsum"), F.sum("_gcnt")).alias("county_growth"))
         .orderBy(F.desc("county_sales"), F.asc_nulls_last("county"))
         .limit(n_counties)
     )
-    # ≤ n_counties rows: a proven bound, safe to broadcast
+    # ≤ n_counties rows: a proven broadcast bound
     counties = counties.withColumn("max_county_sales", F.max("county_sales").over(Window.partitionBy()))
     top_c = F.broadcast(counties)
 
-    in_top = base.join(top_c.select("county"), "county", "left_semi")
+    in_top = fine.join(top_c.select("county"), "county", "left_semi")
     stores = in_top.groupBy("county", "store_number", "store_name").agg(
-        money_sum("sale_dollars").alias("store_sales"), F.avg("sales_growth").alias("store_growth")
+        F.sum("_sales").cast("double").alias("store_sales"), safe_div(F.sum("_gsum"), F.sum("_gcnt")).alias("store_growth")
     )
     stores = top_k_per_group(stores, ["county"], [F.desc("store_sales"), F.asc("store_number"), F.asc("store_name")], n_stores, "store_rank")
     stores = stores.withColumn("max_store_sales", F.max("store_sales").over(Window.partitionBy("county")))
     # ≤ n_counties × n_stores rows
     top_s = F.broadcast(stores)
 
-    in_stores = in_top.join(top_s.select("county", "store_number", "store_name"), ["county", "store_number", "store_name"], "left_semi")
-    products = in_stores.groupBy("county", "store_number", "store_name", "item_description").agg(
-        money_sum("sale_dollars").alias("product_sales"), F.avg("profit_margin").alias("avg_margin")
+    products = in_top.join(top_s.select("county", "store_number", "store_name"), ["county", "store_number", "store_name"], "left_semi").select(
+        "county", "store_number", "store_name", "item_description",
+        F.col("_sales").cast("double").alias("product_sales"), safe_div(F.col("_msum"), F.col("_mcnt")).alias("avg_margin"),
     )
     products = top_k_per_group(products, ["county", "store_number", "store_name"], [F.desc("product_sales"), F.asc("item_description")], n_products, "product_rank")
     products = products.withColumn(
