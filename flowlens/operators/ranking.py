@@ -86,24 +86,28 @@ def first_n_flag(
         counts = counts.join(F.broadcast(tn), group, "left").fillna(0, ["_n"])
     # groups whose target is ≤ 0 take nothing
     zero = counts.filter(F.col("_n") <= 0).select(*group).distinct()
-    # ≤ one row per group (a handful of classes): checkpointed once, then broadcast
-    bnd = cut_lineage(_cumulate(counts, group, None).withColumn("_d", F.lit(d)))
+    spark = df.sparkSession
+    gtypes = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group)
+    bschema = (gtypes + ", " if group else "") + "_p string, _need bigint, _cnt bigint, _d int"
+    # ≤ one row per group (a handful of classes): brought to the driver as boundary metadata and
+    # broadcast back as a local relation — no lineage to recompute, no files
+    first = _cumulate(counts, group, None).withColumn("_d", F.lit(d)).select(*group, "_p", "_need", "_cnt", "_d")
+    none = zero.select(*group, F.lit("").alias("_p"), F.lit(0).cast("bigint").alias("_need"),
+                       F.lit(0).cast("bigint").alias("_cnt"), F.lit(1).alias("_d"))
+    rows = [tuple(r) for r in first.unionByName(none).collect()]
     while True:
-        big = bnd.filter(F.col("_cnt") > max_bucket_rows)
-        if d >= 32 or big.isEmpty():
+        big = [r for r in rows if r[-2] > max_bucket_rows and r[-1] == d]
+        if d >= 32 or not big:
             break
         d_next = min(32, d + level_digits)
-        sub = df.join(F.broadcast(big.select(*group, F.col("_p").alias("_bp"), F.col("_need").alias("_n"))), group, "inner") if group \
-            else df.join(F.broadcast(big.select(F.col("_p").alias("_bp"), F.col("_need").alias("_n"))), how="cross")
+        bdf = spark.createDataFrame(big, bschema).select(*group, F.col("_p").alias("_bp"), F.col("_need").alias("_n"))
+        sub = df.join(F.broadcast(bdf), group, "inner") if group else df.join(F.broadcast(bdf), how="cross")
         sub = sub.filter(F.substring(hc, 1, d) == F.col("_bp"))
         c2 = sub.groupBy(*group, F.substring(hc, 1, d_next).alias("_p"), "_n").agg(F.count(F.lit(1)).alias("_cnt"))
-        refined = _cumulate(c2, group, None).withColumn("_d", F.lit(d_next))
-        keep = bnd.filter(F.col("_cnt") <= max_bucket_rows)
-        bnd = cut_lineage(keep.unionByName(refined))
+        refined = [tuple(r) for r in _cumulate(c2, group, None).withColumn("_d", F.lit(d_next)).select(*group, "_p", "_need", "_cnt", "_d").collect()]
+        rows = [r for r in rows if not (r[-2] > max_bucket_rows and r[-1] == d)] + refined
         d = d_next
-    zero_rows = zero.select(*group, F.lit("").alias("_p"), F.lit(0).cast("bigint").alias("_need"),
-                            F.lit(0).cast("bigint").alias("_cnt"), F.lit(1).alias("_d"))
-    bnd = bnd.unionByName(zero_rows).select(*group, F.col("_p").alias("_bnd"), "_need", "_d")
+    bnd = spark.createDataFrame(rows, bschema).select(*group, F.col("_p").alias("_bnd"), "_need", "_d")
     j = df.join(F.broadcast(bnd), group, "left") if group else df.join(F.broadcast(bnd), how="left")
     pref = F.substr(hc, F.lit(1), F.col("_d"))
     outside = j.filter(F.col("_bnd").isNull() | (pref != F.col("_bnd"))).withColumn(
