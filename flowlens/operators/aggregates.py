@@ -20,15 +20,6 @@ def frequency(df: DataFrame, key: str, drop_null: bool = True, name: str = "coun
     return src.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def ranked_frequency(df: DataFrame, key: str, drop_null: bool = True) -> DataFrame:
-    """A10 with the rendered order made explicit: rank by count desc, key asc (D3)."""
-    from pyspark.sql import Window
-
-    f = frequency(df, key, drop_null)
-    # the frequency table has one row per distinct key; ordering it is a small sort
-    return f.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("count"), F.asc(key))))
-
-
 def distinct_count(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """A2: NULL-ignoring distinct count."""
     return df.agg(F.count_distinct(col).alias(name or f"n_{col}"))
@@ -102,7 +93,11 @@ def share_of_total(df: DataFrame, count_col: str, total: Column, name: str = "pc
 
 
 def ordered_text(df: DataFrame, keys: Sequence[str], text: Column, order: Sequence[Column], sep: str = "\n", name: str = "text") -> DataFrame:
-    """One text per group, lines ordered by ``order`` (listagg WITHIN GROUP)."""
+    """One text per group, lines ordered by ``order`` (listagg WITHIN GROUP).
+
+    Collects each group's lines into one list, so it is meant for bounded groups (the first k
+    reasons of a column), not for raw rows.
+    """
     ordered = F.sort_array(F.collect_list(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], text.alias("_t"))))
     return df.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda s: s["_t"]), sep).alias(name))
 

@@ -186,5 +186,7 @@ def coefficient_table(spark: SparkSession, weights: Sequence[float], names: Sequ
     rows = list(zip(names, weights[1:]))
     if include_bias:
         rows = [("intercept", weights[0])] + rows
+    from flowlens.operators.topk import sort_by_abs
+
     df = spark.createDataFrame([(n, float(w)) for n, w in rows], "feature string, coefficient double")
-    return df.withColumn("abs_value", F.abs("coefficient")).orderBy(F.desc("abs_value"), F.asc("feature"))
+    return sort_by_abs(df, "coefficient", "feature")

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from flowlens.session import cut_lineage
 
-PREFIX_HEX = 5  # 1,048,576 buckets: ≤ ~1e6 rows per bucket at 1e12 rows; ≤ 1M-row count table per group
 UNIT_HEX = 13  # 52 bits of the hash give a uniform number in [0, 1)
 
 
@@ -30,11 +29,6 @@ def hash_key(seed: int | str, *cols: str | Column) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def hash_bucket(h: Column | str, digits: int = PREFIX_HEX) -> Column:
-    hc = F.col(h) if isinstance(h, str) else h
-    return F.conv(F.substring(hc, 1, digits), 16, 10).cast("bigint")
-
-
 def hash_unit(h: Column | str) -> Column:
     """Uniform [0, 1) from the first 52 bits of a hex hash (exact in a double)."""
     hc = F.col(h) if isinstance(h, str) else h
@@ -130,12 +124,6 @@ def fraction_sample(df: DataFrame, h: str, fraction: float | Column) -> DataFram
     return df.filter(hash_unit(h) < fr)
 
 
-def class_targets(df: DataFrame, label: str, fraction: float) -> DataFrame:
-    """(label, n) with n = int(count × fraction) per class — the stratified split sizes."""
-    return df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(float(fraction))).cast("bigint").alias("n"))
-
-
-
 def quantile_buckets(df: DataFrame, order: str, n_buckets: int = 1024, relative_error: float = 1e-3,
                      out: str = "_bk") -> DataFrame:
     """Add an order-preserving bucket id from approximate quantiles of ``order``.

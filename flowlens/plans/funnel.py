@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import canonicalise, clean_category_name, first_token_lower, r6, safe_div
-from flowlens.operators.aggregates import frequency, mean_date_gap, mean_of_group_distinct
+from flowlens.operators.aggregates import conditional_rate, frequency, mean_date_gap, mean_of_group_distinct, ordered_text
 from flowlens.operators.reshape import melt, pivot_count
 from flowlens.operators.topk import top_k_per_group
 from flowlens.sources.adapters import CALL_REASONS, REASON_COLUMNS, STAGES
@@ -51,9 +51,8 @@ def distinct_funnel(spark: SparkSession, interactions: DataFrame) -> DataFrame:
 
 def call_success(spark: SparkSession, interactions: DataFrame) -> DataFrame:
     """Percent of calls with status 'successful' per stage (rows as base), 0 if none."""
-    rate = interactions.groupBy(F.col("lead_stage").alias("stage")).agg(
-        (F.avg(F.when(F.col("call_status") == "successful", 1.0).otherwise(0.0)) * 100).alias("success_rate")
-    )
+    rate = conditional_rate(interactions.withColumnRenamed("lead_stage", "stage"), ["stage"],
+                            F.col("call_status") == "successful", "success_rate")
     return stage_dim(spark).join(F.broadcast(rate), "stage", "left").select(
         "stage", "stage_order", F.coalesce(r6("success_rate"), F.lit(0.0)).alias("success_rate")
     )
@@ -210,8 +209,8 @@ def reason_text(spark: SparkSession, no_interest: DataFrame, interactions: DataF
     """A24/F10 text: '- reason (n leads, p%)' lines per column, count desc, first ``limit`` lines."""
     r = reasons_pct_of_drop(spark, no_interest, interactions, limit)
     line = F.format_string("- %s (%d leads, %.1f%%)", F.col("reason"), F.col("count"), F.round("pct", 1))
-    ordered = F.sort_array(F.collect_list(F.struct(F.col("rank"), line.alias("line"))))
-    return r.groupBy("reason_type").agg(F.array_join(F.transform(ordered, lambda s: s["line"]), "\n").alias("text"))
+    # ≤ limit lines per reason column
+    return ordered_text(r, ["reason_type"], line, [F.col("rank")], "\n", "text")
 
 
 def reason_names(no_interest: DataFrame, limit: int = 3) -> DataFrame:
