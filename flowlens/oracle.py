@@ -102,8 +102,33 @@ def with_(*ctes: str) -> str:
 ORACLE: dict[str, str] = {}
 
 
+def _positive_zero_rounds(sql: str) -> str:
+    """Wrap every ``ROUND(...)`` as ``(ROUND(...) + 0.0::DOUBLE)``.
+
+    DuckDB's ROUND keeps the sign of a value that rounds to zero (-0.0) while Spark's returns
+    +0.0; adding +0.0 turns -0.0 into +0.0 and changes nothing else.
+    """
+    out, i = [], 0
+    while True:
+        j = sql.find("ROUND(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("ROUND")
+        while True:
+            ch = sql[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            k += 1
+            if depth == 0:
+                break
+        inner = _positive_zero_rounds(sql[j + len("ROUND("):k - 1])
+        out.append(sql[i:j] + "(ROUND(" + inner + ") + 0.0::DOUBLE)")
+        i = k
+
+
 def register(name: str, sql: str) -> None:
-    ORACLE[name] = sql
+    ORACLE[name] = _positive_zero_rounds(sql)
 
 
 # ------------------------------------------------------------------ sales (SL*, H3-H5, W*, A*)
@@ -146,8 +171,8 @@ register("h5_timeline_chain", with_(SALES) + f"""
 , ym AS (SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, {money('sale_dollars')} AS sales
          FROM sales GROUP BY 1, 2)
 SELECT year, month, sales,
-       LEAD(year) OVER (ORDER BY year, month) AS next_year,
-       LEAD(month) OVER (ORDER BY year, month) AS next_month
+       CAST(LEAD(year) OVER (ORDER BY year, month) AS DOUBLE) AS next_year,
+       CAST(LEAD(month) OVER (ORDER BY year, month) AS DOUBLE) AS next_month
 FROM ym""")
 
 register("sl6_top_counties", with_(SALES) + f"""
@@ -285,7 +310,7 @@ pcts AS (SELECT k.reason_type, d.stage, k.reason, k.count,
                 CAST(ROW_NUMBER() OVER (PARTITION BY k.reason_type ORDER BY k.count DESC, k.reason) AS INTEGER) AS rank
          FROM counts k LEFT JOIN drops d ON k.reason_type = d.reason_type)"""
 
-register("f1_distinct_funnel", with_(INTERACTIONS, STAGE_DIM, F1) + "SELECT * FROM f1")
+register("f1_distinct_funnel", with_(INTERACTIONS, STAGE_DIM, F1) + "SELECT stage, stage_order, leads, CAST(dropped AS DOUBLE) AS dropped FROM f1")
 
 register("f2_row_funnel", with_(INTERACTIONS, LEADS, DEMO) + """
 , x AS (SELECT (SELECT COUNT(*) FROM leads) AS total_leads,
@@ -394,9 +419,10 @@ register("f16_decision_funnel_edges", with_(INTERACTIONS, NO_INTEREST, STAGE_DIM
 , nodes AS (SELECT node, stage_order, lower(split_part(trim(node), ' ', 1)) AS stage
             FROM (VALUES {", ".join(f"({q(n)}, {i + 1})" for i, n in enumerate(_F16_NODES))}) t(node, stage_order))
 , sn AS (SELECT n.node, n.stage_order, f1.leads FROM nodes n LEFT JOIN f1 ON n.stage = f1.stage)
+SELECT src, dst, kind, CAST(leads AS DOUBLE) AS leads FROM (
 SELECT * FROM (SELECT node AS src, LEAD(node) OVER (ORDER BY stage_order) AS dst, 'yes' AS kind, leads FROM sn) WHERE dst IS NOT NULL
 UNION ALL SELECT node, 'Drop ' || CAST(stage_order AS VARCHAR), 'no', CAST(NULL AS BIGINT) FROM sn
-UNION ALL SELECT 'Drop 1', 'Drop-off: ' || reason, 'reason', COUNT(*) FROM melted GROUP BY reason""")
+UNION ALL SELECT 'Drop 1', 'Drop-off: ' || reason, 'reason', COUNT(*) FROM melted GROUP BY reason)""")
 
 register("f17_success_failure_leads", with_(INTERACTIONS) + """
 SELECT lead_stage AS stage, call_status, COUNT(DISTINCT lead_id) AS leads FROM interactions GROUP BY 1, 2""")
@@ -422,6 +448,7 @@ register("h9_flow_graph_edges", with_(INTERACTIONS, LEADS, DEMO, NO_INTEREST, _m
                (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'consideration') AS c,
                (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'conversion') AS v)
 , cp AS (SELECT {", ".join(f"COUNT(*) FILTER (WHERE lead_stage = {q(s)} AND call_reason = {q(r)}) AS {n}" for n, s, r in CALL_LOOKUPS)} FROM interactions)
+SELECT src, dst, cluster, CAST(value AS DOUBLE) AS value, pct FROM (
 SELECT 'Lead' AS src, 'Awareness' AS dst, 'main' AS cluster, a AS value, ROUND(a / NULLIF(t, 0), 6) AS pct FROM x
 UNION ALL SELECT 'Awareness', 'Consideration', 'main', c, ROUND(c / NULLIF(a, 0), 6) FROM x
 UNION ALL SELECT 'Consideration', 'Conversion', 'main', v, ROUND(v / NULLIF(c, 0), 6) FROM x
@@ -435,7 +462,7 @@ UNION ALL SELECT 'Intro', 'Demo', 'calls', demo_scheduled_calls, CAST(NULL AS DO
 UNION ALL SELECT 'Demo', 'Followup', 'calls', followup_calls, CAST(NULL AS DOUBLE) FROM cp
 UNION ALL SELECT 'Followup', 'ConversionCall', 'calls', converted_calls, CAST(NULL AS DOUBLE) FROM cp
 UNION ALL SELECT 'Lead', 'Start', 'link', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE)
-UNION ALL SELECT 'ConversionCall', 'Conversion', 'link', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE)""")
+UNION ALL SELECT 'ConversionCall', 'Conversion', 'link', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE))""")
 
 register("h1_hierarchy_edges", with_(MANAGERS) + """
 SELECT DISTINCT snr_sm_id AS src, jnr_sm_id AS dst, 1 AS level FROM managers

@@ -62,9 +62,16 @@ def sl5_year_month_series(spark, d):
     return S.year_month_series(A.sales_view(spark, d, ["date", "sale_dollars"]))
 
 
+# Nullable integer outputs (no next period, first stage, edges without a count) are emitted as
+# DOUBLE on both sides of the oracle: pandas renders a nullable INT as float in one engine and as
+# integer in the other.
+def _nullable_as_double(df, *cols):
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 @query("h5_timeline_chain")
 def h5_timeline_chain(spark, d):
-    return S.timeline_chain(A.sales_view(spark, d, ["date", "sale_dollars"]))
+    return _nullable_as_double(S.timeline_chain(A.sales_view(spark, d, ["date", "sale_dollars"])), "next_year", "next_month")
 
 
 @query("sl6_top_counties")
@@ -123,7 +130,7 @@ from flowlens.plans import hierarchy as HR  # noqa: E402
 
 @query("f1_distinct_funnel")
 def f1_distinct_funnel(spark, d):
-    return FN.distinct_funnel(spark, A.interactions_view(spark, d))
+    return _nullable_as_double(FN.distinct_funnel(spark, A.interactions_view(spark, d)), "dropped")
 
 
 @query("f2_row_funnel")
@@ -215,7 +222,7 @@ def f15_manager_workload(spark, d):
 
 @query("f16_decision_funnel_edges")
 def f16_decision_funnel_edges(spark, d):
-    return FN.decision_funnel_edges(spark, A.interactions_view(spark, d), A.no_interest_view(spark, d))
+    return _nullable_as_double(FN.decision_funnel_edges(spark, A.interactions_view(spark, d), A.no_interest_view(spark, d)), "leads")
 
 
 @query("f17_success_failure_leads")
@@ -240,8 +247,8 @@ def f19_reason_names(spark, d):
 
 @query("h9_flow_graph_edges")
 def h9_flow_graph_edges(spark, d):
-    return FN.flow_graph_edges(spark, A.leads_view(spark, d), A.demo_view(spark, d),
-                               A.interactions_view(spark, d), A.no_interest_view(spark, d))
+    return _nullable_as_double(FN.flow_graph_edges(spark, A.leads_view(spark, d), A.demo_view(spark, d),
+                                                   A.interactions_view(spark, d), A.no_interest_view(spark, d)), "value")
 
 
 @query("h1_hierarchy_edges")
@@ -437,7 +444,8 @@ def e8_classification_report(spark, d):
 
 def _weights_df(spark, weights):
     names = ["w_bias"] + [f"w_{c}" for c in _FEAT]
-    return spark.createDataFrame([tuple(round(float(w), 6) for w in weights)], ", ".join(f"{n} double" for n in names))
+    # + 0.0 turns a -0.0 from rounding into +0.0
+    return spark.createDataFrame([tuple(round(float(w), 6) + 0.0 for w in weights)], ", ".join(f"{n} double" for n in names))
 
 
 GD_VARIANTS = {
