@@ -113,8 +113,30 @@ def first_n_flag(
     return outside.unionByName(inside).drop("_bnd", "_need", "_d")
 
 
+SMALL_N = 1000  # n × (number of tasks) rows meet in one reducer on the small-n path
+
+
 def first_n(df: DataFrame, h: str, n: int | DataFrame, group: Sequence[str] = (), tie: Sequence[str] = ()) -> DataFrame:
-    """Rows among the first n of their group by hash order (M4, O7 with a hash order)."""
+    """Rows among the first n of their group by hash order (M4, O7 with a hash order).
+
+    Small n (≤ ``SMALL_N`` per group): a global top-n (TakeOrderedAndProject) or a per-group
+    ``row_number ≤ n`` (WindowGroupLimit): every task keeps n rows, one pass. Larger n: the
+    bucketed selection of ``first_n_flag``.
+    """
+    group = list(group)
+    limit = n if isinstance(n, int) else None
+    if limit is None and group:
+        targets = n.select(*group, F.col("n").cast("bigint").alias("_n")).collect()  # one row per group
+        limit = max((r["_n"] for r in targets), default=0)
+    if limit is not None and limit <= SMALL_N:
+        if not group:
+            return df.orderBy(h, *tie).limit(max(int(limit), 0))
+        w = Window.partitionBy(*group).orderBy(h, *tie)
+        ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= F.lit(max(int(limit), 0)))
+        if not isinstance(n, int):
+            tn = df.sparkSession.createDataFrame([tuple(r) for r in targets], n.select(*group, F.col("n").cast("bigint").alias("_n")).schema)
+            ranked = ranked.join(F.broadcast(tn), group, "left").filter(F.col("_rn") <= F.coalesce("_n", F.lit(0))).drop("_n")
+        return ranked.drop("_rn")
     return first_n_flag(df, h, n, group, "_sel", tie).filter("_sel").drop("_sel")
 
 

@@ -91,3 +91,17 @@ def test_prefix_sums(spark):
     for i in order:
         assert got[float(xs[i])] == run
         run += int(vs[i])
+
+
+@pytest.mark.parametrize("targets", [(5, 2), (900, 40), (1500, 400)])
+def test_first_n_small_and_large_paths(spark, labelled, targets):
+    df, data = labelled
+    h = df.withColumn("_h", RK.hash_key(5, "id"))
+    t = spark.createDataFrame([(0, targets[0]), (1, targets[1])], "label int, n bigint")
+    got = sorted((r.label, r.id) for r in RK.first_n(h, "_h", t, ["label"]).collect())
+    want = []
+    for c, n in [(0, targets[0]), (1, targets[1])]:
+        want += [(c, i) for i in sorted((i for i, l in data if l == c), key=lambda i: md5(5, i))[:n]]
+    assert got == sorted(want)
+    glob = sorted(r.id for r in RK.first_n(h, "_h", targets[0]).collect())
+    assert glob == sorted(i for i, _ in sorted(data, key=lambda t: md5(5, t[0]))[:targets[0]])
