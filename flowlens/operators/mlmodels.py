@@ -61,3 +61,31 @@ def tree_nodes(model, path: str) -> DataFrame:
         F.try_element_at(F.col("split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"),
         F.aggregate("impurityStats", F.lit(0.0), lambda a, b: a + b).alias("samples"),
     )
+
+
+def tree_dot(nodes: DataFrame, feature_names: Sequence[str] | None = None, name: str = "DecisionTree") -> DataFrame:
+    """T12 → S10: the node table as DOT lines (split or class, impurity, samples per node; edges to
+    both children). Node tables are bounded by 2^(maxDepth+1) rows."""
+    from flowlens.sources.sinks import dot_lines
+
+    spark = nodes.sparkSession
+    feat = F.concat(F.lit("x["), F.col("feature_index").cast("string"), F.lit("]"))
+    if feature_names:
+        names = spark.createDataFrame(list(enumerate(feature_names)), "feature_index int, fname string")
+        nodes = nodes.join(F.broadcast(names), "feature_index", "left")
+        feat = F.coalesce(F.col("fname"), feat)
+    is_leaf = F.col("leftChild") < 0
+    label = F.concat_ws(
+        "\\n",
+        F.when(~is_leaf, F.concat(feat, F.lit(" <= "), F.format_number("threshold", 2))),
+        F.concat(F.lit("gini = "), F.format_number("impurity", 3)),
+        F.concat(F.lit("samples = "), F.col("samples").cast("bigint").cast("string")),
+        F.concat(F.lit("class = "), F.col("prediction").cast("int").cast("string")),
+    )
+    node_rows = nodes.select(F.col("id").cast("string").alias("id"), label.alias("label"))
+    inner = nodes.filter(~is_leaf)
+    edges = inner.select(F.col("id").cast("string").alias("src"), F.col("leftChild").cast("string").alias("dst"),
+                         F.lit("True").alias("label")).unionByName(
+        inner.select(F.col("id").cast("string").alias("src"), F.col("rightChild").cast("string").alias("dst"),
+                     F.lit("False").alias("label")))
+    return dot_lines(name, node_rows, edges)
