@@ -16,7 +16,7 @@ ROW_BITS = 33  # monotonically_increasing_id: partition index in the upper bits,
 
 def lag_growth(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
                prev_name: str = "prev_value", growth_name: str = "growth", hot_rows: int | None = None,
-               range_partitions: int | None = None) -> DataFrame:
+               range_partitions: int | None = None, probe: DataFrame | None = None) -> DataFrame:
     """Previous row's value in the group and (x - prev) / prev (NULL on the first row or prev = 0).
 
     ``order`` (column names) must end with a unique key so the previous row is well defined.
@@ -26,8 +26,16 @@ def lag_growth(df: DataFrame, group: Sequence[str], order: Sequence[str], value:
     range-partitioned on (group, order), so one group spreads over many tasks, and each row
     finds its predecessor by an equi-join on a sequential row id. Other groups use the plain
     window. Results are identical.
+
+    ``probe`` (optional) is a cheaper frame with one column whose per-value row count bounds the
+    row count of every group (e.g. rows per store from the fact table alone, without joins):
+    when no probe value exceeds ``hot_rows``, no group can, and the exact detection is skipped.
     """
     hot = None
+    if hot_rows is not None and probe is not None:
+        pc = probe.columns[0]
+        if probe.groupBy(pc).agg(F.count(F.lit(1)).alias("_pn")).filter(F.col("_pn") > hot_rows).isEmpty():
+            hot_rows = None
     if hot_rows is not None:
         counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn"))
         # at most total / hot_rows keys: bounded by the threshold; checkpointed and broadcast

@@ -83,7 +83,7 @@ def top_by_sales(sales: DataFrame, key: str, k: int = 10) -> DataFrame:
 HOT_GROUP_ROWS = 5_000_000  # a (county, store, item) group above this takes the skew-safe lag path
 
 
-def with_margin_and_growth(sales: DataFrame, hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
+def with_margin_and_growth(sales: DataFrame, hot_rows: int | None = HOT_GROUP_ROWS, probe: DataFrame | None = None) -> DataFrame:
     """SL7: profit margin per row and row-over-row growth within (county, store, item).
 
     The order ends with the invoice so that the previous row is unique (the reference orders
@@ -96,7 +96,7 @@ def with_margin_and_growth(sales: DataFrame, hot_rows: int | None = HOT_GROUP_RO
     )
     return lag_growth(
         m, ["county", "store_number", "item_description"], ["date", "invoice_and_item_number"],
-        "sale_dollars", "prev_month_sales", "sales_growth", hot_rows=hot_rows,
+        "sale_dollars", "prev_month_sales", "sales_growth", hot_rows=hot_rows, probe=probe,
     )
 
 
@@ -105,7 +105,8 @@ def monthly_growth(sales: DataFrame, entity: str = "county") -> DataFrame:
     return period_growth(sales, [entity], "date", "sales", money_sum("sale_dollars"))
 
 
-def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int = 3, n_products: int = 2) -> DataFrame:
+def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int = 3, n_products: int = 2,
+                         probe: DataFrame | None = None) -> DataFrame:
     """SL8/H4: top counties → top stores per county → top products per (county, store).
 
     One plan instead of 1 + 10 + 30 jobs. The row-level growth window runs once; everything
@@ -115,7 +116,7 @@ def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int =
     by store only (DF4). One row per product leaf with every level's metrics, relative widths
     (P15), margin colour input (P14) and font class.
     """
-    base = with_margin_and_growth(sales)
+    base = with_margin_and_growth(sales, probe=probe)
     keys = ["county", "store_number", "store_name", "item_description"]
     fine = base.groupBy(*keys).agg(
         F.sum(money("sale_dollars")).alias("_sales"),

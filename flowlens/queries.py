@@ -90,14 +90,14 @@ _GROWTH_COLS = ["invoice_and_item_number", "date", "county", "store_number", "st
 
 @query("sl7_margin_growth")
 def sl7_margin_growth(spark, d):
-    g = S.with_margin_and_growth(A.sales_view(spark, d, _GROWTH_COLS))
+    g = S.with_margin_and_growth(A.sales_view(spark, d, _GROWTH_COLS), probe=A.store_probe(spark, d))
     return g.select("invoice_and_item_number", "sale_dollars", "prev_month_sales",
                     r6("profit_margin").alias("profit_margin"), r6("sales_growth").alias("sales_growth"))
 
 
 @query("sl8_enhanced_county_view")
 def sl8_enhanced_county_view(spark, d):
-    return S.enhanced_county_view(A.sales_view(spark, d, _GROWTH_COLS))
+    return S.enhanced_county_view(A.sales_view(spark, d, _GROWTH_COLS), probe=A.store_probe(spark, d))
 
 
 @query("w4_monthly_growth")
@@ -588,7 +588,7 @@ def r3_reason_stage_crosstab(spark, d):
 
 @query("p12_drilldown_labels")
 def p12_drilldown_labels(spark, d):
-    t = S.enhanced_county_view(A.sales_view(spark, d, _GROWTH_COLS))
+    t = S.enhanced_county_view(A.sales_view(spark, d, _GROWTH_COLS), probe=A.store_probe(spark, d))
     return t.select("county", "store_number", "item_description",
                     prefix_ellipsis("item_description", 15).alias("product_label"),
                     usd_label("product_sales").alias("sales_label"))

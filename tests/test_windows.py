@@ -22,3 +22,14 @@ def test_next_in_chain(spark):
     df = spark.createDataFrame([(2024, 1), (2023, 12), (2024, 2)], "year int, month int")
     got = sorted(tuple(r) for r in next_in_chain(df, ["year", "month"], ["month"]).collect())
     assert got == [(2023, 12, 1), (2024, 1, 2), (2024, 2, None)]
+
+
+def test_probe_skips_or_keeps_hot_path(spark):
+    rows = [("hot" if i < 600 else f"g{i % 7}", i, float(i % 5)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g string, inv int, v double")
+    want = {r.inv: r.prev_value for r in lag_growth(df, ["g"], ["inv"], "v").collect()}
+    for probe_rows in (rows, [("x", 0, 0.0)]):
+        probe = spark.createDataFrame(probe_rows, "g string, inv int, v double").select("g")
+        got = {r.inv: r.prev_value for r in lag_growth(df, ["g"], ["inv"], "v", hot_rows=100, probe=probe,
+                                                        range_partitions=5).collect()}
+        assert got == want
