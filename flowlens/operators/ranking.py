@@ -18,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.session import cut_lineage
 
 UNIT_HEX = 13  # 52 bits of the hash give a uniform number in [0, 1)
 
@@ -35,7 +34,7 @@ def hash_unit(h: Column | str) -> Column:
     return F.conv(F.substring(hc, 1, UNIT_HEX), 16, 10).cast("bigint") / F.lit(float(16 ** UNIT_HEX))
 
 
-def _cumulate(counts: DataFrame, group: list[str], targets) -> DataFrame:
+def _cumulate(counts: DataFrame, group: list[str]) -> DataFrame:
     """Per group: the bucket where the running count reaches the target, and rows still needed."""
     w = Window.partitionBy(*group).orderBy("_p") if group else Window.orderBy("_p")
     c = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -85,7 +84,7 @@ def first_n_flag(
     bschema = (gtypes + ", " if group else "") + "_p string, _need bigint, _cnt bigint, _d int"
     # ≤ one row per group (a handful of classes): brought to the driver as boundary metadata and
     # broadcast back as a local relation — no lineage to recompute, no files
-    first = _cumulate(counts, group, None).withColumn("_d", F.lit(d)).select(*group, "_p", "_need", "_cnt", "_d")
+    first = _cumulate(counts, group).withColumn("_d", F.lit(d)).select(*group, "_p", "_need", "_cnt", "_d")
     none = zero.select(*group, F.lit("").alias("_p"), F.lit(0).cast("bigint").alias("_need"),
                        F.lit(0).cast("bigint").alias("_cnt"), F.lit(1).alias("_d"))
     rows = [tuple(r) for r in first.unionByName(none).collect()]
@@ -98,7 +97,7 @@ def first_n_flag(
         sub = df.join(F.broadcast(bdf), group, "inner") if group else df.join(F.broadcast(bdf), how="cross")
         sub = sub.filter(F.substring(hc, 1, d) == F.col("_bp"))
         c2 = sub.groupBy(*group, F.substring(hc, 1, d_next).alias("_p"), "_n").agg(F.count(F.lit(1)).alias("_cnt"))
-        refined = [tuple(r) for r in _cumulate(c2, group, None).withColumn("_d", F.lit(d_next)).select(*group, "_p", "_need", "_cnt", "_d").collect()]
+        refined = [tuple(r) for r in _cumulate(c2, group).withColumn("_d", F.lit(d_next)).select(*group, "_p", "_need", "_cnt", "_d").collect()]
         rows = [r for r in rows if not (r[-2] > max_bucket_rows and r[-1] == d)] + refined
         d = d_next
     bnd = spark.createDataFrame(rows, bschema).select(*group, F.col("_p").alias("_bnd"), "_need", "_d")

@@ -11,7 +11,7 @@ grouped by stage first; the per-stage windows then run over four rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import canonicalise, clean_category_name, first_token_lower, r6, safe_div

@@ -1,7 +1,5 @@
 """T9-T12 wrappers on the driver's embeddings (multi-class) and the tree → DOT export."""
 
-from pyspark.sql import functions as F
-
 from flowlens.operators import mlmodels as ML
 from flowlens.session import ensure_checkpoint_dir
 from flowlens.sources import adapters as A

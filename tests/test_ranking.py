@@ -4,8 +4,6 @@ import hashlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
 from flowlens.operators import ranking as RK
 from flowlens.operators import sampling as SM
 

@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from flowlens.sources import readers as R
 from flowlens.sources import schemas
 from flowlens.sources.sinks import dot_lines, write_csv, write_dot
