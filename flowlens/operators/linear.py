@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 EPS = 1e-15
@@ -74,6 +74,7 @@ class GDConfig:
     clip_z: float | None = None     # T4 clips z to ±20
     weight_col: str | None = None   # T6/T7 class weights
     patience: int | None = None     # T4: stop after this many non-improving losses, keep the best
+    single_job: bool = True         # gather the sums with Observation: 1 Spark job per iteration, no shuffle
 
 
 @dataclass
@@ -101,7 +102,14 @@ def _pass(df: DataFrame, w: Sequence[float], features: Sequence[str], label: str
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.when(F.col("_h") >= 0.5, 1.0).otherwise(0.0) == F.col("_y")).alias("correct"),
     ]
-    r = proj.agg(*aggs).first()
+    if cfg.single_job:
+        # Task-level partial sums are merged on the driver (accumulators of the one result stage):
+        # one job per iteration and no shuffle, whatever AQE does with aggregates.
+        obs = Observation()
+        proj.observe(obs, *aggs).write.format("noop").mode("overwrite").save()
+        r = obs.get
+    else:
+        r = proj.agg(*aggs).first().asDict()
     g = [r[f"g{i}"] or 0.0 for i in range(len(features) + 1)]
     return g, (r["loss"] or 0.0), int(r["n"]), int(r["correct"] or 0)
 
