@@ -74,7 +74,10 @@ class GDConfig:
     clip_z: float | None = None     # T4 clips z to ±20
     weight_col: str | None = None   # T6/T7 class weights
     patience: int | None = None     # T4: stop after this many non-improving losses, keep the best
-    single_job: bool = True         # gather the sums with Observation: 1 Spark job per iteration, no shuffle
+    # Gather the sums with Observation: one Spark job per iteration and no shuffle. Off by default:
+    # once a session has used Observation, Spark 4.1 fails to serialise MLlib closures of that
+    # session (ObservationManager is not serializable), which breaks later library model fits.
+    single_job: bool = False
 
 
 @dataclass
