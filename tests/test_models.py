@@ -150,13 +150,14 @@ def test_classification_report(scored):
     assert rep["accuracy"].precision == round((tp + tn) / len(s), 6)
 
 
-@pytest.mark.parametrize("pivots", [1, 3, 8])
-def test_knn_exact(spark, pivots):
+@pytest.mark.parametrize("pivots,block", [(1, 4096), (3, 4096), (8, 4096), (1, 25), (3, 8)])
+def test_knn_exact(spark, pivots, block):
     rng = np.random.default_rng(3)
     V = rng.normal(size=(120, 6))
     V[5] = V[6]  # a duplicate point
     df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in enumerate(V)], "id bigint, v array<double>")
-    got = {(r.id, r["rank"]): r.neighbor_id for r in KN.knn_self_join(df, "id", "v", k=4, n_pivots=pivots).collect()}
+    got = {(r.id, r["rank"]): r.neighbor_id
+           for r in KN.knn_self_join(df, "id", "v", k=4, n_pivots=pivots, block_rows=block).collect()}
     D = np.sqrt(((V[:, None, :] - V[None, :, :]) ** 2).sum(-1))
     for i in range(len(V)):
         order = sorted((D[i, j], j) for j in range(len(V)) if j != i)[:4]
