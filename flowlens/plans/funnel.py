@@ -101,9 +101,11 @@ def demo_influence(demo: DataFrame, interactions: DataFrame) -> DataFrame:
 def source_breakdown(leads: DataFrame) -> DataFrame:
     """Leads per source, the top source flagged (count desc, source asc)."""
     f = frequency(leads, "lead_gen_source")
-    # one row per distinct source: a small table
-    r = F.row_number().over(Window.orderBy(F.desc("count"), F.asc("lead_gen_source")))
-    return f.withColumn("is_top", r == 1)
+    top = f.orderBy(F.desc("count"), F.asc("lead_gen_source")).limit(1).select(F.col("lead_gen_source").alias("_top"))
+    # top-1 is a single row
+    return f.join(F.broadcast(top), how="cross").select(
+        "lead_gen_source", "count", (F.col("lead_gen_source") == F.col("_top")).alias("is_top")
+    )
 
 
 def reasons_by_category(no_interest: DataFrame) -> DataFrame:
@@ -253,9 +255,13 @@ def decision_funnel_edges(spark: SparkSession, interactions: DataFrame, no_inter
     return yes.unionByName(no).unionByName(reasons)
 
 
-def row_funnel(leads: DataFrame, demo: DataFrame, interactions: DataFrame) -> DataFrame:
-    """row-count funnel of the dynamic flow chart (may exceed 100 % or go negative, D11)."""
-    i = interactions.agg(*[F.count_if(F.col("lead_stage") == s).alias(f"n_{s}") for s in STAGES[1:]])
+def row_funnel(leads: DataFrame, demo: DataFrame, interactions: DataFrame, extra: dict | None = None) -> DataFrame:
+    """row-count funnel of the dynamic flow chart (may exceed 100 % or go negative, D11).
+
+    ``extra`` (name → aggregate over the interactions) rides along in the same pass."""
+    extra = extra or {}
+    i = interactions.agg(*[F.count_if(F.col("lead_stage") == s).alias(f"n_{s}") for s in STAGES[1:]],
+                         *[e.alias(n) for n, e in extra.items()])
     ld = leads.agg(F.count(F.lit(1)).alias("total_leads"), F.count_distinct("lead_gen_source").alias("n_sources"))
     dm = demo.agg(F.count(F.lit(1)).alias("demo_watched"))
     x = ld.join(dm, how="cross").join(i, how="cross")  # three one-row aggregates
@@ -266,13 +272,16 @@ def row_funnel(leads: DataFrame, demo: DataFrame, interactions: DataFrame) -> Da
         (t - a).alias("dropout_after_lead"), (a - c).alias("dropout_after_awareness"), (c - v).alias("dropout_after_consideration"),
         r6(safe_div(a, t)).alias("rate_awareness"), r6(safe_div(c, a)).alias("rate_consideration"),
         r6(safe_div(v, c)).alias("rate_conversion"), r6(safe_div(v, t)).alias("overall_rate"),
+        *[F.col(n) for n in extra],
     )
 
 
 def flow_graph_edges(spark: SparkSession, leads: DataFrame, demo: DataFrame, interactions: DataFrame, no_interest: DataFrame) -> DataFrame:
     """H9: the dynamic flow chart as edges (src, dst, cluster, value, pct) — main stages, dropouts,
     reasons per category and the call-pattern chain. Layout/rendering is left to the DOT sink."""
-    rf = row_funnel(leads, demo, interactions)
+    # the call-pattern counts come out of the same aggregate over the interactions
+    lookups = {n: F.count_if((F.col("lead_stage") == st) & (F.col("call_reason") == r)) for n, st, r in CALL_LOOKUPS}
+    rf = row_funnel(leads, demo, interactions, lookups)
 
     def edge(src, dst, cluster, value, pct):
         return F.struct(F.lit(src).alias("src"), F.lit(dst).alias("dst"), F.lit(cluster).alias("cluster"),
@@ -294,9 +303,8 @@ def flow_graph_edges(spark: SparkSession, leads: DataFrame, demo: DataFrame, int
         F.concat_ws("_", F.col("category"), F.col("reason")).alias("dst"),
         F.lit("reasons").alias("cluster"), F.col("count").alias("value"), F.lit(None).cast("double").alias("pct"),
     )
-    cp = call_patterns(interactions)
     none = F.lit(None)
-    calls = cp.select(F.explode(F.array(
+    calls = rf.select(F.explode(F.array(
         edge("Start", "Intro", "calls", F.col("intro_calls"), none),
         edge("Intro", "Demo", "calls", F.col("demo_scheduled_calls"), none),
         edge("Demo", "Followup", "calls", F.col("followup_calls"), none),
