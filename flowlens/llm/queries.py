@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowlens.llm.common import table
 from flowlens.llm.exact_dedup import exact_dedup
+from flowlens.llm.parity_join import near_copies
 from flowlens.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": lambda spark, d: exact_dedup(table(spark, d, "documents")),
+    "op9_parity_join": lambda spark, d: near_copies(table(spark, d, "documents")),
     "op10_token_counts": lambda spark, d: token_counts(table(spark, d, "documents")),
 }
 
