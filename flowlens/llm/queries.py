@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowlens.llm.common import table
+from flowlens.llm.decontaminate import benchmark_overlaps
 from flowlens.llm.exact_dedup import exact_dedup
+from flowlens.llm.language import language_id
 from flowlens.llm.parity_join import near_copies
 from flowlens.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_language_id": lambda spark, d: language_id(table(spark, d, "documents")),
     "op6_exact_dedup": lambda spark, d: exact_dedup(table(spark, d, "documents")),
+    "op8_decontaminate": lambda spark, d: benchmark_overlaps(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op9_parity_join": lambda spark, d: near_copies(table(spark, d, "documents")),
     "op10_token_counts": lambda spark, d: token_counts(table(spark, d, "documents")),
 }
