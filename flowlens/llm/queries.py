@@ -11,6 +11,8 @@ from flowlens.llm.decontaminate import benchmark_overlaps
 from flowlens.llm.exact_dedup import exact_dedup
 from flowlens.llm.language import language_id
 from flowlens.llm.lm_score import cross_entropy_difference
+from flowlens.llm.mixing import mix
+from flowlens.llm.paragraphs import repeated_spans
 from flowlens.llm.parity_join import near_copies
 from flowlens.llm.quality import quality
 from flowlens.llm.token_counts import token_counts
@@ -20,8 +22,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_score": lambda spark, d: cross_entropy_difference(
         table(spark, d, "documents"), table(spark, d, "labels").where("quality = 1 and coalesce(toxic, 0) = 0")
     ),
+    "op3_mixing": lambda spark, d: mix(table(spark, d, "documents"), table(spark, d, "labels")),
     "op5_language_id": lambda spark, d: language_id(table(spark, d, "documents")),
     "op6_exact_dedup": lambda spark, d: exact_dedup(table(spark, d, "documents")),
+    "op7_paragraph_dedup": lambda spark, d: repeated_spans(table(spark, d, "documents")),
     "op8_decontaminate": lambda spark, d: benchmark_overlaps(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op9_parity_join": lambda spark, d: near_copies(table(spark, d, "documents")),
     "op10_token_counts": lambda spark, d: token_counts(table(spark, d, "documents")),
