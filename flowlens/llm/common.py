@@ -34,17 +34,36 @@ def package_reachable(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """df as a table in the folder that ``spark.checkpoint.dir`` names, read back: lineage ends there.
 
     Lost executors then cost a read of the table, not the work before it.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def semi_join(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among ids (one column of that name): by broadcast while there are at most
+    ``BROADCAST_ROWS`` ids (8 bytes each), else by a shuffle join."""
+    return _by_ids(rows, ids, key, "left_semi")
+
+
+def anti_join(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among ids; rows with a null key stay."""
+    return _by_ids(rows, ids, key, "left_anti")
+
+
+def _by_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    ids = written(ids.distinct(), "ids").withColumnRenamed(key, "_wanted")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, F.col(key) == F.col("_wanted"), how)
+
+
 def id_order(col: Column | str) -> Column:
     """A fixed pseudo-random order of ids, 20 bits."""
     return F.pmod(F.xxhash64(F.lit("order"), col), F.lit(1 << 20))

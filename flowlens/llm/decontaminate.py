@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm import arrays as A
-from flowlens.llm.common import id_and_text
+from flowlens.llm.common import anti_join, id_and_text
 
 MASKS = ("110110110011", "111010011011", "101101110101", "111100001111")
 LEAST_WORDS = 8
@@ -153,5 +153,4 @@ def benchmark_overlaps(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, in which no benchmark item was found; rows with a null id stay."""
-    leaks = benchmark_overlaps(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col(id_col).cast("long") == F.col("_leak"), "left_anti")
+    return anti_join(docs, benchmark_overlaps(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(id_col)), id_col)

@@ -16,6 +16,7 @@ from flowlens.llm.paragraphs import repeated_spans
 from flowlens.llm.parity_join import near_copies
 from flowlens.llm.quality import quality
 from flowlens.llm.token_counts import token_counts
+from flowlens.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": lambda spark, d: quality(table(spark, d, "documents"), table(spark, d, "labels")),
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(spark, d, "documents"), table(spark, d, "labels").where("quality = 1 and coalesce(toxic, 0) = 0")
     ),
     "op3_mixing": lambda spark, d: mix(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op4_toxicity": lambda spark, d: toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op5_language_id": lambda spark, d: language_id(table(spark, d, "documents")),
     "op6_exact_dedup": lambda spark, d: exact_dedup(table(spark, d, "documents")),
     "op7_paragraph_dedup": lambda spark, d: repeated_spans(table(spark, d, "documents")),
