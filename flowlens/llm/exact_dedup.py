@@ -6,8 +6,9 @@ normalised bytes themselves, so texts that only share a hash stay apart. Of a gr
 most code points in the original text stays, then the smallest id; a null id comes last.
 
 The grouping is a two-step aggregate: each task first reduces its own rows, so a group that holds a
-third of all rows sends one row a task. The per-row join that hands the result back has one row a
-group on its other side; Spark splits a hot key there (sort-merge join, adaptive skew split).
+third of all rows sends one row a task. For handing the result back to the rows, groups of at least a
+``HOT_SHARE`` of all rows (so at most ``1 / HOT_SHARE`` groups) are broadcast and their rows leave the
+join's key alone; no key of the join that is left holds more than that share.
 
 Repeated rows (same id and text) belong to one group and each gets its values; the filter keeps one of
 them. An empty table gives an empty result; other columns are carried by the filter and may have any
@@ -19,7 +20,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.llm.common import written
+
 WHITE = " \t\n\v\f\r"
+HOT_SHARE = 0.001
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -48,9 +52,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row."""
     rows = _keys(docs, id_col, text_col).select("doc_id", "hash", "text_sha256")
-    return rows.join(exact_groups(docs, id_col, text_col), ["hash", "text_sha256"]).select(
-        "doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256"
-    )
+    groups = written(exact_groups(docs, id_col, text_col), "exact-groups").withColumn("found", F.lit(True))
+    hot = groups.where(F.col("group_size") >= max(2.0, docs.count() * HOT_SHARE))
+    keys = ["hash", "text_sha256"]
+    first = rows.join(F.broadcast(hot.select(*keys, *[F.col(c).alias(f"hot_{c}") for c in ("keep_id", "group_size", "found")])), keys, "left")
+    own = F.when(F.col("hot_found"), F.unhex(F.md5(F.coalesce(F.col("doc_id"), F.lit(0)).cast("string")))).otherwise(F.col("hash"))
+    second = first.withColumn("hash", own).join(groups, keys, "left")
+    return second.select(
+        "doc_id",
+        F.when(F.col("hot_found"), F.col("hot_keep_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("hot_group_size", "group_size").alias("group_size"),
+        "text_sha256",
+    ).select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256")
 
 
 def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
