@@ -8,7 +8,8 @@ window over (a) a table of bucket counts, whose size is bounded by the number of
 Order keys are seeded MD5 hex strings (``hash_key``): uniform, deterministic under any
 partitioning or retry, and reproducible by any SQL engine (the oracle orders by the same
 ``md5(concat_ws('|', seed, key...))``). A hex prefix is an order-preserving bucket; prefixes
-are refined level by level until the bucket that holds the n-th row is small.
+are refined level by level until the bucket that holds the n-th row is small; that row's key then
+serves as a literal bound.
 """
 
 from __future__ import annotations
@@ -43,6 +44,17 @@ def _cumulate(counts: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+BOUNDARY_ROWS = 1000  # a prefix bucket this small is sorted to find the boundary row
+
+
+def _same(group: Sequence[str], values: Sequence) -> Column:
+    """The row's group is the one given; a NULL class is a class."""
+    out = F.lit(True)
+    for g, v in zip(group, values):
+        out = out & F.col(g).eqNullSafe(F.lit(v))
+    return out
+
+
 def first_n_flag(
     df: DataFrame,
     h: str,
@@ -52,90 +64,54 @@ def first_n_flag(
     tie: Sequence[str] = (),
     fraction: float | None = None,
     level_digits: int = 3,
-    max_bucket_rows: int = 2_000_000,
 ) -> DataFrame:
     """Add boolean ``flag``: the row is among the first ``n`` rows of its group by (h, *tie).
 
     ``n`` is an int (same for every group), a DataFrame (group cols..., n) with one row per
-    group, or ``fraction`` gives n = floor(group size × fraction). Exact.
-
-    Buckets are hash prefixes of ``level_digits`` hex digits: counting them is a partial
-    aggregate; the running count is a window over ≤ 16^level_digits rows per group. While the
-    bucket holding the n-th row has more than ``max_bucket_rows`` rows it is refined by the next
-    digits (one filtered pass each). The only window over data rows covers that final bucket.
-    Plan: one scan per level plus two for the result; no shuffle of the full data.
+    group, or ``fraction`` gives n = floor(group size × fraction). A NULL group is a group like
+    any other. (h, *tie) is unique per row; rows that share it are flagged alike. The groups are
+    the classes of a label: one row of each comes to the driver.
+
+    The n-th row's key is found level by level: rows are counted by hash prefix (a partial
+    aggregate), a running count picks the prefix that holds the n-th row, and only rows of that
+    prefix are counted by the next ``level_digits`` digits, until it holds ``BOUNDARY_ROWS`` rows
+    at most. The key becomes a literal, so the result is a projection of ``df``: one scan, no
+    shuffle, no join, no window over data rows.
     """
-    group = list(group)
-    hc = F.col(h)
-    d = level_digits
-    counts = df.groupBy(*group, F.substring(hc, 1, d).alias("_p")).agg(F.count(F.lit(1)).alias("_cnt"))
+    group, keys = list(group), [h, *tie]
+    sizes = {tuple(r[:-1]): r[-1] for r in df.groupBy(*group).agg(F.count(F.lit(1)).alias("_c")).collect()}
     if fraction is not None:
-        t = counts.groupBy(*group).agg(F.floor(F.sum("_cnt") * F.lit(float(fraction))).cast("bigint").alias("_n"))
-        counts = counts.join(F.broadcast(t), group) if group else counts.join(F.broadcast(t), how="cross")
+        want = {g: int(c * fraction) for g, c in sizes.items()}
     elif isinstance(n, int):
-        counts = counts.withColumn("_n", F.lit(n).cast("bigint"))
+        want = dict.fromkeys(sizes, n)
     else:
-        tn = n.select(*group, F.col("n").cast("bigint").alias("_n"))
-        counts = counts.join(F.broadcast(tn), group, "left").fillna(0, ["_n"])
-    # groups whose target is ≤ 0 take nothing
-    zero = counts.filter(F.col("_n") <= 0).select(*group).distinct()
-    spark = df.sparkSession
-    gtypes = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group)
-    bschema = (gtypes + ", " if group else "") + "_p string, _need bigint, _cnt bigint, _d int"
-    # ≤ one row per group (a handful of classes): brought to the driver as boundary metadata and
-    # broadcast back as a local relation — no lineage to recompute, no files
-    first = _cumulate(counts, group).withColumn("_d", F.lit(d)).select(*group, "_p", "_need", "_cnt", "_d")
-    none = zero.select(*group, F.lit("").alias("_p"), F.lit(0).cast("bigint").alias("_need"),
-                       F.lit(0).cast("bigint").alias("_cnt"), F.lit(1).alias("_d"))
-    rows = [tuple(r) for r in first.unionByName(none).collect()]
-    while True:
-        big = [r for r in rows if r[-2] > max_bucket_rows and r[-1] == d]
-        if d >= 32 or not big:
-            break
-        d_next = min(32, d + level_digits)
-        bdf = spark.createDataFrame(big, bschema).select(*group, F.col("_p").alias("_bp"), F.col("_need").alias("_n"))
-        sub = df.join(F.broadcast(bdf), group, "inner") if group else df.join(F.broadcast(bdf), how="cross")
-        sub = sub.filter(F.substring(hc, 1, d) == F.col("_bp"))
-        c2 = sub.groupBy(*group, F.substring(hc, 1, d_next).alias("_p"), "_n").agg(F.count(F.lit(1)).alias("_cnt"))
-        refined = [tuple(r) for r in _cumulate(c2, group).withColumn("_d", F.lit(d_next)).select(*group, "_p", "_need", "_cnt", "_d").collect()]
-        rows = [r for r in rows if not (r[-2] > max_bucket_rows and r[-1] == d)] + refined
-        d = d_next
-    bnd = spark.createDataFrame(rows, bschema).select(*group, F.col("_p").alias("_bnd"), "_need", "_d")
-    j = df.join(F.broadcast(bnd), group, "left") if group else df.join(F.broadcast(bnd), how="left")
-    pref = F.substr(hc, F.lit(1), F.col("_d"))
-    outside = j.filter(F.col("_bnd").isNull() | (pref != F.col("_bnd"))).withColumn(
-        flag, F.col("_bnd").isNull() | (pref < F.col("_bnd"))
-    )
-    inside = j.filter(pref == F.col("_bnd"))
-    wb = Window.partitionBy(*group).orderBy(h, *tie) if group else Window.orderBy(h, *tie)
-    inside = inside.withColumn(flag, F.row_number().over(wb) <= F.col("_need"))
-    return outside.unionByName(inside).drop("_bnd", "_need", "_d")
-
-
-SMALL_N = 1000  # n × (number of tasks) rows meet in one reducer on the small-n path
+        given = {tuple(r[:-1]): int(r[-1] or 0) for r in n.select(*group, "n").collect()}
+        want = {g: given.get(g, 0) for g in sizes}
+    chosen = F.lit(False)
+    open_ = {g: ("", want[g], c) for g, c in sizes.items() if 0 < want[g] < c}  # prefix, rows still wanted in it, rows in it
+    while any(c > BOUNDARY_ROWS and len(p) < 32 for p, _, c in open_.values()):
+        todo = {g: v for g, v in open_.items() if v[2] > BOUNDARY_ROWS and len(v[0]) < 32}
+        width, digits = F.lit(None), F.lit(None)
+        for g, (p, need, _) in todo.items():
+            here = _same(group, g) & F.col(h).startswith(p)
+            digits = F.when(here, F.substring(h, 1, min(32, len(p) + level_digits))).otherwise(digits)
+            width = F.when(here, F.lit(need).cast("bigint")).otherwise(width)
+        counts = df.groupBy(*group, digits.alias("_p"), width.alias("_n")).agg(F.count(F.lit(1)).alias("_cnt")).filter("_p IS NOT NULL")
+        for r in _cumulate(counts, group).select(*group, "_p", "_need", "_cnt").collect():
+            open_[tuple(r[:-3])] = (r["_p"], r["_need"], r["_cnt"])
+    for g, (p, need, _) in open_.items():
+        bucket = df.filter(_same(group, g) & F.col(h).startswith(p)).select(*keys)
+        edge = bucket.orderBy(*keys).offset(int(need) - 1).limit(1).collect()[0]
+        at_most = F.struct(*[F.col(k) for k in keys]) <= F.struct(*[F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(keys, edge)])
+        chosen = F.when(_same(group, g), at_most).otherwise(chosen)
+    for g, c in sizes.items():
+        if want[g] >= c:
+            chosen = F.when(_same(group, g), F.lit(True)).otherwise(chosen)
+    return df.withColumn(flag, chosen)
 
 
 def first_n(df: DataFrame, h: str, n: int | DataFrame, group: Sequence[str] = (), tie: Sequence[str] = ()) -> DataFrame:
-    """Rows among the first n of their group by hash order (M4, O7 with a hash order).
-
-    Small n (≤ ``SMALL_N`` per group): a global top-n (TakeOrderedAndProject) or a per-group
-    ``row_number ≤ n`` (WindowGroupLimit): every task keeps n rows, one pass. Larger n: the
-    bucketed selection of ``first_n_flag``.
-    """
-    group = list(group)
-    limit = n if isinstance(n, int) else None
-    if limit is None and group:
-        targets = n.select(*group, F.col("n").cast("bigint").alias("_n")).collect()  # one row per group
-        limit = max((r["_n"] for r in targets), default=0)
-    if limit is not None and limit <= SMALL_N:
-        if not group:
-            return df.orderBy(h, *tie).limit(max(int(limit), 0))
-        w = Window.partitionBy(*group).orderBy(h, *tie)
-        ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= F.lit(max(int(limit), 0)))
-        if not isinstance(n, int):
-            tn = df.sparkSession.createDataFrame([tuple(r) for r in targets], n.select(*group, F.col("n").cast("bigint").alias("_n")).schema)
-            ranked = ranked.join(F.broadcast(tn), group, "left").filter(F.col("_rn") <= F.coalesce("_n", F.lit(0))).drop("_n")
-        return ranked.drop("_rn")
+    """Rows among the first n of their group by hash order (M4, O7 with a hash order)."""
     return first_n_flag(df, h, n, group, "_sel", tie).filter("_sel").drop("_sel")
 
 

@@ -494,7 +494,7 @@ SELECT (SELECT COUNT(DISTINCT lead_id) FROM interactions) AS distinct_leads,
 
 # ------------------------------------------------------------------ sampling, scaling, models, evaluation
 from flowlens.linear_sql import gd_sql  # noqa: E402
-from flowlens.plans.fraud import FIXED_WEIGHTS, SEED, TEST_SIZE  # noqa: E402
+from flowlens.plans.fraud import EXACT_WEIGHTS, FIXED_WEIGHTS, SEED, TEST_SIZE  # noqa: E402
 from flowlens.sources.adapters import FRAUD_FEATURES  # noqa: E402
 
 FEAT = FRAUD_FEATURES
@@ -641,32 +641,35 @@ register("e3_threshold_metrics", with_(*FRAUD_BASE) + _thr_sql([0.3, 0.5, 0.7])
 
 _GRID = [0.1 + i * 0.01 for i in range(40)]
 register("e7_grid_threshold", with_(*FRAUD_BASE) + _thr_sql(_GRID) + """
-, best AS (SELECT threshold, f1 FROM m WHERE f1 > 0 ORDER BY f1 DESC, threshold ASC LIMIT 1)
+, best AS (SELECT threshold, f1 FROM m WHERE tp > 0 ORDER BY 2 * tp / (2 * tp + fp + fn) DESC, threshold ASC LIMIT 1)
 SELECT COALESCE((SELECT threshold FROM best), 0.5::DOUBLE) AS best_threshold,
        COALESCE((SELECT f1 FROM best), 0.0::DOUBLE) AS best_f1""")
 
-SCORE_COUNTS = """sc AS (SELECT ROUND(probability, 6) AS score, COUNT(*) FILTER (WHERE label = 1) AS pos,
-                           COUNT(*) FILTER (WHERE label = 0) AS neg FROM scored GROUP BY 1),
+EXACT = "exact AS (SELECT label, CAST(" + " + ".join(
+    f"{w} * CAST(ROUND({c} * 100) AS BIGINT)" for w, c in zip(EXACT_WEIGHTS, FEAT)) + " AS DOUBLE) AS probability FROM flagged WHERE NOT is_train)"
+EXACT_BASE = (LABELLED, SPLIT, EXACT)
+SCORE_COUNTS = """sc AS (SELECT probability AS score, COUNT(*) FILTER (WHERE label = 1) AS pos,
+                           COUNT(*) FILTER (WHERE label = 0) AS neg FROM exact GROUP BY 1),
 cum AS (SELECT *, COALESCE(SUM(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_pos,
                   COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_neg FROM sc)"""
 
-register("e4_roc_auc", with_(*FRAUD_BASE, SCORE_COUNTS) + """
+register("e4_roc_auc", with_(*EXACT_BASE, SCORE_COUNTS) + """
 SELECT ROUND(SUM(pos * (cum_neg + neg / 2.0::DOUBLE)) / (SUM(pos) * SUM(neg)), 6) AS auc FROM cum""")
 
 PR = """pr AS (
-  SELECT c.score AS threshold, CAST(t.P - c.cum_pos AS BIGINT) AS tp, CAST(t.N - c.cum_neg AS BIGINT) AS fp,
+  SELECT c.score AS threshold, CAST(t.P - c.cum_pos AS BIGINT) AS tp, CAST(t.N - c.cum_neg AS BIGINT) AS fp, CAST(c.cum_pos AS BIGINT) AS fn,
          ROUND(CASE WHEN (t.P - c.cum_pos) + (t.N - c.cum_neg) > 0
                     THEN (t.P - c.cum_pos) / ((t.P - c.cum_pos) + (t.N - c.cum_neg)) ELSE 0.0::DOUBLE END, 6) AS precision,
          ROUND(CASE WHEN t.P > 0 THEN (t.P - c.cum_pos) / t.P ELSE 0.0::DOUBLE END, 6) AS recall
   FROM cum c, (SELECT SUM(pos) AS P, SUM(neg) AS N FROM sc) t
   WHERE c.score >= (SELECT MIN(score) FROM sc WHERE pos > 0))"""
 
-register("e5_pr_curve", with_(*FRAUD_BASE, SCORE_COUNTS, PR) + "SELECT * FROM pr")
+register("e5_pr_curve", with_(*EXACT_BASE, SCORE_COUNTS, PR) + "SELECT * FROM pr")
 
-register("e6_best_f1_threshold", with_(*FRAUD_BASE, SCORE_COUNTS, PR) + """
+register("e6_best_f1_threshold", with_(*EXACT_BASE, SCORE_COUNTS, PR) + """
 SELECT threshold AS best_threshold, precision, recall,
-       ROUND(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0::DOUBLE END, 6) AS f1
-FROM pr ORDER BY f1 DESC, threshold ASC LIMIT 1""")
+       ROUND(2 * tp / (2 * tp + fp + fn), 6) AS f1
+FROM pr ORDER BY 2 * tp / (2 * tp + fp + fn) DESC, threshold ASC LIMIT 1""")
 
 
 def _prf(tp, fp, fn):

@@ -38,6 +38,20 @@ def scored_test(spark: SparkSession, labelled: DataFrame, weights: Sequence[floa
     return predict(predict_proba(test, weights, features), "probability", 0.5)
 
 
+# integer weights of a linear score over cents and hundredths: any engine computes it without rounding
+EXACT_WEIGHTS = [7, 2, -90_000, 40_000]
+
+
+def exact_scored_test(labelled: DataFrame, features: Sequence[str] = FRAUD_FEATURES, weights: Sequence[int] = EXACT_WEIGHTS) -> DataFrame:
+    """Test rows of the split with an exact linear score (whole numbers in a double) as ``probability``.
+
+    A threshold curve depends on the order of the scores only, and a logistic link keeps it.
+    """
+    test = stratified_split(labelled, "row_id", "label", TEST_SIZE, SEED, "is_train").filter(~F.col("is_train"))
+    score = sum(F.lit(w) * F.round(F.col(c) * 100).cast("bigint") for w, c in zip(weights, features))
+    return test.select("row_id", "label", score.cast("double").alias("probability"))
+
+
 def train_gd(labelled: DataFrame, cfg: GDConfig, features: Sequence[str] = FRAUD_FEATURES, label: str = "label"):
     train = split_and_scale(labelled, features).filter("is_train")
     return fit_logistic_gd(train, features, label, cfg)

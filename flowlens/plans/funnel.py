@@ -132,7 +132,11 @@ def reasons_pct_of_drop(spark: SparkSession, no_interest: DataFrame, interaction
     j = counts.join(drops, "reason_type", "left")
     pct = F.when(F.col("dropped") > 0, F.col("count") / F.col("dropped") * 100).otherwise(F.lit(0.0))
     j = j.withColumn("pct", r6(pct))
-    ranked = top_k_per_group(j, ["reason_type"], [F.desc("count"), F.asc("reason")], limit if limit else 1 << 30)
+    order = [F.desc("count"), F.asc("reason")]
+    if limit is None:
+        ranked = j.withColumn("rank", F.row_number().over(Window.partitionBy("reason_type").orderBy(*order)))
+    else:
+        ranked = top_k_per_group(j, ["reason_type"], order, limit)
     return ranked.select("reason_type", "stage", "reason", "count", "pct", "rank")
 
 
@@ -219,7 +223,7 @@ def reason_names(no_interest: DataFrame, limit: int = 3) -> DataFrame:
     """first ``limit`` reason names per column, then '- ...' when more exist."""
     long = melt(no_interest, ["lead_id"], REASON_COLUMNS, "reason_type", "reason")
     counts = long.groupBy("reason_type", "reason").agg(F.count(F.lit(1)).alias("count"))
-    ranked = top_k_per_group(counts, ["reason_type"], [F.desc("count"), F.asc("reason")], 1 << 30)
+    ranked = top_k_per_group(counts, ["reason_type"], [F.desc("count"), F.asc("reason")], limit + 1)
     g = ranked.groupBy("reason_type").agg(
         F.sort_array(F.collect_list(F.when(F.col("rank") <= limit, F.struct("rank", F.concat(F.lit("- "), F.col("reason")).alias("line"))))).alias("lines"),
         F.max("rank").alias("n"),

@@ -105,6 +105,14 @@ def monthly_growth(sales: DataFrame, entity: str = "county") -> DataFrame:
     return period_growth(sales, [entity], "date", "sales", money_sum("sale_dollars"))
 
 
+def _all_same(columns: list[str]):
+    """NULL-safe equality of each column with its copy named ``_<column>``."""
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return out
+
+
 def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int = 3, n_products: int = 2,
                          probe: DataFrame | None = None) -> DataFrame:
     """SL8/H4: top counties → top stores per county → top products per (county, store).
@@ -136,7 +144,8 @@ def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int =
     counties = counties.withColumn("max_county_sales", F.max("county_sales").over(Window.partitionBy()))
     top_c = F.broadcast(counties)
 
-    in_top = fine.join(top_c.select("county"), "county", "left_semi")
+    # a NULL county is a county: it may hold one of the places
+    in_top = fine.join(top_c.select(F.col("county").alias("_c")), F.col("county").eqNullSafe(F.col("_c")), "left_semi")
     stores = in_top.groupBy("county", "store_number", "store_name").agg(
         F.sum("_sales").cast("double").alias("store_sales"), safe_div(F.sum("_gsum"), F.sum("_gcnt")).alias("store_growth")
     )
@@ -145,7 +154,8 @@ def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int =
     # ≤ n_counties × n_stores rows
     top_s = F.broadcast(stores)
 
-    products = in_top.join(top_s.select("county", "store_number", "store_name"), ["county", "store_number", "store_name"], "left_semi").select(
+    path = ["county", "store_number", "store_name"]
+    products = in_top.join(top_s.select(*[F.col(c).alias(f"_{c}") for c in path]), _all_same(path), "left_semi").select(
         "county", "store_number", "store_name", "item_description",
         F.col("_sales").cast("double").alias("product_sales"), safe_div(F.col("_msum"), F.col("_mcnt")).alias("avg_margin"),
     )
@@ -154,7 +164,8 @@ def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int =
         "max_product_sales", F.max("product_sales").over(Window.partitionBy("county", "store_number", "store_name"))
     )
 
-    tree = products.join(top_s, ["county", "store_number", "store_name"]).join(top_c, "county")
+    tree = products.join(top_s.withColumnsRenamed({c: f"_{c}" for c in path}), _all_same(path)).drop(*[f"_{c}" for c in path])
+    tree = tree.join(top_c.withColumnRenamed("county", "_county"), _all_same(["county"])).drop("_county")
     return tree.select(
         "county", "store_number", "store_name", "store_rank", "item_description", "product_rank",
         "county_sales", r6("county_growth").alias("county_growth"),
@@ -180,7 +191,8 @@ def geo_hierarchy(sales: DataFrame, n_counties: int = 5, n_stores: int = 3) -> D
 
     As in the reference, a store's name and top product come from all of the store's sales.
     """
-    counties = arg_max_of_sum(sales, "county", "sale_dollars", n_counties).select("county", F.col("total").alias("county_sales"))
+    named = sales.filter(F.col("county").isNotNull())  # a group without a name is no county (D1)
+    counties = arg_max_of_sum(named, "county", "sale_dollars", n_counties).select("county", F.col("total").alias("county_sales"))
     stores = first_k_distinct(
         sales.join(F.broadcast(counties.select("county")), "county", "left_semi"), ["county"], "store_number", n_stores
     ).withColumnRenamed("rank", "store_rank")

@@ -424,17 +424,17 @@ def e7_grid_threshold(spark, d):
 
 @query("e4_roc_auc")
 def e4_roc_auc(spark, d):
-    return EV.roc_auc(FR.scored_test(spark, A.labelled_view(spark, d)), digits=6)
+    return EV.roc_auc(FR.exact_scored_test(A.labelled_view(spark, d)))
 
 
 @query("e5_pr_curve")
 def e5_pr_curve(spark, d):
-    return EV.pr_curve(FR.scored_test(spark, A.labelled_view(spark, d)), digits=6)
+    return EV.pr_curve(FR.exact_scored_test(A.labelled_view(spark, d)))
 
 
 @query("e6_best_f1_threshold")
 def e6_best_f1_threshold(spark, d):
-    return EV.best_f1_threshold(EV.pr_curve(FR.scored_test(spark, A.labelled_view(spark, d)), digits=6))
+    return EV.best_f1_threshold(EV.pr_curve(FR.exact_scored_test(A.labelled_view(spark, d))))
 
 
 @query("e8_classification_report")

@@ -1,8 +1,9 @@
 """Session helpers.
 
 Library code never creates its own session; it takes the caller's. ``local_session`` is for
-tests and the bench only. ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session and
-only falls back to a directory of its own when the setting is absent (local runs).
+tests and the bench only. ``ensure_checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session; only
+in local mode, where one machine is driver and executors, it sets a folder of its own if there is none. On
+a cluster without the setting it raises.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="flowlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set(_CHECKPOINT_KEY, local)
     spark.sparkContext.setCheckpointDir(local)

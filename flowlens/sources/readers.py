@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,19 +53,22 @@ def read_labelled_csv(
 ) -> DataFrame:
     """Header CSV → ``(features ARRAY<DOUBLE>, label INT)``.
 
-    Quotes are stripped by the CSV reader; a non-numeric feature becomes 0.0; rows with at
-    most one non-empty field (blank or broken lines) are dropped; a missing file yields an
-    empty DataFrame of the same schema instead of an error.
+    Quotes are stripped by the CSV reader; a non-numeric feature becomes 0.0; lines with one
+    field (blank or broken) are dropped; a path that doesn't exist yields an empty DataFrame of
+    the same schema, any other failure is raised.
     """
     feature_cols = feature_cols or [c for c in schemas.TXN_FEATURES if c not in set(drop_cols)]
     out_schema = "features array<double>, label int"
     try:
         # header names, every column a string: no inference pass, columns matched by name
-        raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("nullValue", "\u0000").option("emptyValue", "").csv(path)
         raw.schema  # noqa: B018 - resolves the path
-    except Exception:  # noqa: BLE001 - S4: load failure gives an empty set
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
+            raise
         return spark.createDataFrame([], out_schema)
-    present = F.size(F.filter(F.array(*[F.col(c) for c in raw.columns]), lambda x: x.isNotNull() & (F.trim(x) != "")))
+    # a line without a separator fills the first column only
+    present = F.size(F.filter(F.array(*[F.col(c) for c in raw.columns]), lambda x: x.isNotNull()))
     return (
         raw.filter(present > 1)
         .select(

@@ -123,18 +123,51 @@ def test_auc_with_ties(scored):
 
 def test_pr_curve_and_best(scored):
     df, s, l = scored
-    curve = {r.threshold: r for r in EV.pr_curve(df, digits=None).collect()}
+    curve = {r.threshold: r for r in EV.pr_curve(df).collect()}
     for t in sorted(set(s)):
         if t < s[l == 1].min():
             assert t not in curve
             continue
         tp, fp, _, fn = brute(s, l, t)
         assert (curve[t].tp, curve[t].fp) == (tp, fp)
-    best = EV.best_f1_threshold(EV.pr_curve(df, digits=None)).first()
+    best = EV.best_f1_threshold(EV.pr_curve(df)).first()
     f1s = {t: 2 * r.precision * r.recall / (r.precision + r.recall) for t, r in curve.items() if r.precision + r.recall > 0}
     assert abs(best.f1 - round(max(f1s.values()), 6)) < 1e-6
 
 
+def test_grid_prefers_the_larger_f1_however_close(spark):
+    """One false positive among four million: 0.11 has the larger F1, by less than 1e-6."""
+    df = spark.range(4_000_000).selectExpr("0.9D AS probability", "1 AS label").unionByName(
+        spark.createDataFrame([(0.105, 0)], "probability double, label int"))
+    assert EV.grid_best_threshold(df, [0.10, 0.11, 0.12]).first().best_threshold == 0.11
+
+
+def test_best_threshold_is_not_rounded(spark):
+    rows = [(0.1234567891, 1), (0.12345678905, 0), (0.1234567889, 1)]
+    df = spark.createDataFrame(rows, "probability double, label int")
+    curve = EV.pr_curve(df)
+    assert curve.count() == 3
+    assert EV.best_f1_threshold(curve).first().best_threshold == 0.1234567889
+
+
+def test_curve_has_a_point_for_every_score(spark):
+    from flowlens.plans import fraud as FR
+    from flowlens.sources.adapters import labelled_view
+    from tests.conftest import SF_SMALL
+
+    scored = FR.exact_scored_test(labelled_view(spark, SF_SMALL))
+    low = scored.filter("label = 1").agg({"probability": "min"}).first()[0]
+    assert EV.pr_curve(scored).count() == scored.filter(f"probability >= {low!r}").select("probability").distinct().count()
+
+
+def test_smote_needs_a_neighbour(spark):
+    from flowlens.operators.knn import smote
+
+    df = spark.createDataFrame([(i, [float(i)], int(i == 0)) for i in range(9)], "id bigint, v array<double>, label int")
+    with pytest.raises(ValueError):
+        smote(df, "id", "v", "label")
+
+
 def test_grid_default_when_no_f1(spark):
     df = spark.createDataFrame([(0.01, 1), (0.02, 0)], "probability double, label int")
     r = EV.grid_best_threshold(df, [0.1 + i * 0.01 for i in range(40)]).first()

@@ -20,22 +20,24 @@ def labelled(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 250, 2999, 5000])
-@pytest.mark.parametrize("levels", [(1, 2_000_000), (1, 5), (3, 2_000_000)])
-def test_first_n_global_matches_sort(spark, labelled, n, levels):
+@pytest.mark.parametrize("levels", [(1, 1000), (1, 5), (3, 1000)])
+def test_first_n_global_matches_sort(spark, labelled, n, levels, monkeypatch):
     df, data = labelled
     h = df.withColumn("_h", RK.hash_key(42, "id"))
     d, mx = levels
-    got = sorted(r.id for r in RK.first_n_flag(h, "_h", n, (), "sel", level_digits=d, max_bucket_rows=mx).filter("sel").collect())
+    monkeypatch.setattr(RK, "BOUNDARY_ROWS", mx)
+    got = sorted(r.id for r in RK.first_n_flag(h, "_h", n, (), "sel", level_digits=d).filter("sel").collect())
     want = sorted(sorted(i for i, _ in data)[:0] if n == 0 else [i for i, _ in sorted(data, key=lambda t: md5(42, t[0]))[:n]])
     assert got == want
 
 
-@pytest.mark.parametrize("mx", [2_000_000, 3])
-def test_first_n_per_group_with_targets(spark, labelled, mx):
+@pytest.mark.parametrize("mx", [1000, 3])
+def test_first_n_per_group_with_targets(spark, labelled, mx, monkeypatch):
     df, data = labelled
+    monkeypatch.setattr(RK, "BOUNDARY_ROWS", mx)
     h = df.withColumn("_h", RK.hash_key(9, "id"))
     targets = spark.createDataFrame([(0, 100), (1, 3)], "label int, n bigint")
-    flagged = RK.first_n_flag(h, "_h", targets, ["label"], "sel", level_digits=1, max_bucket_rows=mx)
+    flagged = RK.first_n_flag(h, "_h", targets, ["label"], "sel", level_digits=1)
     got = sorted((r.label, r.id) for r in flagged.filter("sel").collect())
     want = []
     for c, n in [(0, 100), (1, 3)]:
@@ -55,6 +57,21 @@ def test_stratified_split_sizes_and_determinism(spark, labelled):
     assert sorted(tuple(r) for r in s1.collect()) == sorted(tuple(r) for r in s2.collect())
 
 
+def test_null_class_is_split_like_any_other(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 3) for i in range(750)], "id bigint, label int")
+    counts = {(r.label, r.is_train): r["count"] for r in SM.stratified_split(df, "id", "label", 0.2, 42).groupBy("label", "is_train").count().collect()}
+    assert counts == {(c, t): n for c in (None, 1, 2) for t, n in ((True, 200), (False, 50))}
+
+
+def test_flag_is_a_projection_of_one_scan(spark):
+    from flowlens.sources.adapters import labelled_view
+    from tests.conftest import SF_SMALL
+
+    flagged = SM.stratified_split(labelled_view(spark, SF_SMALL), "row_id", "label", 0.2, 42)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Window" not in plan
+
+
 def test_undersample_ratio_exact(spark, labelled):
     df, data = labelled
     n1 = sum(l for _, l in data)
