@@ -14,7 +14,7 @@ __all__ = [
     "col_", "safe_div", "safe_div0", "money", "money_sum", "r6", "canonicalise", "canonicalise_all",
     "clean_category_name", "first_token_lower", "prefix_ellipsis", "usd_label", "millions_label",
     "thousands_label", "pct_label", "signed_growth_label", "clip01", "relative_width", "lenient_date",
-    "strict_date", "has_column", "first_value_or_na",
+    "strict_date",
 ]
 
 
@@ -118,12 +118,3 @@ def lenient_date(c: Column | str, fmt: str | None = None) -> Column:
 
 def strict_date(c: Column | str, fmt: str = "M/d/yyyy") -> Column:
     return F.to_date(col_(c), fmt)
-
-
-def has_column(df: DataFrame, name: str) -> bool:
-    """Schema test done while planning, not per row."""
-    return name in df.columns
-
-
-def first_value_or_na(c: Column | str) -> Column:
-    return F.coalesce(col_(c).cast("string"), F.lit("N/A"))

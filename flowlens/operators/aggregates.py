@@ -20,26 +20,11 @@ def frequency(df: DataFrame, key: str, drop_null: bool = True, name: str = "coun
     return src.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def distinct_count(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """A2: NULL-ignoring distinct count."""
-    return df.agg(F.count_distinct(col).alias(name or f"n_{col}"))
-
-
-def distinct_count_by(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
-    """Distinct count per group."""
-    return df.groupBy(*keys).agg(F.count_distinct(col).alias(name))
-
-
 def conditional_rate(df: DataFrame, keys: Sequence[str], cond: Column, name: str, scale: float = 100.0) -> DataFrame:
     """Share of rows meeting ``cond`` per group (rows as base), in percent."""
     return df.groupBy(*keys).agg((F.avg(F.when(cond, 1.0).otherwise(0.0)) * scale).alias(name))
 
 
-def mode_value(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """Most frequent value, smallest on ties."""
-    return df.agg(F.mode(col, True).alias(name or f"mode_{col}"))
-
-
 def arg_max_of_sum(df: DataFrame, key: str, value: str | Column, k: int = 1, money_value: bool = True) -> DataFrame:
     """The k keys with the largest sum; ties broken by key asc.
 
@@ -49,11 +34,6 @@ def arg_max_of_sum(df: DataFrame, key: str, value: str | Column, k: int = 1, mon
     return df.groupBy(key).agg(total.alias("total")).orderBy(F.desc("total"), F.asc_nulls_last(key)).limit(k)
 
 
-def arg_max_of_count(df: DataFrame, key: str, drop_null: bool = True) -> DataFrame:
-    """Most frequent key (count desc, key asc)."""
-    return frequency(df, key, drop_null).orderBy(F.desc("count"), F.asc(key)).limit(1)
-
-
 def mean_of_group_distinct(df: DataFrame, group: str, col: str, name: str) -> DataFrame:
     """Mean over groups of the number of distinct values per group."""
     per = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count_distinct(col).alias("_n"))
@@ -87,11 +67,6 @@ def moments(df: DataFrame, cols: Iterable[str], zero_std_to_one: bool = True) ->
     return df.agg(*aggs)
 
 
-def share_of_total(df: DataFrame, count_col: str, total: Column, name: str = "pct", scale: float = 100.0) -> DataFrame:
-    """Count / total × 100 with the reference's ``else 0``."""
-    return df.withColumn(name, F.coalesce(safe_div(F.col(count_col) * F.lit(scale), total), F.lit(0.0)))
-
-
 def ordered_text(df: DataFrame, keys: Sequence[str], text: Column, order: Sequence[Column], sep: str = "\n", name: str = "text") -> DataFrame:
     """One text per group, lines ordered by ``order`` (listagg WITHIN GROUP).
 

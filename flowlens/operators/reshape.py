@@ -8,14 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def union_all(*dfs: DataFrame) -> DataFrame:
-    """Concatenation by column name."""
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out
-
-
 def node_set(edges: DataFrame, a: str = "node1", b: str = "node2", name: str = "node") -> DataFrame:
     """Distinct union of two columns."""
     return edges.select(F.col(a).alias(name)).union(edges.select(F.col(b).alias(name))).distinct()

@@ -13,11 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """O2/O3: global top-k → TakeOrderedAndProject (no global sort)."""
-    return df.orderBy(*order).limit(k)
-
-
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank_col: str = "rank") -> DataFrame:
     """The first k rows of every group by ``order`` (which must end with a unique key)."""
     w = Window.partitionBy(*group).orderBy(*order)
@@ -29,11 +24,6 @@ def first_k_distinct(df: DataFrame, group: Sequence[str], key: str, k: int) -> D
     return top_k_per_group(df.select(*group, key).distinct(), group, [F.asc(key)], k)
 
 
-def head_per_class(df: DataFrame, cls: str, order: Sequence[Column], n: int) -> DataFrame:
-    """First n rows of each class by a stable order."""
-    return top_k_per_group(df, [cls], order, n, "_rn").drop("_rn")
-
-
 def sort_by_abs(df: DataFrame, value: str, name_col: str) -> DataFrame:
     """Order by |value| desc, then name (coefficient tables)."""
     return df.withColumn("abs_value", F.abs(value)).orderBy(F.desc("abs_value"), F.asc(name_col))

@@ -59,10 +59,5 @@ EDGES = T.StructType([
 TXN_FEATURES = ["Time"] + [f"V{i}" for i in range(1, 29)] + ["Amount"]
 
 
-def txn_raw() -> T.StructType:
-    """All 31 columns as strings so that a non-numeric field does not fail the scan."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in TXN_FEATURES + ["Class"]])
-
-
 # Date format of the lead CSVs (fixed value of the input files)
 LEAD_DATE_FORMAT = "M/d/yyyy"
