@@ -19,7 +19,7 @@ different components is lost.
 
 Null, empty and blank texts have an empty set (size 0) and are linked with nothing; texts of one to four
 words have the whole sequence as their one shingle. Rows repeated with the same id give one node. A row
-with a null id gets its size and a null component. Other columns are not read. An empty table gives an
+with a null id makes no links; it gets the component of an equal set that has an id, else null. Other columns are not read. An empty table gives an
 empty result.
 """
 
