@@ -30,7 +30,7 @@ from flowlens.llm import arrays as A
 from flowlens.llm.common import class_sample, fold, id_and_text, written
 
 LENGTH, STRIDE = 24, 12
-PER_CLASS = 1_500
+PER_CLASS = 1_000
 HIDDEN, OWN, SPELT = 8, 6, 6
 SPELT_BITS = 16
 LEAST_DOCS = 4
