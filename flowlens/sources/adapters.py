@@ -73,7 +73,7 @@ def sales_view(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
             "o_orderkey", F.col("n_name").alias("county")
         )
         df = df.join(order_county, df.l_orderkey == order_county.o_orderkey, "left")
-    if need & {"store_number", "store_name"}:
+    if "store_name" in need:
         supplier = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
         df = df.join(supplier, df.l_suppkey == supplier.s_suppkey, "left")
     if need & {"item_description", "volume_sold_liters", "state_bottle_retail", "state_bottle_cost"}:
@@ -83,7 +83,7 @@ def sales_view(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
     exprs: dict[str, Column] = {
         "invoice_and_item_number": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
         "date": F.to_date("l_shipdate"),
-        "store_number": F.col("s_suppkey"),
+        "store_number": F.col("l_suppkey"),
         "store_name": F.col("s_name"),
         "county": F.col("county"),
         "item_description": F.col("p_name"),

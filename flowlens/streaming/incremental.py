@@ -41,8 +41,8 @@ def county_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
-    dim = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
-        F.broadcast(nation), customer.c_nationkey == nation.n_nationkey
+    dim = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(
+        F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left"
     ).select("o_orderkey", F.col("n_name").alias("county"))
     return li.join(dim, li.l_orderkey == dim.o_orderkey, "left").groupBy("county").agg(
         money_sum("l_extendedprice").alias("sales")
