@@ -6,9 +6,10 @@ equal sets are one node, each node of a bucket is paired with the bucket's least
 exact Jaccard similarity (0.8 or more), and buckets that stay in several components are compared again in
 bounded blocks (as in the shingle join). Removals are clustered by connected components.
 
-A repeated passage may also stand inside longer paragraphs. So of each run of ``WINDOW`` windows of ``PART``
-words, all within a line, the one of least hash is taken as a part; two documents that share
-``WINDOW + PART - 1`` (49) words in a line share a part for certain. Parts are clustered when equal.
+A repeated passage may also stand inside longer paragraphs, or run over several lines, short ones and
+differently broken ones too. So of each run of ``WINDOW`` windows of ``PART`` successive words of a document,
+whatever line breaks stand among them, the one of least hash is taken as a part; two documents that share
+``WINDOW + PART - 1`` (49) successive words share a part for certain. Parts are clustered when equal.
 
 Of a cluster the occurrence with the smallest id, then the first in its text, stays; all others are to go
 (of a part, those in other documents). Overlapping spans of a document are merged.
@@ -92,7 +93,7 @@ def _slide(x: np.ndarray, n: int, best) -> np.ndarray:
 
 
 def parts(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, hash) of the windows of PART words that some run of WINDOW windows in a line has as its least."""
+    """(first word, hash) of the windows of PART words that some run of WINDOW windows in a row has as its least."""
     need = PART + WINDOW - 1
     if len(h) < need:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -101,33 +102,27 @@ def parts(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         g *= _U(0xC2B2AE3D27D4EB4F)
         g += h[j : j + len(g)]
     g = A.mix(g) | _U(1)
-    line = A.owner(starts)
+    row = A.owner(starts)
     least = _slide(g, WINDOW, np.minimum)  # of the run that starts at each window
-    least[line[: len(least)] != line[need - 1 : need - 1 + len(least)]] = 0  # runs that leave the line
+    least[row[: len(least)] != row[need - 1 : need - 1 + len(least)]] = 0  # runs that leave the row
     edge = np.zeros(WINDOW - 1, np.uint64)
     highest = _slide(np.concatenate((edge, least, edge)), WINDOW, np.maximum)  # of the runs that hold each window
     at = np.flatnonzero(highest == g)
     return at, g[at]
 
 
-def _in_document(word: np.ndarray, doc: np.ndarray, docs: int, starts: np.ndarray, line_doc: np.ndarray) -> np.ndarray:
-    """Word numbers counted from their document's first word."""
-    begin = np.full(docs, 0)
-    begin[line_doc[::-1]] = starts[:-1][::-1]
-    return word - begin[doc]
-
-
 def _occurrences(with_parts: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in A.slices(batches):
             h, starts, doc = lines(*A.bytes_of(part.column(1)))
             size = np.diff(starts)
+            begin = starts[np.searchsorted(doc, np.arange(part.num_rows + 1))]  # the documents' first words
             units = [(node_ids(t, f), starts[r], size[r], d, np.zeros(len(r), bool)) for t, f, r, d in paragraphs(h, starts, doc)]
             if with_parts:
-                at, g = parts(h, starts)
-                units.append((A.mix(g).view(np.int64), at, np.full(len(at), PART), doc[A.owner(starts)[at]], np.ones(len(at), bool)))
+                at, g = parts(h, begin)
+                units.append((A.mix(g).view(np.int64), at, np.full(len(at), PART), A.owner(begin)[at], np.ones(len(at), bool)))
             for node, word, n, d, is_part in units:
-                word = _in_document(word, d, part.num_rows, starts, doc)
+                word = word - begin[d]
                 columns = [pa.array(node), part.column(0).take(pa.array(d)), pa.array(word.astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(is_part)]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "doc_id", "first_word", "n_words", "is_part"])
 

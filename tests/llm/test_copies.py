@@ -156,6 +156,43 @@ def test_every_shared_run_of_50_words_is_found(spark, small):
         assert len(left) <= 1
 
 
+def wrapped(text, n, first=0):
+    """The text's words in lines of n words, the first line of ``first``."""
+    w = text.split()
+    ends = [0, *range(first or n, len(w), n), len(w)]
+    return "\n".join(" ".join(w[a:b]) for a, b in zip(ends, ends[1:]))
+
+
+def test_passages_with_line_breaks(spark):
+    short, across, other = prose(60, 60), prose(61, 51), prose(62, 46)
+    rows = [
+        (0, prose(70, 30) + "\n" + wrapped(short, 12)),
+        (1, wrapped(short, 12) + "\n" + prose(71, 25)),
+        (2, prose(72, 7) + " " + wrapped(short, 19, 5)),  # other line breaks
+        (3, prose(73, 70) + " " + wrapped(across, 26) + " " + prose(74, 70)),  # from one long line into the next
+        (4, prose(75, 60) + " " + wrapped(across, 30) + " " + prose(76, 60)),
+        (5, None),
+        (6, prose(77, 60) + " " + other),
+        (7, prose(78, 40) + " " + " ".join(other.split()[:23])),  # the passage ends with one document
+        (8, " ".join(other.split()[23:]) + " " + prose(79, 40)),  # and goes on in the next
+    ]
+    seen = collections.defaultdict(set)
+    for i, t in rows:
+        w = words(t)
+        for k in range(len(w) - 48):
+            seen[tuple(w[k : k + 49])].add((i, k))
+    shared = [v for v in seen.values() if len({i for i, _ in v}) > 1]
+    assert {i for v in shared for i, _ in v} == {0, 1, 2, 3, 4}
+    spans = collections.defaultdict(list)
+    for r in P.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(1)).collect():
+        spans[r.doc_id].append((r.first_word, r.first_word + r.n_words, r.keep_id))
+    assert set(spans) == {1, 2, 4}
+    for v in shared:
+        keep = min(v)[0]
+        for i, k in v:
+            assert i == keep or any(a < k + 49 and b > k and of == keep for a, b, of in spans[i])
+
+
 def test_near_paragraphs_by_brute_force(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(60)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
