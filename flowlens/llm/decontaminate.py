@@ -1,11 +1,13 @@
 """Operator 8: benchmark passages in documents, by spaced seeds.
 
-Texts are read as words (bytes lower-cased for A-Z, cut at white space). Each of a few fixed masks looks
-at 8 of 12 successive words and ignores the rest, so a window still hashes alike where a substituted word
-falls on an ignored place. Window hashes of the benchmark are joined with those of all documents; a hit
+Texts are read as words (bytes lower-cased for A-Z, cut at white space). Each of 25 fixed masks looks
+at 6 of 12 successive words and ignores the rest, so a window still hashes alike where a substituted word
+falls on an ignored place. The masks were chosen so that, wherever the substitutions fall in a run that
+the comparison accepts, some mask at some place of the run sees none of them. Window hashes of the benchmark are joined with those of all documents; a hit
 fixes an alignment (document word minus item word), on which all words of the item are then compared. A
 hit stands if some run of ``RUN`` successive words of the item (all, if it has fewer) has at least
-``SHARE`` of its words equal.
+``SHARE`` of its words equal; words past an end of the document count as unequal, and at least 12 words of
+the item must lie in it (all, if it has fewer).
 
 The benchmark is read in blocks of about ``BLOCK_WORDS`` words; each block's index is broadcast (its size
 has that bound) and all documents pass by it, so a benchmark of any size works without a shuffle. Items of
@@ -27,7 +29,13 @@ from pyspark.sql import functions as F
 from flowlens.llm import arrays as A
 from flowlens.llm.common import anti_join, id_and_text
 
-MASKS = ("110110110011", "111010011011", "101101110101", "111100001111")
+MASKS = (
+    "110001001011", "101110100001", "010100010111", "101100011001", "000010101111",
+    "111011000001", "111010011000", "100100001111", "111001010100", "001001100111",
+    "100011110010", "000011011101", "110110100100", "001010010111", "010101111000",
+    "000001111011", "110101100010", "011011001010", "001100111100", "011111100000",
+    "111010000110", "100110101001", "110000101101", "000111001110", "000010111011",
+)
 LEAST_WORDS = 8
 RUN, SHARE = 20, 0.7
 BLOCK_WORDS = 200_000
@@ -108,9 +116,9 @@ class Index:
             a, b = max(0, -shift), min(len(own), len(text) - shift)
             equal = text[a + shift : b + shift] == own[a:b]
             run = min(RUN, len(own))
-            if b - a < run:
+            if b - a < min(run, len(MASKS[0])):
                 continue
-            sums = np.concatenate(([0], np.cumsum(equal)))
+            sums = np.concatenate((np.zeros(a + 1, int), np.cumsum(equal), np.full(len(own) - b, equal.sum())))
             if (sums[run:] - sums[:-run]).max() < SHARE * run:
                 continue
             found = (int(equal.sum()), -(a + shift), b - a)

@@ -96,6 +96,38 @@ def test_substituted_passages(spark, monkeypatch, block):
     assert {d for d, *_ in want} >= {10, 11, 12, 13, 14, 15, 20, 21, 22, 30, 31}
 
 
+def overlaps(text, item):
+    """What the index finds of one item in one text, without Spark."""
+    import pyarrow as pa
+
+    from flowlens.llm import arrays as A
+
+    _, _, h, starts = A.words(*A.bytes_of(pa.array([text])))
+    return D.Index(pa.table({"item_id": pa.array([1], pa.int64()), "text": [item]})).overlaps(h, starts)
+
+
+def test_every_accepted_substitution_is_seeded():
+    rng = random.Random(5)
+    around = prose(500, 25)
+    for n in (12, 13, 20, 26, 45):
+        item = prose(510 + n, n)
+        w = item.split()
+        runs = [[j for j in range(n) if j % period == phase] for period in range(2, 13) for phase in range(period)]
+        runs += [rng.sample(range(n), rng.randint(3, 3 * n // 10 + 1)) for _ in range(60)]
+        for gone in runs:
+            text = around + " " + " ".join("zz" if j in gone else x for j, x in enumerate(w)) + " " + around
+            got = {(0, *x[1:]) for x in overlaps(text, item)}
+            assert got == brute_overlaps([(0, text)], [(1, item)]), (n, gone)
+
+
+def test_items_cut_at_document_ends():
+    item, around = prose(520, 40), prose(521, 30)
+    w = item.split()
+    for k, found in ((13, False), (14, True), (17, True), (19, True)):
+        assert bool(overlaps(" ".join(w[-k:]) + " " + around, item)) == found
+        assert bool(overlaps(around + " " + " ".join(w[:k]), item)) == found
+
+
 def test_decontamination_on_edges(spark, edge_docs, no_docs):
     items = spark.createDataFrame([(1, " ".join(EDGE_ROWS[0][1].split()[10:60])), (2, None)], "item_id long, text string")
     got = D.benchmark_overlaps(edge_docs, items).collect()
