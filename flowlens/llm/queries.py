@@ -14,6 +14,7 @@ from flowlens.llm.lm_score import cross_entropy_difference
 from flowlens.llm.mixing import mix
 from flowlens.llm.paragraphs import repeated_spans
 from flowlens.llm.parity_join import near_copies
+from flowlens.llm.periodic import planted, run_digests
 from flowlens.llm.quality import quality
 from flowlens.llm.token_counts import token_counts
 from flowlens.llm.toxicity import toxicity
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": lambda spark, d: benchmark_overlaps(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op9_parity_join": lambda spark, d: near_copies(table(spark, d, "documents")),
     "op10_token_counts": lambda spark, d: token_counts(table(spark, d, "documents")),
+    "op13_periodic_runs": lambda spark, d: run_digests(table(spark, d, "documents"), alter=planted),
 }
 
 #: DuckDB twins of the queries that SQL can express.
