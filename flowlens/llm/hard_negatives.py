@@ -1,13 +1,15 @@
 """Operator 11: hard negatives of anchors, by rotated one-bit codes with a sound interval for each score.
 
-Vectors are rows of whole numbers; a score is the inner product of two. Every row is rotated by one fixed
-orthogonal matrix and coded by the signs of its coordinates: c, the unit vector along those signs. Stored
-with the code are the alignment a = <v, c> and the residual's norm r = sqrt(|v|^2 - a^2). An anchor is rotated
-too and rounded to ``PLANES`` bits a coordinate, q', so <q', c> is a sum of popcounts of bit planes. Then
+Vectors are rows of whole numbers; a score is the inner product of two. Every row is rotated by a fixed
+orthogonal matrix and coded by the signs of its coordinates: c, the unit vector along those signs, with its
+alignment a = <v, c>. What is left, v - a c, is rotated and coded again, ``STAGES`` times in all; stored are
+the codes, the alignments and the norm of the last residual r. An anchor goes through the same rotations and is
+rounded to ``PLANES`` bits a coordinate before each code, q', so <q', c> is a sum of popcounts of bit planes. Then
 
-    <q, v> = a <q', c> + <q', v - a c> + <q - q', v>,
+    <q, v> = sum of a <q', c>  +  sum of a <q - q', c>  +  <q, r>,
 
-and by Cauchy and Schwarz the last two terms are at most sqrt(|q'|^2 - <q', c>^2) r and |q - q'| |v|. So each
+and by Cauchy and Schwarz the second sum is at most that of |a| |q - q'|, and the last term (r is orthogonal to
+the last code) at most sqrt(|q|^2 - <q, c>^2) |r|. So each
 pair has an estimate and an interval that holds its score for certain (widened for the rounding of floating
 point). A pair is dropped only if its interval lies outside what a query can still take: the range of scores
 asked for, and above it the k-th best lower end of the pairs seen, or the k-th best score. The pairs that
@@ -41,20 +43,22 @@ from flowlens.llm.common import package_reachable, written
 from flowlens.session import ensure_checkpoint_dir
 
 PLANES = 6
+STAGES = 4
 BLOCK = 1024
 CHUNK_ROWS = 1024
 ROWS_A_PART = 8192
 _EXACT = 2.0**53
 _LONG = (1 << 63) - 1
 
-CODED = "vec_id long, label long, anchor boolean, v array<long>, code binary, align double, norm double"
+CODED = "vec_id long, label long, anchor boolean, v array<long>, code binary, align array<double>, rest double, norm double"
 FOUND = "anchor_id long, slot int, id long, score long"
 
 
-def rotation(d: int) -> np.ndarray:
-    """A fixed random orthogonal matrix."""
-    q, r = np.linalg.qr(np.random.default_rng(20240611).normal(size=(d, d)))
-    return q * np.sign(np.diag(r))
+def rotations(d: int) -> list[np.ndarray]:
+    """A fixed random orthogonal matrix for each stage."""
+    rng = np.random.default_rng(20240611)
+    turns = [np.linalg.qr(rng.normal(size=(d, d))) for _ in range(STAGES)]
+    return [q * np.sign(np.diag(r)) for q, r in turns]
 
 
 def numbers(vectors: DataFrame, id_col: str, vector_col: str, label: Column, anchor: Column) -> DataFrame:
@@ -86,45 +90,63 @@ def matrix(column: pa.Array, d: int) -> np.ndarray:
 
 @dataclass
 class Coded:
-    """Rows with their codes: alignment with the code's unit vector, and the vector's norm."""
+    """Rows with their codes (stages x words of 64 bits), alignments, and the norms of the last residual and of all."""
 
     ids: np.ndarray
     label: np.ndarray
     v: np.ndarray
-    code: np.ndarray  # words of 64 bits
+    code: np.ndarray
     align: np.ndarray
+    rest: np.ndarray
     norm: np.ndarray
 
     def part(self, at: slice) -> Coded:
-        return Coded(*(x[at] for x in (self.ids, self.label, self.v, self.code, self.align, self.norm)))
+        return Coded(*(x[at] for x in (self.ids, self.label, self.v, self.code, self.align, self.rest, self.norm)))
 
 
-def encode(v: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(code bytes, alignment, norm) of each row."""
-    d = turn.shape[0]
-    turned = v.astype(np.float64) @ turn
-    bits = np.packbits(turned >= 0, axis=1, bitorder="little")
-    bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))
-    return bits, np.abs(turned).sum(axis=1) / np.sqrt(max(d, 1)), np.sqrt((turned**2).sum(axis=1))
+def _words(bits: np.ndarray) -> np.ndarray:
+    """Rows of bits as rows of 64-bit words."""
+    packed = np.packbits(bits, axis=1, bitorder="little")
+    return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))).view("<u8")
+
+
+def encode(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, alignments, norm of the last residual, norm) of each row."""
+    rest = v.astype(np.float64)
+    norm, d = np.sqrt((rest**2).sum(axis=1)), v.shape[1]
+    codes, align = [], []
+    for turn in rotations(d):
+        rest = rest @ turn
+        signs = np.where(rest >= 0, 1 / np.sqrt(d), -1 / np.sqrt(d))
+        align.append((rest * signs).sum(axis=1))
+        codes.append(_words(rest >= 0))
+        rest = rest - align[-1][:, None] * signs
+    return np.stack(codes, axis=1), np.stack(align, axis=1), np.sqrt((rest**2).sum(axis=1)), norm
+
+
+def _lists(x: np.ndarray) -> pa.ListArray:
+    n, d = x.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d), pa.array(x.ravel()))
 
 
 def _code_rows(d: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotation(d)
         for batch in batches:
             v = matrix(batch.column("v"), d)
-            bits, align, norm = encode(v, turn)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, d, dtype=np.int32) if d else np.zeros(len(v) + 1, np.int32)), pa.array(v.ravel()))
-            columns = [batch.column("vec_id"), batch.column("label"), batch.column("anchor"), lists, pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(align), pa.array(norm)]
-            yield pa.RecordBatch.from_arrays(columns, ["vec_id", "label", "anchor", "v", "code", "align", "norm"])
+            code, align, rest, norm = encode(v)
+            raw = pa.array([c.tobytes() for c in code], pa.binary())
+            columns = [*(batch.column(c) for c in ("vec_id", "label", "anchor")), _lists(v), raw, _lists(align), pa.array(rest), pa.array(norm)]
+            yield pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in CODED.split(", ")])
 
     return rows
 
 
 def coded(table: pa.RecordBatch | pa.Table, d: int) -> Coded:
-    ids, label, align, norm = (np.asarray(table.column(c)) for c in ("vec_id", "label", "align", "norm"))
-    raw = b"".join(table.column("code").to_pylist())
-    return Coded(ids, label, matrix(table.column("v"), d), np.frombuffer(raw, "<u8").reshape(len(ids), -1), align, norm)
+    ids, label, rest, norm = (np.asarray(table.column(c)) for c in ("vec_id", "label", "rest", "norm"))
+    align = table.column("align")
+    align = (align.combine_chunks() if isinstance(align, pa.ChunkedArray) else align).flatten().to_numpy(zero_copy_only=False)
+    code = np.frombuffer(b"".join(table.column("code").to_pylist()), "<u8").reshape(len(ids), STAGES, -(-d // 64))
+    return Coded(ids, label, matrix(table.column("v"), d), code, align.reshape(len(ids), STAGES), rest, norm)
 
 
 class Queries:
@@ -134,32 +156,33 @@ class Queries:
         self.anchors, self.k, self.same_label = anchors, k, same_label
         self.least, self.most = least.astype(np.float64), most.astype(np.float64)
         self.exact_least, self.exact_most = least, most
-        d = anchors.v.shape[1]
-        turned = anchors.v.astype(np.float64) @ rotation(d)
-        low = turned.min(axis=1, initial=0.0)
-        step = (turned.max(axis=1, initial=0.0) - low) / ((1 << PLANES) - 1)
-        step[step == 0] = 1.0
-        level = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
-        rounded = low[:, None] + step[:, None] * level
-        self.low, self.step, self.total = low, step, rounded.sum(axis=1)
-        planes = [np.packbits(level >> b & 1, axis=1, bitorder="little") for b in range(PLANES)]
-        self.planes = [np.ascontiguousarray(np.pad(p, ((0, 0), (0, -p.shape[1] % 8)))).view("<u8") for p in planes]
-        self.rounded2 = (rounded**2).sum(axis=1)
-        self.error = np.sqrt(((turned - rounded) ** 2).sum(axis=1))
+        turned, self.stages = anchors.v.astype(np.float64), []
+        for turn in rotations(anchors.v.shape[1]):
+            turned = turned @ turn
+            low = turned.min(axis=1, initial=0.0)
+            step = (turned.max(axis=1, initial=0.0) - low) / ((1 << PLANES) - 1)
+            step[step == 0] = 1.0
+            level = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
+            rounded = low[:, None] + step[:, None] * level
+            error = np.sqrt(((turned - rounded) ** 2).sum(axis=1))
+            self.stages.append(([_words(level >> b & 1) for b in range(PLANES)], low[:, None], step[:, None], rounded.sum(axis=1)[:, None], error[:, None]))
 
     def intervals(self, rows: Coded) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper ends of the scores of anchors (down) and rows (across), from codes alone."""
-        d = max(rows.v.shape[1], 1)
-        ones = np.bitwise_count(rows.code).sum(axis=1, dtype=np.int64)
-        weighed = np.zeros((len(self.low), len(rows.ids)))
-        for b, plane in enumerate(self.planes):
-            for w in range(plane.shape[1]):
-                weighed += np.bitwise_count(plane[:, w, None] & rows.code[:, w]) * float(1 << b)
-        along = (2 * (self.step[:, None] * weighed + self.low[:, None] * ones) - self.total[:, None]) / np.sqrt(d)  # <q', c>
-        rest = np.sqrt(np.maximum(rows.norm**2 - rows.align**2, 0))
-        wide = np.sqrt(np.maximum(self.rounded2[:, None] - along**2, 0)) * rest + self.error[:, None] * rows.norm
-        wide += 1e-9 * self.anchors.norm[:, None] * rows.norm + 1e-3
-        middle = along * rows.align
+        norm, shape = self.anchors.norm[:, None], (len(self.anchors.ids), len(rows.ids))
+        middle, wide, along, error = np.zeros(shape), np.zeros(shape), np.zeros(shape), 0.0
+        for k, (planes, low, step, total, error) in enumerate(self.stages):
+            code = rows.code[:, k]
+            ones = np.bitwise_count(code).sum(axis=1, dtype=np.int64)
+            weighed = np.zeros(shape)
+            for b, plane in enumerate(planes):
+                for w in range(plane.shape[1]):
+                    weighed += np.bitwise_count(plane[:, w, None] & code[:, w]) * float(1 << b)
+            along = (2 * (step * weighed + low * ones) - total) / np.sqrt(max(rows.v.shape[1], 1))  # <q', c>
+            middle += along * rows.align[:, k]
+            wide += error * np.abs(rows.align[:, k])
+        sure = np.maximum(np.abs(along) - error, 0)
+        wide += np.sqrt(np.maximum(norm**2 - sure**2, 0)) * rows.rest + 1e-9 * norm * rows.norm + 1e-3
         return middle - wide, middle + wide
 
     def scores(self, rows: Coded) -> tuple[np.ndarray, bool]:
@@ -264,7 +287,7 @@ def hard_negatives(
     schema = "anchor_id long, positive_id long, positive_score long, id long, score long"
     for block in range(blocks):
         mine = codes.where("anchor").where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block)
-        of = coded(mine.select("vec_id", "label", "v", "code", "align", "norm").toArrow(), d)
+        of = coded(mine.select("vec_id", "label", "v", "code", "align", "rest", "norm").toArrow(), d)
         n = len(of.ids)
         shared = context.broadcast(Queries(of, np.full((n, 1), -_LONG - 1), np.full((n, 1), _LONG), positives, True))
         near = written(codes.mapInArrow(_search(shared, d), FOUND), "nearest")

@@ -98,8 +98,7 @@ def test_numbers_beyond_exact_doubles(spark):
 
 def table_of(rows, d):
     v = np.array([[math.floor(256 * c) for c in x] for _, x, _ in rows], np.int64).reshape(-1, d)
-    code, align, norm = H.encode(v, H.rotation(d))
-    return H.Coded(np.array([r[0] for r in rows]), np.array([r[2] for r in rows]), v, code.view("<u8"), align, norm)
+    return H.Coded(np.array([r[0] for r in rows]), np.array([r[2] for r in rows]), v, *H.encode(v))
 
 
 @pytest.mark.parametrize("d", [1, 5, 64, 100])
@@ -111,7 +110,7 @@ def test_intervals_hold_the_scores(d):
     true, exact = queries.scores(rows)
     assert exact and (lo <= true).all() and (true <= hi).all()
     size = rows.norm[:n, None] * rows.norm
-    assert ((hi - lo) < 2 * size + 1).all() and np.corrcoef(((lo + hi) / 2).ravel(), true.ravel())[0, 1] > 0.7
+    assert (hi - lo).mean() < (0.6 if d > 1 else 2) * size.mean() and np.corrcoef(((lo + hi) / 2).ravel(), true.ravel())[0, 1] > 0.9
 
 
 def test_intervals_drop_pairs_that_cannot_count():
