@@ -37,7 +37,7 @@ from flowlens.llm.common import anti_join, id_and_text, semi_join, written
 from flowlens.llm.components import components
 
 SHINGLE = 5
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
 FORESTS = 32
 MAX_ROUNDS = 200
 _U = np.uint64
@@ -447,7 +447,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nodes = pairs.select(F.col("b").alias("node")).union(pairs.select("a")).distinct()
     classes = sizes.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
     wanted = classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("doc_id"))
-    sets = written(semi_join(texts, wanted, "doc_id").mapInArrow(_set_rows, SET_SCHEMA), "sets")
+    found = semi_join(texts, wanted, "doc_id").mapInArrow(_set_rows, SET_SCHEMA)
+    sets = written(found.dropDuplicates(["node"]), "sets")
     roots = linked(buckets, pairs, sets)
     least = classes.join(roots, "node").groupBy("root").agg(F.min("rep").alias("component_id"))
     answer = written(

@@ -213,3 +213,31 @@ def test_near_paragraphs_by_brute_force(spark, small):
     got = P.repeats(docs).where(~F.col("is_part")).collect()
     found = {(r.doc_id, r.first_word) for r in got} | {(r.keep_id, r.keep_word) for r in got}
     assert found == linked
+
+
+def test_repeated_rows_with_partners(spark):
+    """Two near-equal texts, each in 2,000 rows of the same id, and a third id that holds both texts."""
+    a = prose(40, 120)
+    b = " ".join([*a.split()[:117], "another", "end"])
+    rows = [(1, a)] * 2000 + [(2, b)] * 2000 + [(3, a), (3, b), (4, prose(41, 50)), (4, prose(41, 50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = J.near_copies(docs).groupBy("doc_id", "component_id").count().collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 2000), (2, 1, 2000), (3, 1, 2), (4, 4, 2)]
+    spans = [tuple(r) for r in P.repeated_spans(docs).select("doc_id", "keep_id").collect()]
+    assert sorted(set(spans)) == [(2, 1), (3, 1)]
+    assert J.keep_one_of_near_copies(docs).select("doc_id").distinct().count() == 2
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    from flowlens.llm import common as C
+
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    C.package_reachable(spark)
+    assert int(spark.conf.get(bound).rstrip("b")) == C.BATCH_BYTES
+    spark.conf.set(bound, "1000")
+    C.package_reachable(spark)
+    assert int(spark.conf.get(bound).rstrip("b")) == 1000
+    spark.conf.unset(bound)
+    rows = C.package_reachable(spark).range(300).selectExpr("repeat('x', 100000) AS text")
+    sizes = rows.mapInArrow(lambda bs: (__import__("pyarrow").RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()
+    assert max(r.n for r in sizes) <= 2 * C.BATCH_BYTES // 100_000
