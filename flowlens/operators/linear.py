@@ -1,9 +1,10 @@
 """Logistic regression by full-batch gradient descent.
 
-The training frame is persisted once; each iteration is ONE aggregate over it that returns the
-gradient, the loss and the training accuracy together (the reference ran three jobs and
-recounted the rows every iteration). Only the d+1 weights live on the driver. The dot product
-is an unrolled column expression, so scoring stays inside whole-stage codegen.
+Training rows are packed into blocks (Arrow batches as matrices) and persisted once; each iteration is ONE job
+over the blocks that returns gradient, loss and training accuracy together (the reference ran three jobs and
+recounted the rows every iteration). Blocks are recomputed if an executor is lost. The plan is the same at every
+pass and for any number of features; only the d+1 weights live on the driver. For scoring, the dot product is an
+unrolled column expression, so it stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -87,23 +88,74 @@ class GDResult:
         return spark.createDataFrame(self.history, "iteration int, loss double, accuracy double")
 
 
-def _pass(df: DataFrame, w: Sequence[float], features: Sequence[str], label: str, cfg: GDConfig):
-    z = logit(w, features, cfg.clip_z)
-    y = F.col(label).cast("double")
-    s = F.col(cfg.weight_col) if cfg.weight_col else F.lit(1.0)
-    proj = df.select(
-        *[F.col(c) for c in features], y.alias("_y"), s.alias("_s"),
-        sigmoid(z).alias("_h"),
-    ).withColumn("_e", (F.col("_h") - F.col("_y")) * F.col("_s"))
-    aggs = [F.sum("_e").alias("g0")] + [F.sum(F.col("_e") * F.col(c)).alias(f"g{i + 1}") for i, c in enumerate(features)]
-    aggs += [
-        F.sum(log_loss_expr(F.col("_y"), F.col("_h"), binary=True) * F.col("_s")).alias("loss"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.when(F.col("_h") >= 0.5, 1.0).otherwise(0.0) == F.col("_y")).alias("correct"),
-    ]
-    r = proj.agg(*aggs).first().asDict()
-    g = [r[f"g{i}"] or 0.0 for i in range(len(features) + 1)]
-    return g, (r["loss"] or 0.0), int(r["n"]), int(r["correct"] or 0)
+def pack_blocks(df: DataFrame, features: Sequence[str], label: str, weight: str | None = None) -> DataFrame:
+    """The rows as blocks, one for each Arrow batch: n, x (n' × d doubles, row by row), y and s (n' doubles).
+
+    Blocks keep the frame's partitions. A row with a NULL in any of the columns counts in n (so in the mean), but
+    has no gradient or loss: the block's n' other rows have.
+    """
+    d = len(features)
+
+    def pack(batches):
+        # nested, so that it is shipped by value: executors need numpy and pyarrow, not this package
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            m = np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            whole = m[~np.isnan(m).any(axis=1)]
+            parts = [whole[:, :d], whole[:, d], whole[:, d + 1]]
+            row = [pa.array([batch.num_rows], pa.int64()), *(pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in parts)]
+            yield pa.RecordBatch.from_arrays(row, ["n", "x", "y", "s"])
+
+    s = F.col(weight) if weight else F.lit(1.0)
+    cols = [F.col(c).cast("double") for c in features] + [F.col(label).cast("double"), s.cast("double")]
+    return df.select(*[c.alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(pack, "n long, x binary, y binary, s binary")
+
+
+COLLECT_FEATURES = 64  # beyond this the tasks' partial sums are added up by a shuffle, else by the driver (one row a task)
+
+
+def _pass(blocks: DataFrame, w: Sequence[float], cfg: GDConfig):
+    """Gradient, loss, row count and right predictions at w: a task turns each block into a matrix and adds up its sums.
+
+    The plan is the same at every pass, whatever the number of features; only the weights that go along differ.
+    """
+    clip, eps, d = cfg.clip_z, EPS, len(w) - 1
+    weights = list(w)
+
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        b, v = weights[0], np.array(weights[1:])
+        total = np.zeros(d + 4)
+        for batch in batches:
+            for n, *raw in zip(*(c.to_pylist() for c in batch.columns)):
+                y, s = np.frombuffer(raw[1]), np.frombuffer(raw[2])
+                x = np.frombuffer(raw[0]).reshape(len(y), d)
+                z = b + x @ v
+                if clip is not None:
+                    z = np.clip(z, -clip, clip)
+                with np.errstate(over="ignore"):
+                    h = 1.0 / (1.0 + np.exp(-z))
+                e = (h - y) * s
+                p = np.clip(h, eps, 1.0 - eps)
+                total[0] += e.sum()
+                total[1 : d + 1] += e @ x
+                total[d + 1 :] += (-np.log(np.where(y == 1.0, p, 1.0 - p)) * s).sum(), n, ((h >= 0.5) == (y == 1.0)).sum()
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+    parts = blocks.mapInArrow(sums, "sums array<double>")
+    if d <= COLLECT_FEATURES:
+        rows = [r[0] for r in parts.collect()]
+        total = [math.fsum(c) for c in zip(*rows)] or [0.0] * (d + 4)
+    else:
+        added = parts.select(F.posexplode("sums").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
+        total = [0.0] * (d + 4)
+        for r in added:
+            total[r["i"]] = r["v"]
+    return total[: d + 1], total[d + 1], int(total[d + 2]), int(total[d + 3])
 
 
 def _reg(w: Sequence[float], cfg: GDConfig) -> float:
@@ -113,16 +165,19 @@ def _reg(w: Sequence[float], cfg: GDConfig) -> float:
 
 def fit_logistic_gd(df: DataFrame, features: Sequence[str], label: str, cfg: GDConfig,
                     init: Sequence[float] | None = None) -> GDResult:
-    """W ← w - lr · (g / n + λ w). One aggregate per iteration over the persisted frame.
+    """W ← w - lr · (g / n + λ w). One job per iteration over the persisted blocks of rows.
 
     The loss recorded for iteration i is the loss at the updated weights (as in the
     reference), which is exactly what the next iteration's aggregate computes anyway.
     """
-    cols = list(features) + [label] + ([cfg.weight_col] if cfg.weight_col else [])
-    train = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = pack_blocks(df, features, label, cfg.weight_col)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if packed.rdd.getNumPartitions() < cores:  # a small file in one split: spread its blocks once for all passes
+        packed = packed.repartition(cores)
+    train = packed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         w = [0.0] * (len(features) + 1) if init is None else [float(x) for x in init]
-        g, _, n, _ = _pass(train, w, features, label, cfg)
+        g, _, n, _ = _pass(train, w, cfg)
         res = GDResult(weights=list(w))
         best_loss, best_w, stall = math.inf, list(w), 0
         for it in range(cfg.n_iterations):
@@ -132,7 +187,7 @@ def fit_logistic_gd(df: DataFrame, features: Sequence[str], label: str, cfg: GDC
                 reg = cfg.l2 * w[j] if (cfg.l2 and (j > 0 or cfg.l2_bias)) else 0.0
                 step.append(gj * scale + reg)
             w = [wj - cfg.learning_rate * sj for wj, sj in zip(w, step)]
-            g, loss_sum, n, correct = _pass(train, w, features, label, cfg)
+            g, loss_sum, n, correct = _pass(train, w, cfg)
             loss = (loss_sum / n if n else 0.0) + _reg(w, cfg)
             res.history.append((it, loss, correct / n if n else 0.0))
             res.iterations = it + 1

@@ -493,7 +493,9 @@ SELECT (SELECT COUNT(DISTINCT lead_id) FROM interactions) AS distinct_leads,
 
 
 # ------------------------------------------------------------------ sampling, scaling, models, evaluation
-from flowlens.linear_sql import gd_sql  # noqa: E402
+from flowlens.linear_sql import HISTORY_SQL, gd_recursive_sql, weights_sql  # noqa: E402
+from flowlens.operators.linear import GDConfig  # noqa: E402
+from flowlens.queries import ESTIMATOR, GD_VARIANTS, HISTORY, STOPPED, WEIGHTED  # noqa: E402
 from flowlens.plans.fraud import EXACT_WEIGHTS, FIXED_WEIGHTS, SEED, TEST_SIZE  # noqa: E402
 from flowlens.sources.adapters import FRAUD_FEATURES  # noqa: E402
 
@@ -695,15 +697,29 @@ UNION ALL SELECT 'weighted avg', ROUND((p0 * s0 + p1 * s1) / n, 6), ROUND((r0 *
                  ROUND((f0 * s0 + f1 * s1) / n, 6), CAST(n AS BIGINT) FROM v""")
 
 TRAIN = "train AS (SELECT * FROM scaled WHERE is_train)"
-register("t2_gd_mean", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3))
-register("t3_gd_l2_all", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3, l2=0.1, l2_bias=True))
-register("t4_gd_l2_bias_free", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3, l2=0.01, clip_z=20.0))
-register("t5_gd_summed", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 1e-5, 3, mean=False))
+GD_BASE = (LABELLED, SPLIT, STATS, SCALED, TRAIN)
+
+
+def _fitted(cfg, *more: str, base: tuple = GD_BASE, train: str = "train") -> str:
+    """WITH RECURSIVE ... of a fit; ``fitted`` and ``gd`` can be read after it."""
+    gd = gd_recursive_sql(FEAT, cfg.learning_rate, cfg.n_iterations, cfg.l2, cfg.l2_bias, cfg.mean_gradient, cfg.clip_z, cfg.weight_col, cfg.patience, train)
+    return with_(*base).replace("WITH ", "WITH RECURSIVE ", 1) + gd
+
+
+for _name, _cfg in GD_VARIANTS.items():
+    register(_name, _fitted(_cfg) + weights_sql(FEAT))
 TRAIN_W = """trainw AS (SELECT t.*, n.n / (2.0::DOUBLE * c.nc) AS sw FROM scaled t
   JOIN (SELECT label, COUNT(*) AS nc FROM scaled WHERE is_train GROUP BY label) c ON t.label = c.label,
   (SELECT COUNT(*) AS n FROM scaled WHERE is_train) n WHERE t.is_train)"""
-register("t6_gd_weighted", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN_W) + gd_sql(FEAT, 0.1, 3, weight="sw", train="trainw"))
-register("t13_coefficients", with_(LABELLED, SPLIT, STATS, SCALED, TRAIN) + gd_sql(FEAT, 0.1, 3, as_table=True))
+register("t6_gd_weighted", _fitted(WEIGHTED, base=(LABELLED, SPLIT, STATS, SCALED, TRAIN_W), train="trainw") + weights_sql(FEAT))
+register("t13_coefficients", _fitted(GD_VARIANTS["t2_gd_mean"]) + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, ROUND(w{i + 1}, 6) AS coefficient, ABS(ROUND(w{i + 1}, 6)) AS abs_value FROM fitted" for i, c in enumerate(FEAT)))
+register("t4_early_stop", _fitted(STOPPED) + weights_sql(FEAT).replace(" FROM fitted", ", (SELECT MAX(k) FROM gd)::INT AS passes FROM fitted"))
+register("e10_cost_history", _fitted(HISTORY) + HISTORY_SQL)
+register("t7_estimator", _fitted(GDConfig(**ESTIMATOR, weight_col="sw"), base=(LABELLED, SPLIT, STATS, SCALED, TRAIN_W), train="trainw")
+         + ", scored AS (SELECT t.label, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(f.b"
+         + "".join(f" + f.w{i + 1} * t.{c}" for i, c in enumerate(FEAT)) + "))) AS probability FROM scaled t, fitted f WHERE NOT t.is_train)\n"
+         + _thr_sql([0.45, 0.5]) + " SELECT * FROM m")
 
 
 # ------------------------------------------------------------------ kNN and SMOTE (brute force in SQL)

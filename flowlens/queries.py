@@ -449,12 +449,15 @@ def _weights_df(spark, weights):
 
 
 GD_VARIANTS = {
-    # name: (config, iterations checked by SQL)
-    "t2_gd_mean": LN.GDConfig(learning_rate=0.1, n_iterations=3),
-    "t3_gd_l2_all": LN.GDConfig(learning_rate=0.1, n_iterations=3, l2=0.1, l2_bias=True),
-    "t4_gd_l2_bias_free": LN.GDConfig(learning_rate=0.1, n_iterations=3, l2=0.01, clip_z=20.0),
-    "t5_gd_summed": LN.GDConfig(learning_rate=1e-5, n_iterations=3, mean_gradient=False),
+    "t2_gd_mean": LN.GDConfig(learning_rate=0.01, n_iterations=100),
+    "t3_gd_l2_all": LN.GDConfig(learning_rate=0.01, n_iterations=100, l2=0.1, l2_bias=True),
+    "t4_gd_l2_bias_free": LN.GDConfig(learning_rate=0.1, n_iterations=50, l2=0.01, clip_z=20.0, patience=5),
+    "t5_gd_summed": LN.GDConfig(learning_rate=1e-5, n_iterations=100, mean_gradient=False),  # a step is lr times the number of rows
 }
+WEIGHTED = LN.GDConfig(learning_rate=0.01, n_iterations=100, weight_col="sw")
+HISTORY = LN.GDConfig(learning_rate=0.01, n_iterations=100, l2=0.01, clip_z=20.0, patience=5)
+ESTIMATOR = {"learning_rate": 0.1, "n_iterations": 100}
+STOPPED = LN.GDConfig(learning_rate=250.0, n_iterations=50, l2=0.01, clip_z=20.0, patience=5)  # overshoots, so patience ends it
 
 
 def _gd_query(name, cfg):
@@ -471,7 +474,7 @@ for _n, _c in GD_VARIANTS.items():
 def t6_gd_weighted(spark, d):
     train = FR.split_and_scale(A.labelled_view(spark, d)).filter("is_train")
     w = SM.balanced_weights(train, "label", "sw")
-    res = LN.fit_logistic_gd(w, _FEAT, "label", LN.GDConfig(learning_rate=0.1, n_iterations=3, weight_col="sw"))
+    res = LN.fit_logistic_gd(w, _FEAT, "label", WEIGHTED)
     return _weights_df(spark, res.weights)
 
 
@@ -482,15 +485,31 @@ def t13_coefficients(spark, d):
     return t
 
 
+@query("t7_estimator")
+def t7_estimator(spark, d):
+    """The estimator with balanced class weights: confusion of its predictions on the test split at two thresholds."""
+    data = FR.split_and_scale(A.labelled_view(spark, d))
+    model = LN.LogisticRegressionGD(class_weight="balanced", **ESTIMATOR).fit(data.filter("is_train"), _FEAT)
+    test = model.predict_proba(data.filter("NOT is_train"))
+    return EV.threshold_metrics(test, [0.45, 0.5])
+
+
 @query("e10_cost_history")
 def e10_cost_history(spark, d):
-    cfg = LN.GDConfig(learning_rate=0.1, n_iterations=20, l2=0.01, clip_z=20.0, patience=5)
-    return FR.train_gd(A.labelled_view(spark, d), cfg).history_df(spark)
+    h = FR.train_gd(A.labelled_view(spark, d), HISTORY).history_df(spark)
+    return h.select("iteration", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
+
+
+@query("t4_early_stop")
+def t4_early_stop(spark, d):
+    """Passes run before patience ended the fit, and the weights kept, those of the best pass."""
+    res = FR.train_gd(A.labelled_view(spark, d), STOPPED)
+    return _weights_df(spark, res.weights).withColumn("passes", F.lit(res.iterations).cast("int"))
 
 
 @query("e9_rebalancing_comparison")
 def e9_rebalancing_comparison(spark, d):
-    return FR.rebalancing_comparison(spark, A.labelled_view(spark, d), n_iterations=10)
+    return FR.rebalancing_comparison(spark, A.labelled_view(spark, d), n_iterations=100, smote_ratio=0.5)
 
 
 # ------------------------------------------------------------------ kNN and SMOTE (embeddings, minority = class 0)

@@ -217,3 +217,20 @@ def test_standardize_fit_on_train(spark, data):
     out = standardize(df, ["a"], fit_on=df.filter("id < 200")).orderBy("id").collect()
     mu, sd = X[:200, 0].mean(), X[:200, 0].std()
     np.testing.assert_allclose([r.a for r in out], (X[:, 0] - mu) / sd, rtol=1e-9)
+
+
+def test_wide_blocks_and_null_rows(spark):
+    """80 features (partial sums added by a shuffle), and a row with a NULL that counts in the mean only."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 80))
+    y = (x[:, 0] + rng.normal(size=300) > 0).astype(float)
+    names = [f"f{i}" for i in range(80)]
+    rows = [(*map(float, r), float(t)) for r, t in zip(x, y)]
+    df = spark.createDataFrame(rows + [(None, *map(float, x[0, 1:]), 1.0)], ", ".join(f"{c} double" for c in [*names, "label"]))
+    res = LN.fit_logistic_gd(df, names, "label", LN.GDConfig(learning_rate=0.1, n_iterations=4))
+    w = np.zeros(81)
+    xb = np.hstack([np.ones((300, 1)), x])
+    for _ in range(4):
+        w -= 0.1 * (xb.T @ (1 / (1 + np.exp(-xb @ w)) - y)) / 301
+    np.testing.assert_allclose(res.weights, w, rtol=1e-9, atol=1e-12)
+    assert LN.fit_logistic_gd(df.limit(0), names, "label", LN.GDConfig(n_iterations=2)).weights == [0.0] * 81
