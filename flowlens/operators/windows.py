@@ -8,85 +8,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import safe_div
-from flowlens.session import cut_lineage
-
-
-ROW_BITS = 33  # monotonically_increasing_id: partition index in the upper bits, row position in the lower 33
 
 
 def lag_growth(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
-               prev_name: str = "prev_value", growth_name: str = "growth", hot_rows: int | None = None,
-               range_partitions: int | None = None, probe: DataFrame | None = None) -> DataFrame:
+               prev_name: str = "prev_value", growth_name: str = "growth", segment: Column | None = None) -> DataFrame:
     """Previous row's value in the group and (x - prev) / prev (NULL on the first row or prev = 0).
 
     ``order`` (column names) must end with a unique key so the previous row is well defined.
 
-    With ``hot_rows`` set, groups with more rows than that are found first (a partial
-    aggregate; the hot-key list is bounded by total / hot_rows) and take a skew-safe path: they are
-    range-partitioned on (group, order), so one group spreads over many tasks, and each row
-    finds its predecessor by an equi-join on a sequential row id. Other groups use the plain
-    window. Results are identical.
-
-    ``probe`` (optional) is a cheaper frame with one column whose per-value row count bounds the
-    row count of every group (e.g. rows per store from the fact table alone, without joins):
-    when no probe value exceeds ``hot_rows``, no group can, and the exact detection is skipped.
+    ``segment`` is a coarser step along the order that never goes back in a group (such as the month of the date
+    it begins with; NULLs first). With it, one group may be of any size: the window runs inside (group, segment), and
+    only a segment's first row looks further, to the last row of the group's nearest earlier segment that has one.
+    Those last rows are a partial aggregate, one for each (group, segment), lagged in a window of their own, so empty
+    segments are carried over. There is one path at every size: no detection of large groups and no broadcast. Keys
+    are compared as structs, where NULL equals NULL.
     """
-    hot = None
-    if hot_rows is not None and probe is not None:
-        pc = probe.columns[0]
-        if probe.groupBy(pc).agg(F.count(F.lit(1)).alias("_pn")).filter(F.col("_pn") > hot_rows).isEmpty():
-            hot_rows = None
-    if hot_rows is not None:
-        counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn"))
-        # at most total / hot_rows keys: bounded by the threshold; checkpointed and broadcast
-        hot = cut_lineage(counts.filter(F.col("_gn") > hot_rows).select(*group, F.lit(True).alias("_hot")))
-        if hot.isEmpty():
-            hot = None
-    if hot is None:
+    if segment is None:
         w = Window.partitionBy(*group).orderBy(*order)
         out = df.withColumn(prev_name, F.lag(value, 1).over(w))
     else:
-        marked = df.join(F.broadcast(hot), list(group), "left")
-        normal = marked.filter(F.col("_hot").isNull()).drop("_hot")
-        w = Window.partitionBy(*group).orderBy(*order)
-        normal = normal.withColumn(prev_name, F.lag(value, 1).over(w))
-        heavy = _lag_by_range(marked.filter(F.col("_hot")).drop("_hot"), list(group), list(order), value, prev_name,
-                              range_partitions or max(1, df.sparkSession.sparkContext.defaultParallelism))
-        out = normal.unionByName(heavy)
+        key = F.struct(F.struct(*group).alias("of"), segment.alias("at"))
+        rows = df.withColumn("_key", key)
+        inside = Window.partitionBy("_key").orderBy(*order)
+        ends = rows.groupBy("_key").agg(F.max_by(F.struct(value), F.struct(*order)).alias("_end"))
+        along = Window.partitionBy("_key.of").orderBy("_key.at")
+        carried = ends.select("_key", F.lag("_end", 1).over(along).getField(value).alias("_carried"))
+        own = rows.withColumn("_place", F.row_number().over(inside)).withColumn(prev_name, F.lag(value, 1).over(inside))
+        prev = F.when(F.col("_place") == 1, F.col("_carried")).otherwise(F.col(prev_name))
+        out = own.join(carried, "_key", "left").withColumn(prev_name, prev).drop("_key", "_place", "_carried")
     return out.withColumn(growth_name, safe_div(F.col(value) - F.col(prev_name), F.col(prev_name)))
 
 
-def _lag_by_range(df: DataFrame, group: list[str], order: list[str], value: str, prev_name: str, parts: int) -> DataFrame:
-    """Previous row's ``value`` within ``group`` without a per-group window task.
-
-    Rows are range-partitioned and sorted on (group, order); ``monotonically_increasing_id``
-    then increases along that total order. The predecessor of a row is the row with id - 1, or,
-    for the first row of a partition, the last row of the previous non-empty partition, found
-    in a table with one row per partition. It counts only when it belongs to the same group.
-    Only the rows of hot groups come here, so only they are written to the checkpoint.
-    """
-    keys = group + order
-    rp = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_rid", F.monotonically_increasing_id())
-    # The ids depend on the sampled range bounds; materialise them once (shared checkpoint folder)
-    # so that every branch below sees the same ids, and a lost executor cannot re-number rows.
-    rp = cut_lineage(rp)
-    low_mask = (1 << ROW_BITS) - 1
-    part = F.shiftright(F.col("_rid"), ROW_BITS)
-    tails = rp.groupBy(part.alias("_part")).agg(F.max("_rid").alias("_last"))  # ≤ parts rows
-    wt = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    heads = tails.select(F.shiftleft(F.col("_part"), ROW_BITS).alias("_head"), F.max("_last").over(wt).alias("_pred_of_head"))
-    with_pred = rp.join(F.broadcast(heads), F.col("_rid") == F.col("_head"), "left").withColumn(
-        "_pred", F.when((F.col("_rid").bitwiseAND(F.lit(low_mask))) == 0, F.col("_pred_of_head")).otherwise(F.col("_rid") - 1)
-    ).drop("_head", "_pred_of_head")
-    prev = rp.select(F.col("_rid").alias("_pred"), *[F.col(g).alias(f"_pg_{g}") for g in group], F.col(value).alias("_pv"))
-    j = with_pred.join(prev, "_pred", "left")
-    same = None
-    for g in group:
-        c = F.col(g).eqNullSafe(F.col(f"_pg_{g}"))
-        same = c if same is None else same & c
-    return j.withColumn(prev_name, F.when(same, F.col("_pv"))).drop("_rid", "_pred", "_pv", *[f"_pg_{g}" for g in group])
-
-
 def period_growth(df: DataFrame, entity: Sequence[str], date_col: str, value: str, total: Column) -> DataFrame:
     """Aggregate per (entity, year, month), then growth against the entity's previous month.
 

@@ -80,15 +80,12 @@ def top_by_sales(sales: DataFrame, key: str, k: int = 10) -> DataFrame:
     return arg_max_of_sum(sales, key, "sale_dollars", k).withColumnRenamed("total", "sales")
 
 
-HOT_GROUP_ROWS = 5_000_000  # a (county, store, item) group above this takes the skew-safe lag path
-
-
-def with_margin_and_growth(sales: DataFrame, hot_rows: int | None = HOT_GROUP_ROWS, probe: DataFrame | None = None) -> DataFrame:
+def with_margin_and_growth(sales: DataFrame) -> DataFrame:
     """SL7: profit margin per row and row-over-row growth within (county, store, item).
 
     The order ends with the invoice so that the previous row is unique (the reference orders
-    by date only). NULL growth on the first row and where the previous sale is 0. Groups larger
-    than ``hot_rows`` are range-partitioned instead of windowed (``windows.lag_growth``).
+    by date only). NULL growth on the first row and where the previous sale is 0. Windows run inside a
+    group's months (``windows.lag_growth``), so a group of any size is spread.
     """
     m = sales.withColumn(
         "profit_margin",
@@ -96,7 +93,7 @@ def with_margin_and_growth(sales: DataFrame, hot_rows: int | None = HOT_GROUP_RO
     )
     return lag_growth(
         m, ["county", "store_number", "item_description"], ["date", "invoice_and_item_number"],
-        "sale_dollars", "prev_month_sales", "sales_growth", hot_rows=hot_rows, probe=probe,
+        "sale_dollars", "prev_month_sales", "sales_growth", segment=F.trunc("date", "month"),
     )
 
 
@@ -113,51 +110,58 @@ def _all_same(columns: list[str]):
     return out
 
 
-def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int = 3, n_products: int = 2,
-                         probe: DataFrame | None = None) -> DataFrame:
+def _only(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows whose columns are among the keys (a few, so broadcast), NULL equal to NULL."""
+    few = F.broadcast(keys.select(*[F.col(c).alias(f"_{c}") for c in columns]))
+    return rows.join(few, _all_same(columns), "left_semi")
+
+
+def enhanced_county_view(sales: DataFrame, n_counties: int = 10, n_stores: int = 3, n_products: int = 2) -> DataFrame:
     """SL8/H4: top counties → top stores per county → top products per (county, store).
 
-    One plan instead of 1 + 10 + 30 jobs. The row-level growth window runs once; everything
-    after it reads one aggregate at the finest level (county, store, item), from which county
-    and store figures are derived exactly: money sums are decimals, averages are carried as
-    (sum, count). Products are keyed by the full path (county, store); the reference filtered
-    by store only (DF4). One row per product leaf with every level's metrics, relative widths
-    (P15), margin colour input (P14) and font class.
+    Top-k in phases instead of 1 + 10 + 30 jobs, each level reading only its parents' rows:
+
+    1. totals by county, without growth, choose the counties;
+    2. only their rows go through the growth window (groups lie inside a county, so they stay whole) and into
+       one aggregate by store, from which county and store figures are derived exactly: money sums are
+       decimals, averages are carried as (sum, count). It has one row a store, and is checkpointed;
+    3. only the chosen stores' rows (n_counties × n_stores) are aggregated by product, without growth.
+
+    Products are keyed by the full path (county, store); the reference filtered by store only (DF4). One row
+    per product leaf with every level's metrics, relative widths (P15), margin colour input (P14) and font
+    class. A NULL county is a county: it may hold one of the places.
     """
-    base = with_margin_and_growth(sales, probe=probe)
-    keys = ["county", "store_number", "store_name", "item_description"]
-    fine = base.groupBy(*keys).agg(
-        F.sum(money("sale_dollars")).alias("_sales"),
-        F.sum("sales_growth").alias("_gsum"), F.count("sales_growth").alias("_gcnt"),
-        F.sum("profit_margin").alias("_msum"), F.count("profit_margin").alias("_mcnt"),
+    place = [F.desc("county_sales"), F.asc_nulls_last("county")]
+    totals = sales.groupBy("county").agg(F.sum(money("sale_dollars")).cast("double").alias("county_sales"))
+    chosen = cut_lineage(totals.orderBy(*place).limit(n_counties))
+    path = ["county", "store_number", "store_name"]
+    base = with_margin_and_growth(_only(sales, chosen, ["county"]))
+    by_store = cut_lineage(
+        base.groupBy(*path).agg(
+            F.sum(money("sale_dollars")).alias("_sales"), F.sum("sales_growth").alias("_gsum"), F.count("sales_growth").alias("_gcnt")
+        )
     )
-    fine = cut_lineage(fine)  # read at three levels below; one row per (county, store, item)
-
-    counties = (
-        fine.groupBy("county")
-        .agg(F.sum("_sales").cast("double").alias("county_sales"),
-             safe_div(F.sum("_gsum"), F.sum("_gcnt")).alias("county_growth"))
-        .orderBy(F.desc("county_sales"), F.asc_nulls_last("county"))
-        .limit(n_counties)
+    counties = by_store.groupBy("county").agg(
+        F.sum("_sales").cast("double").alias("county_sales"), safe_div(F.sum("_gsum"), F.sum("_gcnt")).alias("county_growth")
     )
     # ≤ n_counties rows: a proven broadcast bound
     counties = counties.withColumn("max_county_sales", F.max("county_sales").over(Window.partitionBy()))
     top_c = F.broadcast(counties)
 
-    # a NULL county is a county: it may hold one of the places
-    in_top = fine.join(top_c.select(F.col("county").alias("_c")), F.col("county").eqNullSafe(F.col("_c")), "left_semi")
-    stores = in_top.groupBy("county", "store_number", "store_name").agg(
-        F.sum("_sales").cast("double").alias("store_sales"), safe_div(F.sum("_gsum"), F.sum("_gcnt")).alias("store_growth")
+    stores = by_store.select(
+        *path, F.col("_sales").cast("double").alias("store_sales"), safe_div(F.col("_gsum"), F.col("_gcnt")).alias("store_growth")
     )
     stores = top_k_per_group(stores, ["county"], [F.desc("store_sales"), F.asc("store_number"), F.asc("store_name")], n_stores, "store_rank")
     stores = stores.withColumn("max_store_sales", F.max("store_sales").over(Window.partitionBy("county")))
     # ≤ n_counties × n_stores rows
     top_s = F.broadcast(stores)
 
-    path = ["county", "store_number", "store_name"]
-    products = in_top.join(top_s.select(*[F.col(c).alias(f"_{c}") for c in path]), _all_same(path), "left_semi").select(
-        "county", "store_number", "store_name", "item_description",
-        F.col("_sales").cast("double").alias("product_sales"), safe_div(F.col("_msum"), F.col("_mcnt")).alias("avg_margin"),
+    margin = safe_div(F.col("state_bottle_retail") - F.col("state_bottle_cost"), F.col("state_bottle_retail"))
+    products = (
+        _only(sales, stores, path)
+        .withColumn("_margin", margin)
+        .groupBy(*path, "item_description")
+        .agg(F.sum(money("sale_dollars")).cast("double").alias("product_sales"), safe_div(F.sum("_margin"), F.count("_margin")).alias("avg_margin"))
     )
     products = top_k_per_group(products, ["county", "store_number", "store_name"], [F.desc("product_sales"), F.asc("item_description")], n_products, "product_rank")
     products = products.withColumn(

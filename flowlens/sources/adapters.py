@@ -96,12 +96,6 @@ def sales_view(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
     return df.select(*[exprs[c].alias(c) for c in cols])
 
 
-def store_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store of every sales line from the fact table alone (no joins): rows per store bound the
-    rows of any (county, store, item) group, for hot-key detection."""
-    return read_table(spark, sf_dir, "lineitem", ["l_suppkey"]).select(F.col("l_suppkey").alias("store_number"))
-
-
 def interactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lead interactions (calls): one row per non-error event."""
     ev = read_table(spark, sf_dir, "events", ["user_id", "event_type", "value", "ts"])

@@ -25,7 +25,7 @@ def sales(spark):
 
 
 def test_margin_and_growth_nulls(spark):
-    g = {r.invoice_and_item_number: r for r in S.with_margin_and_growth(sales(spark), hot_rows=None).collect()}
+    g = {r.invoice_and_item_number: r for r in S.with_margin_and_growth(sales(spark)).collect()}
     assert g["i1"].prev_month_sales is None and g["i1"].sales_growth is None
     assert g["i2"].prev_month_sales == 0.0 and g["i2"].sales_growth is None  # division by a 0 previous sale
     assert g["i3"].prev_month_sales == 50.0 and g["i3"].sales_growth == 1.0
