@@ -2,8 +2,8 @@
 
 A window ``row_number() OVER (PARTITION BY class ORDER BY key)`` over a two-value class label
 puts half of the table into one task. The operators here keep the result exact but only ever
-window over (a) a table of bucket counts, whose size is bounded by the number of buckets, and
-(b) the rows of one boundary bucket per group.
+window over (a) a table of counts by hash prefix or by range of rows, and (b) the rows of one such
+bucket, whose number follows from the row count.
 
 Order keys are seeded MD5 hex strings (``hash_key``): uniform, deterministic under any
 partitioning or retry, and reproducible by any SQL engine (the oracle orders by the same
@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlens.session import cut_lineage
 
 UNIT_HEX = 13  # 52 bits of the hash give a uniform number in [0, 1)
 
@@ -121,61 +122,48 @@ def fraction_sample(df: DataFrame, h: str, fraction: float | Column) -> DataFram
     return df.filter(hash_unit(h) < fr)
 
 
-def quantile_buckets(df: DataFrame, order: str, n_buckets: int = 1024, relative_error: float = 1e-3,
-                     out: str = "_bk") -> DataFrame:
-    """Add an order-preserving bucket id from approximate quantiles of ``order``.
+ROWS_A_PART = 100_000
 
-    The ≤ n_buckets - 1 cut points are the only values brought to the driver; the bucket of a
-    row is a JVM-side binary search (``Bucketizer``), so buckets hold about n / n_buckets rows
-    whatever the key distribution.
-    """
-    from pyspark.ml.feature import Bucketizer
 
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = df.agg(F.percentile_approx(F.col(order).cast("double"), qs, int(1 / relative_error)).alias("q")).first()["q"] or []
-    cuts = sorted(set(float(x) for x in splits))
-    tmp = "_bk_in"
-    bz = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol=tmp, outputCol=out)
-    return bz.transform(df.withColumn(tmp, F.col(order).cast("double"))).drop(tmp).withColumn(out, F.col(out).cast("int"))
+def _in_parts(df: DataFrame, order: str, n_buckets: int | None) -> DataFrame:
+    """The rows in ranges of ``order``, with the number of their range as ``_bk``.
+
+    The number of ranges follows from the row count, so a range holds about ``ROWS_A_PART`` rows at any size, wherever
+    the values lie. Range bounds are sampled anew by each run of the plan, so rows and numbers are written
+    to the checkpoint folder once: all readers see the same ranges, also after a lost executor.
+    """
+    if n_buckets is None:
+        n_buckets = max(1, -(-df.count() // ROWS_A_PART))
+    return cut_lineage(df.repartitionByRange(n_buckets, order).withColumn("_bk", F.spark_partition_id()))
 
 
-def dense_index(df: DataFrame, order: str, name: str = "idx", n_buckets: int = 1024, relative_error: float = 1e-3) -> DataFrame:
-    """0-based dense position of every row by a numeric, unique ``order`` column.
+def dense_index(df: DataFrame, order: str, name: str = "idx", n_buckets: int | None = None) -> DataFrame:
+    """0-based dense position of every row by a unique ``order`` column of any sortable type.
 
-    Buckets come from approximate quantiles (so equal-sized whatever the key distribution);
-    per-bucket counts give exact offsets; ``row_number`` runs inside each bucket only.
+    Range counts give exact offsets; ``row_number`` runs inside each range only.
     """
-    with_b = quantile_buckets(df, order, n_buckets, relative_error)
-    counts = with_b.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_c").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # ≤ n_buckets rows
-    j = with_b.join(F.broadcast(offs.select("_bk", "_off")), "_bk")
+    parts = _in_parts(df, order, n_buckets)
+    counts = parts.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
+    offs = counts.select("_bk", F.coalesce(F.sum("_c").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_bk").orderBy(order)
-    return j.withColumn(name, (F.row_number().over(w) - 1 + F.col("_off")).cast("bigint")).drop("_bk", "_off")
+    # the offsets have one row a range; the join is by the window's own key, so rows are shuffled once
+    j = parts.withColumn("_rn", F.row_number().over(w) - 1).join(offs, "_bk")
+    return j.withColumn(name, (F.col("_rn") + F.col("_off")).cast("bigint")).drop("_bk", "_off", "_rn")
 
 
-def prefix_sums(
-    df: DataFrame,
-    order: str,
-    values: Sequence[str],
-    exclusive: bool = True,
-    n_buckets: int = 1024,
-    relative_error: float = 1e-3,
-) -> DataFrame:
+def prefix_sums(df: DataFrame, order: str, values: Sequence[str], exclusive: bool = True, n_buckets: int | None = None) -> DataFrame:
     """Running sums of ``values`` in ``order`` (unique per row), as ``cum_<v>`` columns.
 
-    Same bucketing as ``dense_index``: quantile cut points (bounded, collected once), bucket
-    totals → offsets (≤ n_buckets rows, broadcast), then a window inside each bucket.
+    A distributed scan: ranges of rows, a total for each range, running totals of these joined back, and a
+    window inside each range. The number of ranges grows with the rows (``_in_parts``), so no window is over more
+    than about ``ROWS_A_PART`` rows, but the one over the ranges' totals (one row a range).
     ``exclusive`` sums the rows strictly before; otherwise up to and including the row.
     """
-    with_b = quantile_buckets(df, order, n_buckets, relative_error)
-    tot = with_b.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    parts = _in_parts(df, order, n_buckets)
+    tot = parts.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     wt = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("_bk", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in values])
-    j = with_b.join(F.broadcast(offs), "_bk")
-    frame = (-1 if exclusive else 0)
-    w = Window.partitionBy("_bk").orderBy(order).rowsBetween(Window.unboundedPreceding, frame)
-    out = j
-    for v in values:
-        out = out.withColumn(f"cum_{v}", F.coalesce(F.sum(v).over(w), F.lit(0)) + F.col(f"_o_{v}"))
-    return out.drop("_bk", *[f"_o_{v}" for v in values])
+    w = Window.partitionBy("_bk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    inside = parts.withColumns({f"cum_{v}": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in values})
+    out = inside.join(offs, "_bk")
+    return out.withColumns({f"cum_{v}": F.col(f"cum_{v}") + F.col(f"_o_{v}") for v in values}).drop("_bk", *[f"_o_{v}" for v in values])

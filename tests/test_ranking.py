@@ -120,3 +120,17 @@ def test_first_n_small_and_large_paths(spark, labelled, targets):
     assert got == sorted(want)
     glob = sorted(r.id for r in RK.first_n(h, "_h", targets[0]).collect())
     assert glob == sorted(i for i, _ in sorted(data, key=lambda t: md5(5, t[0]))[:targets[0]])
+
+
+def test_ranges_follow_the_row_count(spark, monkeypatch):
+    """Skewed, negative and NULL-free orders of any type; the number of ranges comes from the rows."""
+    monkeypatch.setattr(RK, "ROWS_A_PART", 100)
+    rng = np.random.default_rng(4)
+    xs = sorted({float(x) for x in np.concatenate([rng.normal(size=700), rng.normal(size=300) * 1e-9])})
+    df = spark.createDataFrame([(x, 1, f"k{i:05d}") for i, x in enumerate(xs)], "s double, v bigint, name string").repartition(3)
+    got = {r.s: (r.cum_v, r.cum_w) for r in RK.prefix_sums(df.selectExpr("*", "2 * v AS w"), "s", ["v", "w"], exclusive=False).collect()}
+    assert got == {x: (i + 1, 2 * i + 2) for i, x in enumerate(xs)}
+    parts = RK._in_parts(df, "s", None)
+    assert parts.select("_bk").distinct().count() == -(-len(xs) // 100)
+    assert {r.name: r.idx for r in RK.dense_index(df, "name").collect()} == {f"k{i:05d}": i for i in range(len(xs))}
+    assert RK.prefix_sums(df.limit(0), "s", ["v"]).count() == 0
