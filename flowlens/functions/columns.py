@@ -76,22 +76,27 @@ def prefix_ellipsis(c: Column | str, n: int = 15) -> Column:
     return F.concat(F.left(col_(c), F.lit(n)), F.lit("..."))
 
 
+def _or_na(c: Column | str, label: Column) -> Column:
+    """The label, or 'N/A' for NULL (``format_string`` gives text for NULL, too)."""
+    return F.when(col_(c).isNull(), F.lit("N/A")).otherwise(label)
+
+
 def usd_label(c: Column | str) -> Column:
-    """``${:,.0f}``."""
-    return F.concat(F.lit("$"), F.format_number(col_(c), 0))
+    """``${:,.0f}``; NULL → 'N/A', as in the labels below."""
+    return _or_na(c, F.concat(F.lit("$"), F.format_number(col_(c), 0)))
 
 
 def millions_label(c: Column | str) -> Column:
-    return F.concat(F.lit("$"), F.format_string("%.1fM", col_(c) / 1e6))
+    return _or_na(c, F.concat(F.lit("$"), F.format_string("%.1fM", col_(c) / 1e6)))
 
 
 def thousands_label(c: Column | str) -> Column:
-    return F.concat(F.lit("$"), F.format_string("%.1fK", col_(c) / 1e3))
+    return _or_na(c, F.concat(F.lit("$"), F.format_string("%.1fK", col_(c) / 1e3)))
 
 
 def pct_label(c: Column | str) -> Column:
-    """``{:.1%}``; NULL → 'N/A'."""
-    return F.coalesce(F.format_string("%.1f%%", col_(c) * 100), F.lit("N/A"))
+    """``{:.1%}``."""
+    return _or_na(c, F.format_string("%.1f%%", col_(c) * 100))
 
 
 def signed_growth_label(c: Column | str, suffix: str = "% MoM") -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.functions.columns import col_, money_sum, r6, safe_div
+from flowlens.functions.columns import col_, money, money_sum, r6, safe_div
 
 
 def frequency(df: DataFrame, key: str, drop_null: bool = True, name: str = "count") -> DataFrame:
@@ -77,22 +77,41 @@ def ordered_text(df: DataFrame, keys: Sequence[str], text: Column, order: Sequen
     return df.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda s: s["_t"]), sep).alias(name))
 
 
-def _n_distinct(df: DataFrame, col: str, name: str) -> DataFrame:
-    """One row: the number of distinct non-NULL values, by a plain aggregate over that column alone."""
-    return df.select(col).distinct().agg(F.count(col).alias(name))
+def sums_and_distinct(df: DataFrame, sums: dict[str, Column], distinct: dict[str, Column]) -> DataFrame:
+    """One row: plain aggregates, and exact counts of distinct whole numbers, all in one pass over ``df``.
+
+    A number sets one bit of a bitmap of 32,768 (its bucket's); bitmaps are built map-side and merged by (count, bucket),
+    so no task holds a set of values, and a shuffle row stands for up to 32,768 of them. Each row is expanded
+    once for each count inside the task; the first copy carries the summands. ``sums`` are named columns to be
+    added up (NULLs are skipped). NULL numbers are not counted.
+    """
+    names = list(distinct)
+    copies = F.array(*[F.struct(F.lit(i).alias("which"), c.cast("bigint").alias("number")) for i, c in enumerate(distinct.values())])
+    rows = df.select(*[c.alias(f"_s{i}") for i, c in enumerate(sums.values())], F.explode(copies).alias("_c"))
+    first = F.col("_c.which") == 0
+    bits = (
+        rows.groupBy(F.col("_c.which").alias("which"), F.bitmap_bucket_number("_c.number").alias("bucket"))
+        .agg(
+            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_c.number"))).alias("n"),
+            *[F.sum(F.when(first, F.col(f"_s{i}"))).alias(f"_s{i}") for i in range(len(sums))],
+        )
+    )
+    counts = [F.coalesce(F.sum(F.when((F.col("which") == i) & F.col("bucket").isNotNull(), F.col("n"))), F.lit(0)).alias(n) for i, n in enumerate(names)]
+    return bits.agg(*[F.sum(f"_s{i}").alias(n) for i, n in enumerate(sums)], *counts)
 
 
 def kpi_row(sales: DataFrame) -> DataFrame:
-    """A8/SL4: six sales KPIs. Each distinct count reads its own column, so no row is expanded per count."""
-    sums = sales.agg(
-        money_sum("sale_dollars").alias("total_sales"),
-        F.sum("bottles_sold").cast("bigint").alias("total_bottles"),
-        r6(F.sum("volume_sold_liters")).alias("total_liters"),
-        r6(F.avg(F.col("state_bottle_retail") - F.col("state_bottle_cost"))).alias("profit_per_bottle"),
+    """A8/SL4: six sales KPIs in one pass; an invoice is numbered by its order and line (``invoice_number``)."""
+    both = F.col("state_bottle_retail") - F.col("state_bottle_cost")
+    row = sums_and_distinct(
+        sales,
+        {"sales": money("sale_dollars"), "bottles": F.col("bottles_sold"), "liters": F.col("volume_sold_liters"), "profit": both,
+         "with_profit": F.when(both.isNotNull(), 1).otherwise(0)},
+        {"invoices": F.col("invoice_number"), "stores": F.col("store_number")},
     )
-    inv = F.broadcast(_n_distinct(sales, "invoice_and_item_number", "_inv"))  # one row each
-    stores = F.broadcast(_n_distinct(sales, "store_number", "_stores"))
-    return sums.join(inv, how="cross").join(stores, how="cross").select(
-        "total_sales", "total_bottles", "total_liters", "profit_per_bottle",
-        r6(safe_div("total_sales", "_inv")).alias("aov"), r6(safe_div("_inv", "_stores")).alias("aof"),
+    total = F.col("sales").cast("double")
+    return row.select(
+        total.alias("total_sales"), F.col("bottles").cast("bigint").alias("total_bottles"), r6("liters").alias("total_liters"),
+        r6(safe_div("profit", "with_profit")).alias("profit_per_bottle"),
+        r6(safe_div(total, F.col("invoices"))).alias("aov"), r6(safe_div("invoices", "stores")).alias("aof"),
     )

@@ -495,7 +495,7 @@ SELECT (SELECT COUNT(DISTINCT lead_id) FROM interactions) AS distinct_leads,
 # ------------------------------------------------------------------ sampling, scaling, models, evaluation
 from flowlens.linear_sql import HISTORY_SQL, gd_recursive_sql, weights_sql  # noqa: E402
 from flowlens.operators.linear import GDConfig  # noqa: E402
-from flowlens.queries import ESTIMATOR, GD_VARIANTS, HISTORY, STOPPED, WEIGHTED  # noqa: E402
+from flowlens.queries import ESTIMATOR, GD_VARIANTS, HISTORY, SENIOR, STOPPED, WEIGHTED  # noqa: E402
 from flowlens.plans.fraud import EXACT_WEIGHTS, FIXED_WEIGHTS, SEED, TEST_SIZE  # noqa: E402
 from flowlens.sources.adapters import FRAUD_FEATURES  # noqa: E402
 
@@ -792,3 +792,34 @@ register("p12_drilldown_labels", with_(SALES) + _GROWTH + f"""
                                                      ORDER BY product_sales DESC, item_description) AS r FROM products) WHERE r <= 2)
 SELECT county, store_number, item_description, left(item_description, 15) || '...' AS product_label,
        '$' || format('{{:,.0f}}', product_sales) AS sales_label FROM p3""")
+
+_FIELDS = """f AS (SELECT l_orderkey || '-' || l_linenumber AS line_id, l_linenumber AS n, CAST(l_quantity AS DECIMAL(12,2)) AS quantity,
+              CAST(l_extendedprice AS DECIMAL(12,2)) AS price, CAST(l_discount AS DECIMAL(12,2)) AS discount,
+              CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS flag FROM lineitem)"""
+register("s4_record_parse", with_(_FIELDS) + """
+SELECT CAST(CASE WHEN n = 5 THEN 0 ELSE flag END AS INT) AS label, COUNT(*) AS n_rows,
+       CAST(SUM(CASE n WHEN 4 THEN 1 WHEN 5 THEN 2 ELSE 0 END) AS BIGINT) AS n_repaired,
+       CAST(SUM(CASE WHEN n = 4 THEN 0 ELSE quantity * 100 END) AS BIGINT) AS cents_0, CAST(SUM(price * 100) AS BIGINT) AS cents_1,
+       CAST(SUM(CASE WHEN n = 5 THEN 0 ELSE discount * 100 END) AS BIGINT) AS cents_2
+FROM f WHERE n NOT IN (6, 7) GROUP BY 1""")
+register("s4_record_rejects", with_(_FIELDS) + """
+SELECT line_id, CASE WHEN n = 6 THEN '  ' ELSE CAST(quantity AS VARCHAR) END AS line, CASE WHEN n = 6 THEN 'blank' ELSE 'one field' END AS reason
+FROM f WHERE n IN (6, 7)""")
+register("p3_senior_hierarchy", with_(MANAGERS) + f"""
+SELECT DISTINCT snr_sm_id AS src, jnr_sm_id AS dst, 1 AS level FROM managers WHERE snr_sm_id = {q(SENIOR)}
+UNION ALL SELECT jnr_sm_id, CAST(lead_id AS VARCHAR), 2 FROM managers WHERE snr_sm_id = {q(SENIOR)}""")
+register("p6_lenient_dates", """
+SELECT CAST(year(TRY_CAST(CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' WHEN o_orderkey % 11 = 0 THEN '1996-02-30'
+                               ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS DATE)) AS DOUBLE) AS year, COUNT(*) AS n_orders
+FROM orders GROUP BY 1""")
+register("p12_number_labels", with_(SALES) + f"""
+, m AS (SELECT county, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, {money('sale_dollars')} AS sales FROM sales GROUP BY 1, 2, 3)
+, g AS (SELECT *, LAG(sales) OVER (PARTITION BY county ORDER BY year, month) AS prev FROM m)
+, r AS (SELECT *, CASE WHEN prev <> 0 THEN (sales - prev) / prev END AS growth FROM g)
+SELECT county, year, month, '$' || format('{{:,}}', CAST(ROUND_EVEN(sales, 0) AS BIGINT)) AS dollars,
+       '$' || printf('%.1f', ROUND(sales / 1e6, 1)) || 'M' AS millions, '$' || printf('%.1f', ROUND(sales / 1e3, 1)) || 'K' AS thousands,
+       COALESCE(printf('%.1f', growth * 100) || '%', 'N/A') AS percent,
+       CASE WHEN growth IS NULL OR growth = 0 THEN 'N/A' WHEN growth > 0 THEN '+' || printf('%.1f', growth * 100) || '% MoM'
+            ELSE printf('%.1f', growth * 100) || '% MoM' END AS growth_label
+FROM r""")
+register("p16_missing_column", ORACLE["f12_top_reason"].replace(f"({q(REASON_COLUMNS[-1])})", f"({q(REASON_COLUMNS[-1])}), ('reason_not_recorded')", 1))

@@ -29,7 +29,7 @@ def query(name: str):
 # ------------------------------------------------------------------ sales
 @query("sl4_kpi_row")
 def sl4_kpi_row(spark, d):
-    cols = ["invoice_and_item_number", "store_number", "sale_dollars", "bottles_sold", "volume_sold_liters",
+    cols = ["invoice_number", "store_number", "sale_dollars", "bottles_sold", "volume_sold_liters",
             "state_bottle_retail", "state_bottle_cost"]
     return S.kpi_row(A.sales_view(spark, d, cols))
 
@@ -572,10 +572,15 @@ def t12_tree_nodes(spark, d):
 
 
 # ------------------------------------------------------------------ sources, sinks, reshaping, labels
-from flowlens.functions.columns import prefix_ellipsis, usd_label  # noqa: E402
+from flowlens.functions.columns import (  # noqa: E402
+    lenient_date, millions_label, pct_label, prefix_ellipsis, signed_growth_label, thousands_label, usd_label,
+)
 from flowlens.sources.readers import read_warehouse, sql_source  # noqa: E402
+from flowlens.sources.records import parse_records  # noqa: E402
 from flowlens.sources.sinks import dot_lines  # noqa: E402
 
+SENIOR = "ASIA"
+
 
 @query("s5_format_scan")
 def s5_format_scan(spark, d):
@@ -605,6 +610,50 @@ def r3_reason_stage_crosstab(spark, d):
     return pivot_count(long, "reason", "reason_type", A.REASON_COLUMNS)
 
 
+@query("s4_record_parse")
+def s4_record_parse(spark, d):
+    """Records as text lines, some of them broken: rows, repaired fields and exact feature totals by label."""
+    good, _ = parse_records(A.record_lines(spark, d), "line_id", "line", n_features=3)
+    cents = [F.sum(F.round(F.col("features")[i] * 100).cast("bigint")).alias(f"cents_{i}") for i in range(3)]
+    return good.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_repaired").alias("n_repaired"), *cents)
+
+
+@query("s4_record_rejects")
+def s4_record_rejects(spark, d):
+    """Every record that was not taken, with the reason."""
+    _, rejects = parse_records(A.record_lines(spark, d), "line_id", "line", n_features=3)
+    return rejects
+
+
+@query("p3_senior_hierarchy")
+def p3_senior_hierarchy(spark, d):
+    return HR.hierarchy_edges(A.managers_view(spark, d), senior=SENIOR)
+
+
+@query("p6_lenient_dates")
+def p6_lenient_dates(spark, d):
+    """Orders by the year of a date given as text, some of which is no date."""
+    o = A.read_table(spark, d, "orders", ["o_orderkey", "o_orderdate"])
+    text = F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/a")).when(F.col("o_orderkey") % 11 == 0, F.lit("1996-02-30"))
+    text = text.otherwise(F.to_date("o_orderdate").cast("string"))
+    return o.groupBy(F.year(lenient_date(text)).cast("double").alias("year")).agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+@query("p12_number_labels")
+def p12_number_labels(spark, d):
+    """Every kind of number label over the counties' months: whole dollars, millions, thousands, percent, signed growth."""
+    m = S.monthly_growth(A.sales_view(spark, d, ["county", "date", "sale_dollars"]))
+    return m.select(
+        "county", "year", "month", usd_label("sales").alias("dollars"), millions_label("sales").alias("millions"),
+        thousands_label("sales").alias("thousands"), pct_label("growth").alias("percent"), signed_growth_label("growth").alias("growth_label"),
+    )
+
+
+@query("p16_missing_column")
+def p16_missing_column(spark, d):
+    return FN.top_reason(spark, A.no_interest_view(spark, d), [*A.REASON_COLUMNS, "reason_not_recorded"])
+
+
 @query("p12_drilldown_labels")
 def p12_drilldown_labels(spark, d):
     t = S.enhanced_county_view(A.sales_view(spark, d, _GROWTH_COLS))

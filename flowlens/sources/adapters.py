@@ -83,6 +83,7 @@ def sales_view(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
     exprs: dict[str, Column] = {
         "invoice_and_item_number": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
         "date": F.to_date("l_shipdate"),
+        "invoice_number": F.shiftleft(F.col("l_orderkey").cast("bigint"), 8).bitwiseOR(F.col("l_linenumber").cast("bigint")),
         "store_number": F.col("l_suppkey"),
         "store_name": F.col("s_name"),
         "county": F.col("county"),
@@ -96,6 +97,21 @@ def sales_view(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
     return df.select(*[exprs[c].alias(c) for c in cols])
 
 
+def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as text records (quantity, "price", discount, label), some of them broken by their line number.
+
+    Line 4 of an order has a word for its quantity, line 5 lacks label and discount, line 6 is blank, line 7 has one field.
+    """
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"])
+    n = F.col("l_linenumber")
+    quantity = F.when(n == 4, "many").otherwise(F.col("l_quantity").cast("decimal(12,2)").cast("string"))
+    price = F.format_string('"%s"', F.col("l_extendedprice").cast("decimal(12,2)").cast("string"))
+    rest = F.when(n != 5, F.concat(F.lit(", "), F.col("l_discount").cast("decimal(12,2)").cast("string"), F.lit(","), F.when(F.col("l_returnflag") == "R", "1").otherwise("0")))
+    whole = F.concat(quantity, F.lit(","), price, F.coalesce(rest, F.lit("")))
+    line = F.when(n == 6, "  ").when(n == 7, quantity).otherwise(whole)
+    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_id"), line.alias("line"))
+
+
 def interactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lead interactions (calls): one row per non-error event."""
     ev = read_table(spark, sf_dir, "events", ["user_id", "event_type", "value", "ts"])

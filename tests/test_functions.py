@@ -62,3 +62,13 @@ def test_dates(spark):
     got = [r.y for r in df.select(C.lenient_date("d", "M/d/yyyy").alias("y")).collect()]
     assert got == [datetime.date(2022, 1, 10), None]
     assert df.filter(F.col("d") == "1/10/2022").select(C.strict_date("d").alias("y")).first().y == datetime.date(2022, 1, 10)
+
+
+def test_labels_of_null(spark):
+    from flowlens.functions import columns as C
+
+    df = spark.createDataFrame([(None,), (1234567.0,)], "x double")
+    kinds = [C.usd_label, C.millions_label, C.thousands_label, C.pct_label]
+    got = df.orderBy(F.col("x").asc_nulls_first()).select(*[f("x") for f in kinds]).collect()
+    assert tuple(got[0]) == ("N/A",) * 4
+    assert tuple(got[1]) == ("$1,234,567", "$1.2M", "$1234.6K", "123456700.0%")

@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from flowlens.operators import ranking as RK
 from flowlens.operators import sampling as SM
 
@@ -134,3 +135,16 @@ def test_ranges_follow_the_row_count(spark, monkeypatch):
     assert parts.select("_bk").distinct().count() == -(-len(xs) // 100)
     assert {r.name: r.idx for r in RK.dense_index(df, "name").collect()} == {f"k{i:05d}": i for i in range(len(xs))}
     assert RK.prefix_sums(df.limit(0), "s", ["v"]).count() == 0
+
+
+def test_sums_and_distinct_in_one_pass(spark):
+    from flowlens.operators.aggregates import sums_and_distinct
+
+    rng = np.random.default_rng(6)
+    rows = [(int(a), None if a % 9 == 0 else int(b), float(a)) for a, b in zip(rng.integers(0, 300_000, 4000), rng.integers(0, 1 << 40, 4000))]
+    rows += rows[:500] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint, v double").repartition(5)
+    row = sums_and_distinct(df, {"v": F.col("v")}, {"na": F.col("a"), "nb": F.col("b")}).first()
+    assert (row.na, row.nb) == (len({r[0] for r in rows if r[0] is not None}), len({r[1] for r in rows if r[1] is not None}))
+    assert row.v == sum(r[2] for r in rows if r[2] is not None)
+    assert tuple(sums_and_distinct(df.limit(0), {"v": F.col("v")}, {"na": F.col("a")}).first()) == (None, 0)

@@ -90,3 +90,18 @@ def test_dot_sink(spark, tmp_path):
     assert '"A" -> "B" [label="2 leads"];' in text
     assert '[label="Be\\"ta"]' in text
     assert text.rstrip().endswith("}")
+
+
+def test_records_and_rejects(spark):
+    from flowlens.sources.records import parse_records
+
+    lines = ['1,"2,5",x,1', '1,2,3,0', "", None, "  ", "7", '"a ""b""",2,3,1', "1,2", "1,2,3,4,5", ",,,"]
+    df = spark.createDataFrame(list(enumerate(lines)), "id int, line string")
+    good, rejects = parse_records(df, "id", "line", 3)
+    assert {r.id: (list(r.features), r.label, r.n_repaired) for r in good.collect()} == {
+        0: ([1.0, 0.0, 0.0], 1, 2), 1: ([1.0, 2.0, 3.0], 0, 0), 6: ([0.0, 2.0, 3.0], 1, 1),
+        7: ([1.0, 2.0, 0.0], 0, 2), 8: ([1.0, 2.0, 3.0], 4, 0), 9: ([0.0, 0.0, 0.0], 0, 4),
+    }
+    assert {r.id: r.reason for r in rejects.collect()} == {2: "blank", 3: "blank", 4: "blank", 5: "one field"}
+    good, rejects = parse_records(df.limit(0), "id", "line", 3)
+    assert good.count() == rejects.count() == 0
