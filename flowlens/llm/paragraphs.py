@@ -111,22 +111,18 @@ def parts(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, g[at]
 
 
-def _occurrences(with_parts: bool):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in A.slices(batches):
-            h, starts, doc = lines(*A.bytes_of(part.column(1)))
-            size = np.diff(starts)
-            begin = starts[np.searchsorted(doc, np.arange(part.num_rows + 1))]  # the documents' first words
-            units = [(node_ids(t, f), starts[r], size[r], d, np.zeros(len(r), bool)) for t, f, r, d in paragraphs(h, starts, doc)]
-            if with_parts:
-                at, g = parts(h, begin)
-                units.append((A.mix(g).view(np.int64), at, np.full(len(at), PART), A.owner(begin)[at], np.ones(len(at), bool)))
-            for node, word, n, d, is_part in units:
-                word = word - begin[d]
-                columns = [pa.array(node), part.column(0).take(pa.array(d)), pa.array(word.astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(is_part)]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "doc_id", "first_word", "n_words", "is_part"])
-
-    return rows
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in A.slices(batches):
+        h, starts, doc = lines(*A.bytes_of(part.column(1)))
+        size = np.diff(starts)
+        begin = starts[np.searchsorted(doc, np.arange(part.num_rows + 1))]  # the documents' first words
+        units = [(node_ids(t, f), starts[r], size[r], d, np.zeros(len(r), bool)) for t, f, r, d in paragraphs(h, starts, doc)]
+        at, g = parts(h, begin)
+        units.append((A.mix(g).view(np.int64), at, np.full(len(at), PART), A.owner(begin)[at], np.ones(len(at), bool)))
+        for node, word, n, d, is_part in units:
+            word = word - begin[d]
+            columns = [pa.array(node), part.column(0).take(pa.array(d)), pa.array(word.astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(is_part)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "doc_id", "first_word", "n_words", "is_part"])
 
 
 def _band_rows(bands: int):
@@ -155,12 +151,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     buckets = written(sorted_buckets(texts.mapInArrow(_band_rows(bands_for()), "sig long, node long")), "bands")
     pairs = written(bucket_pairs(buckets), "paragraph-pairs")
     nodes = written(pairs.select(F.col("b").alias("node")).union(pairs.select("a")).distinct(), "paragraph-nodes")
-    where = texts.mapInArrow(_occurrences(False), _OCCURRENCE)
-    wanted = semi_join(where, nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    every = written(texts.mapInArrow(_occurrences, _OCCURRENCE), "occurrences")
+    wanted = semi_join(every.where("NOT is_part"), nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     found = semi_join(texts, wanted, "doc_id").mapInArrow(_set_rows, SET_SCHEMA)
     sets = written(semi_join(found, nodes, "node").dropDuplicates(["node"]), "paragraph-sets")
     roots = written(linked(buckets, pairs, sets), "paragraph-roots")
-    every = texts.mapInArrow(_occurrences(True), _OCCURRENCE)
     first = F.min(F.struct("doc_id", "first_word"))
     by_node = every.groupBy("node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
     alone = by_node.join(roots, "node", "left").where("root is not null or n > 1 and (lo < hi or n > 1)")
