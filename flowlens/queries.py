@@ -509,7 +509,7 @@ def t4_early_stop(spark, d):
 
 @query("e9_rebalancing_comparison")
 def e9_rebalancing_comparison(spark, d):
-    return FR.rebalancing_comparison(spark, A.labelled_view(spark, d), n_iterations=100, smote_ratio=0.5)
+    return FR.rebalancing_comparison(spark, A.labelled_view(spark, d), n_iterations=100)
 
 
 # ------------------------------------------------------------------ kNN and SMOTE (embeddings, minority = class 0)
