@@ -24,6 +24,7 @@ from flowlens.llm.common import written
 
 WHITE = " \t\n\v\f\r"
 HOT_SHARE = 0.001
+BROADCAST_KEYS = 250_000
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -67,15 +68,28 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; a row given several times (same id, same text) stays once."""
+    """The rows that stay, with all their columns; a row given several times (same id, same text) stays once.
+
+    Only ids and hashes are shuffled to find the rows that go; while these are ``BROADCAST_KEYS`` or fewer they are
+    broadcast (some 100 bytes each), so no row with its text moves. Beyond that the rows are joined by a shuffle.
+    """
     sha, at = "_text_sha256", F.col(id_col).cast("long")
     bare = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     for c in WHITE:
         bare = F.replace(bare, F.lit(c), F.lit(""))
-    kept = exact_groups(docs, id_col, text_col).select(F.col("text_sha256").alias("_kept_sha"), F.col("keep_id").alias("_kept_id"))
     rows = docs.withColumn(sha, F.sha2(bare, 256))
-    return (
-        rows.join(kept, (F.col(sha) == F.col("_kept_sha")) & at.eqNullSafe(F.col("_kept_id")), "left_semi")
-        .dropDuplicates([sha, id_col])
-        .drop(sha)
-    )
+    kept = exact_groups(docs, id_col, text_col).select(F.col("text_sha256").alias("_kept_sha"), F.col("keep_id").alias("_kept_id"))
+    is_kept = (F.col("_sha") == F.col("_kept_sha")) & F.col("_id").eqNullSafe(F.col("_kept_id"))
+    pairs = rows.select(at.alias("_id"), F.col(sha).alias("_sha")).groupBy("_id", "_sha").agg(F.count(F.lit(1)).alias("_times"))
+    marked = pairs.join(kept.withColumn("_stays", F.lit(True)), is_kept, "left").select("_id", "_sha", "_times", F.col("_stays").isNotNull().alias("_stays"))
+    special = written(marked.where("NOT _stays OR _times > 1"), "copies")
+    few = special.count() <= BROADCAST_KEYS
+    same = (F.col(sha) == F.col("_sha")) & at.eqNullSafe(F.col("_id"))
+
+    def among(keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select("_id", "_sha")
+        return rows.join(F.broadcast(keys) if few else keys, same, how)
+
+    repeated = special.where("_stays")
+    once = among(special, "left_anti")
+    return once.union(among(repeated, "left_semi").dropDuplicates([sha, id_col])).drop(sha)

@@ -241,3 +241,15 @@ def test_batches_are_bounded_in_bytes(spark):
     rows = C.package_reachable(spark).range(300).selectExpr("repeat('x', 100000) AS text")
     sizes = rows.mapInArrow(lambda bs: (__import__("pyarrow").RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()
     assert max(r.n for r in sizes) <= 2 * C.BATCH_BYTES // 100_000
+
+
+@pytest.mark.parametrize("most", [0, 250_000])
+def test_one_copy_of_repeated_rows(spark, monkeypatch, most):
+    """By broadcast and by shuffle: repeated rows, one id with two texts, null ids and texts."""
+    from flowlens.llm import exact_dedup as E
+
+    monkeypatch.setattr(E, "BROADCAST_KEYS", most)
+    rows = [(1, "a b")] * 50 + [(1, "c"), (2, "ab"), (3, "a  b"), (4, "c"), (None, "d"), (None, "d"), (5, "d"), (None, None), (6, ""), (None, "only"), (None, "only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, keep_one_copy(docs).collect()), key=str)
+    assert got == sorted([(3, "a  b"), (1, "c"), (5, "d"), (6, ""), (None, "only")], key=str)
