@@ -7,6 +7,7 @@ Every array is built for one bounded slice of a batch, so a task's memory follow
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -63,8 +64,20 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def give_back() -> None:
+    """Return this worker's freed memory to the system: Arrow's pool, and the C heap where its library can (glibc)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each piece holds at most ``limit`` bytes of text, or one row."""
+    """Cut batches so that each piece holds at most ``limit`` bytes of text, or one row.
+
+    Freed memory goes back to the system at the end of a task, as a worker lives on between stages and what it keeps
+    counts against its executor.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -75,6 +88,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = S
             end = min(max(end, row + 1), batch.num_rows)
             yield batch.slice(row, end - row)
             row = end
+    give_back()
 
 
 def _hash_spans(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:

@@ -128,7 +128,7 @@ class Index:
 
 def _with_index(shared):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in A.slices(batches):
+        for part in A.slices(batches, limit=A.SLICE_BYTES // 2):
             _, _, h, starts = A.words(*A.bytes_of(part.column(1)))
             found = shared.value.overlaps(h, starts)
             if found:

@@ -127,7 +127,7 @@ def memberships(docs: DataFrame, classifier: Classifier, text_col: str = "text",
     schema = docs.select("*", F.lit(0).cast("long").alias(words), F.array(F.lit(0.0)).alias(share)).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in A.slices(batches, text_col):
+        for part in A.slices(batches, text_col, A.SLICE_BYTES // 2):
             n, p = shared.value.probabilities(*A.bytes_of(part.column(part.schema.get_field_index(text_col))))
             each = pa.ListArray.from_arrays(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32), p.ravel())
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n.astype(np.int64)), each], [*part.schema.names, words, share])
