@@ -85,9 +85,9 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
     return df.join(F.broadcast(w), label, "left")
 
 
-def curated_subset(df: DataFrame, key: Sequence[str] | str, label: str, head_n: dict, sample_n_: dict,
+def curated_subset(df: DataFrame, key: Sequence[str] | str, label: str, head_pct: dict, sample_n_: dict,
                    seed: int = 42, head_seed: str = "head") -> DataFrame:
-    """The first ``head_n[c]`` rows of each class in a stable order, then exactly
+    """Of each class the first rows in a stable order, ``head_pct[c]`` per cent of *all* rows, then exactly
     ``sample_n_[c]`` of those per class by seeded hash.
 
     A distributed table has no file order; the stable order is a second seeded hash of the key
@@ -95,7 +95,8 @@ def curated_subset(df: DataFrame, key: Sequence[str] | str, label: str, head_n:
     """
     spark = df.sparkSession
     lab_type = df.schema[label].dataType.simpleString()
-    head_t = spark.createDataFrame([(c, int(n)) for c, n in head_n.items()], f"{label} {lab_type}, n bigint")
+    total = df.count()
+    head_t = spark.createDataFrame([(c, total * int(p) // 100) for c, p in head_pct.items()], f"{label} {lab_type}, n bigint")
     samp_t = spark.createDataFrame([(c, int(n)) for c, n in sample_n_.items()], f"{label} {lab_type}, n bigint")
     keys = [key] if isinstance(key, str) else list(key)
     head = first_n(df.withColumn(HASH, hash_key(head_seed, *keys)), HASH, head_t, [label]).drop(HASH)

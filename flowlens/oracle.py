@@ -56,7 +56,7 @@ INTERACTIONS = f"""interactions AS (
          CASE WHEN value >= {SUCCESS_VALUE} THEN 'successful' ELSE 'failed' END AS call_status,
          {_reason_case()} AS call_reason,
          CAST(ts AS DATE) AS call_done_date
-  FROM events WHERE event_type IN ({", ".join(q(e) for e in STAGE_OF_EVENT)}))"""
+  FROM events)"""
 
 LEADS = """leads AS (
   SELECT c_custkey AS lead_id, c_mktsegment AS lead_gen_source, c_nationkey AS current_city FROM customer)"""
@@ -268,7 +268,7 @@ LEFT JOIN top t ON s.store_number = t.store_number""")
 
 
 # ------------------------------------------------------------------ funnel (F*, H1-H10, R2, A*)
-from flowlens.plans.funnel import CALL_LOOKUPS, CANONICAL_REASONS, DROP_STAGE_OF_COLUMN, REASON_PREFIXES  # noqa: E402
+from flowlens.plans.funnel import CALL_LOOKUPS, CANONICAL_REASONS, DECISION_NODES, DROP_STAGE_OF_COLUMN, FLOW_CLUSTERS, REASON_PREFIXES  # noqa: E402
 from flowlens.sources.adapters import STAGES  # noqa: E402
 
 STAGE_DIM = "stages AS (SELECT * FROM (VALUES " + ", ".join(f"({q(s)}, {i + 1})" for i, s in enumerate(STAGES)) + ") t(stage, stage_order))"
@@ -392,7 +392,7 @@ SELECT r.reason_type, COALESCE(t.reason, 'N/A') AS top_reason FROM req r LEFT JO
 
 _ALL_CALL_REASONS = sorted({r for pair in CALL_REASONS.values() for r in pair})
 register("r2_stage_reason_crosstab", with_(INTERACTIONS) + "SELECT lead_stage AS stage, " + ", ".join(
-    f"COUNT(*) FILTER (WHERE call_reason = {q(r)}) AS {r}" for r in _ALL_CALL_REASONS) + " FROM interactions GROUP BY 1")
+    f"COUNT(*) FILTER (WHERE call_reason = {q(r)}) AS {r}" for r in _ALL_CALL_REASONS) + " FROM interactions WHERE lead_stage IS NOT NULL GROUP BY 1")
 
 register("f13_call_patterns", with_(INTERACTIONS) + "SELECT " + ", ".join(
     f"COUNT(*) FILTER (WHERE lead_stage = {q(s)} AND call_reason = {q(r)}) AS {n}" for n, s, r in CALL_LOOKUPS) + " FROM interactions")
@@ -414,18 +414,37 @@ register("f15_manager_workload", with_(MANAGERS) + """
 SELECT ROUND(AVG(n), 6) AS avg_cycles FROM (SELECT jnr_sm_id, COUNT(DISTINCT cycle) AS n FROM managers
                                             WHERE jnr_sm_id IS NOT NULL GROUP BY 1)""")
 
-_F16_NODES = ["Lead", "Awareness (Demo Video)", "Consideration", "Conversion"]
-register("f16_decision_funnel_edges", with_(INTERACTIONS, NO_INTEREST, STAGE_DIM, F1, _melted("no_interest")) + f"""
-, nodes AS (SELECT node, stage_order, lower(split_part(trim(node), ' ', 1)) AS stage
-            FROM (VALUES {", ".join(f"({q(n)}, {i + 1})" for i, n in enumerate(_F16_NODES))}) t(node, stage_order))
-, sn AS (SELECT n.node, n.stage_order, f1.leads FROM nodes n LEFT JOIN f1 ON n.stage = f1.stage)
-SELECT src, dst, kind, CAST(leads AS DOUBLE) AS leads FROM (
-SELECT * FROM (SELECT node AS src, LEAD(node) OVER (ORDER BY stage_order) AS dst, 'yes' AS kind, leads FROM sn) WHERE dst IS NOT NULL
-UNION ALL SELECT node, 'Drop ' || CAST(stage_order AS VARCHAR), 'no', CAST(NULL AS BIGINT) FROM sn
-UNION ALL SELECT 'Drop 1', 'Drop-off: ' || reason, 'reason', COUNT(*) FROM melted GROUP BY reason)""")
+_F16_VALUES = ", ".join("(" + ", ".join("NULL" if v is None else q(v) for v in n) + f", {i + 1})" for i, n in enumerate(DECISION_NODES))
+F16 = f"""nodes AS (SELECT *, lower(split_part(trim(node), ' ', 1)) AS stage FROM (VALUES {_F16_VALUES}) t(node, yes, drop_text, no_text, stage_order)),
+watched AS (SELECT COUNT(DISTINCT lead_id) AS n FROM demo)"""
+register("f16_decision_funnel_edges", with_(INTERACTIONS, NO_INTEREST, DEMO, STAGE_DIM, F1, _melted("no_interest"), F16) + f"""
+, sn AS (SELECT n.*, f1.leads FROM nodes n LEFT JOIN f1 ON n.stage = f1.stage)
+SELECT src, dst, kind, label, CAST(leads AS DOUBLE) AS leads FROM (
+SELECT * FROM (SELECT node AS src, LEAD(node) OVER (ORDER BY stage_order) AS dst, 'yes' AS kind, yes AS label, leads FROM sn) WHERE dst IS NOT NULL
+UNION ALL SELECT node, 'Drop ' || CAST(stage_order AS VARCHAR), CASE no_text WHEN 'No' THEN 'no' ELSE 'failed' END, no_text, CAST(NULL AS BIGINT) FROM sn
+UNION ALL SELECT 'Drop 1', 'Drop-off: ' || reason, 'reason', '', COUNT(*) FROM melted GROUP BY reason
+UNION ALL SELECT {q(DECISION_NODES[1][0])}, 'Demo Influence', 'demo', '', n FROM watched)""")
+
+register("f16_decision_funnel_nodes", with_(INTERACTIONS, NO_INTEREST, DEMO, STAGE_DIM, F1, F4, _melted("no_interest"), F16) + """
+, succ AS (SELECT lead_stage AS stage,
+                  ROUND(AVG(CASE WHEN call_status = 'successful' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 6) AS success_rate
+           FROM interactions GROUP BY 1)
+, infl AS (SELECT n, ROUND(CASE WHEN n > 0 THEN (SELECT COUNT(DISTINCT lead_id) FROM interactions WHERE lead_stage = 'consideration') / n * 100
+                           ELSE 0.0::DOUBLE END, 6) AS rate FROM watched)
+SELECT n.node, 'stage' AS kind, n.node || chr(10) || printf('(%d leads)', f1.leads) || chr(10)
+       || printf('Conv. Rate: %.1f%%', ROUND(COALESCE(f4.conversion_pct, 0.0::DOUBLE), 1)) || chr(10)
+       || printf('Call Success: %.1f%%', ROUND(COALESCE(s.success_rate, 0.0::DOUBLE), 1)) AS label
+FROM nodes n LEFT JOIN f1 ON n.stage = f1.stage LEFT JOIN f4 ON n.stage = f4.stage LEFT JOIN succ s ON n.stage = s.stage
+UNION ALL SELECT 'Drop ' || CAST(stage_order AS VARCHAR), 'drop', drop_text FROM nodes
+UNION ALL SELECT 'Drop-off: ' || reason, 'reason', reason || chr(10) || printf('(%d leads)', COUNT(*)) FROM melted GROUP BY reason
+UNION ALL SELECT 'Demo Influence', 'demo', printf('Demo Watched: %d leads', n) || chr(10) || printf('Conversion Rate: %.1f%%', ROUND(rate, 1)) FROM infl""")
+
+register("h10_reason_edges", with_(INTERACTIONS, NO_INTEREST, STAGE_DIM, F1, COL_STAGE, _melted("no_interest"), F10) + f"""
+SELECT 'Interest' || CASE reason_type {" ".join(f"WHEN {q(c)} THEN '{i + 1}'" for i, c in enumerate(REASON_COLUMNS))} END AS src,
+       concat_ws('_', stage, 'reason', CAST(rank AS VARCHAR)) AS dst, printf('%d leads (%.1f%%)', count, ROUND(pct, 1)) AS label FROM pcts""")
 
 register("f17_success_failure_leads", with_(INTERACTIONS) + """
-SELECT lead_stage AS stage, call_status, COUNT(DISTINCT lead_id) AS leads FROM interactions GROUP BY 1, 2""")
+SELECT lead_stage AS stage, call_status, COUNT(DISTINCT lead_id) AS leads FROM interactions WHERE lead_stage IS NOT NULL GROUP BY 1, 2""")
 
 register("f18_language_distribution", with_(DEMO) + """
 SELECT language, COUNT(*) AS count FROM demo WHERE language IS NOT NULL GROUP BY 1""")
@@ -442,13 +461,14 @@ SELECT reason_type,
          || CASE WHEN MAX(rank) > 3 THEN chr(10) || '- ...' ELSE '' END AS text
 FROM r GROUP BY reason_type""")
 
-register("h9_flow_graph_edges", with_(INTERACTIONS, LEADS, DEMO, NO_INTEREST, _melted("no_interest", (REASON_COLUMNS[0],))) + f"""
-, x AS (SELECT (SELECT COUNT(*) FROM leads) AS t,
+H9 = f"""x AS (SELECT (SELECT COUNT(*) FROM leads) AS t,
+               (SELECT COUNT(DISTINCT lead_gen_source) FROM leads) AS n_sources, (SELECT COUNT(*) FROM demo) AS watched,
                (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'awareness') AS a,
                (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'consideration') AS c,
                (SELECT COUNT(*) FROM interactions WHERE lead_stage = 'conversion') AS v)
-, cp AS (SELECT {", ".join(f"COUNT(*) FILTER (WHERE lead_stage = {q(s)} AND call_reason = {q(r)}) AS {n}" for n, s, r in CALL_LOOKUPS)} FROM interactions)
-SELECT src, dst, cluster, CAST(value AS DOUBLE) AS value, pct FROM (
+, cp AS (SELECT {", ".join(f"COUNT(*) FILTER (WHERE lead_stage = {q(s)} AND call_reason = {q(r)}) AS {n}" for n, s, r in CALL_LOOKUPS)} FROM interactions)"""
+_H9_BASE = (INTERACTIONS, LEADS, DEMO, NO_INTEREST, _melted("no_interest", (REASON_COLUMNS[0],)), H9)
+H9_EDGES = f"""SELECT src, dst, cluster, CAST(value AS DOUBLE) AS value, pct FROM (
 SELECT 'Lead' AS src, 'Awareness' AS dst, 'main' AS cluster, a AS value, ROUND(a / NULLIF(t, 0), 6) AS pct FROM x
 UNION ALL SELECT 'Awareness', 'Consideration', 'main', c, ROUND(c / NULLIF(a, 0), 6) FROM x
 UNION ALL SELECT 'Consideration', 'Conversion', 'main', v, ROUND(v / NULLIF(c, 0), 6) FROM x
@@ -462,7 +482,36 @@ UNION ALL SELECT 'Intro', 'Demo', 'calls', demo_scheduled_calls, CAST(NULL AS DO
 UNION ALL SELECT 'Demo', 'Followup', 'calls', followup_calls, CAST(NULL AS DOUBLE) FROM cp
 UNION ALL SELECT 'Followup', 'ConversionCall', 'calls', converted_calls, CAST(NULL AS DOUBLE) FROM cp
 UNION ALL SELECT 'Lead', 'Start', 'link', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE)
-UNION ALL SELECT 'ConversionCall', 'Conversion', 'link', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE))""")
+UNION ALL SELECT 'ConversionCall', 'Conversion', 'link', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE))"""
+register("h9_flow_graph_edges", with_(*_H9_BASE) + H9_EDGES)
+
+
+def _share(a: str, b: str) -> str:
+    return f"CASE WHEN {b} <> 0 THEN printf('%.1f%%', ROUND(({a}) / {b} * 100, 1)) ELSE 'N/A' END"
+
+
+def _dropout(i: int, n: str, base: str) -> str:
+    return f"UNION ALL SELECT 'Dropout{i}', NULL, 'diamond', 'Dropout' || chr(10) || printf('%d leads', {n}) || chr(10) || '(' || {_share(n, base)} || ')' FROM x"
+
+
+H9_NODES = f"""
+SELECT 'Lead' AS id, 'main_stages' AS cluster, 'box' AS shape, 'Lead' || chr(10) || printf('Total: %d', t) || chr(10) || printf('Sources: %d', n_sources) AS label FROM x
+UNION ALL SELECT 'Awareness', 'main_stages', 'box', 'Awareness' || chr(10) || printf('Demo Watched: %d', watched) || chr(10) || '({{'
+  || (SELECT COALESCE(string_agg('''' || language || ''': ' || CAST(n AS VARCHAR), ', ' ORDER BY n DESC, language), '')
+      FROM (SELECT language, COUNT(*) AS n FROM demo WHERE language IS NOT NULL GROUP BY 1)) || '}})' FROM x
+UNION ALL SELECT 'Consideration', 'main_stages', 'box', 'Consideration' || chr(10) || printf('Follow-ups: %d', c) FROM x
+UNION ALL SELECT 'Conversion', 'main_stages', 'box', 'Conversion' || chr(10) || printf('Successful: %d', v) || chr(10) || 'Rate: ' || {_share('v', 't')} FROM x
+{_dropout(1, 't - a', 't')}
+{_dropout(2, 'a - c', 'a')}
+{_dropout(3, 'c - v', 'c')}
+UNION ALL SELECT 'Start', 'call_flow', 'box', 'Start Call' FROM x
+UNION ALL SELECT 'Intro', 'call_flow', 'box', 'Introduction' || chr(10) || printf('%d calls', intro_calls) FROM cp
+UNION ALL SELECT 'Demo', 'call_flow', 'box', 'Demo Scheduled' || chr(10) || printf('%d calls', demo_scheduled_calls) FROM cp
+UNION ALL SELECT 'Followup', 'call_flow', 'box', 'Follow-up' || chr(10) || printf('%d calls', followup_calls) FROM cp
+UNION ALL SELECT 'ConversionCall', 'call_flow', 'box', 'Conversion Call' || chr(10) || printf('%d calls', converted_calls) FROM cp
+UNION ALL SELECT DISTINCT {_category('reason_type')} || '_header', 'reasons', 'plaintext', {_category('reason_type')} FROM melted
+UNION ALL SELECT concat_ws('_', {_category('reason_type')}, reason), 'reasons', 'box', reason || printf(': %d leads', COUNT(*)) FROM melted GROUP BY reason_type, reason"""
+register("h9_flow_graph_nodes", with_(*_H9_BASE) + H9_NODES)
 
 register("h1_hierarchy_edges", with_(MANAGERS) + """
 SELECT DISTINCT snr_sm_id AS src, jnr_sm_id AS dst, 1 AS level FROM managers
@@ -588,10 +637,10 @@ SELECT label, COUNT(*) AS count, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS s
 register("m17_curated_subset", with_(LABELLED) + f"""
 , head AS (SELECT row_id, label FROM (
     SELECT row_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {hkey('head', 'row_id')}) AS rn FROM labelled)
-  WHERE (label = 0 AND rn <= 2000) OR (label = 1 AND rn <= 200))
+  WHERE rn <= (SELECT COUNT(*) FROM labelled) * CASE label WHEN 0 THEN 49 ELSE 1 END // 100)
 SELECT row_id, label FROM (
   SELECT row_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {hkey(SEED, 'row_id')}) AS rn FROM head)
-WHERE (label = 0 AND rn <= 98) OR (label = 1 AND rn <= 2)""")
+WHERE (label = 0 AND rn <= 490) OR (label = 1 AND rn <= 10)""")
 
 register("a21_moments", with_(LABELLED) + "SELECT " + ", ".join(
     f"ROUND(AVG({c}), 6) AS mean_{c}, ROUND(STDDEV_POP({c}), 6) AS std_{c}" for c in FEAT) + " FROM labelled")
@@ -772,6 +821,25 @@ UNION ALL SELECT 1, node, '  ' || {_dq('node')} || ' [label=' || {_dq("concat_ws
 UNION ALL SELECT 2, concat_ws(chr(1), src, dst), '  ' || {_dq('src')} || ' -> ' || {_dq('dst')} || ';' FROM edges
 UNION ALL SELECT 3, '', '}}'""")
 
+_FLOW_CLUSTER_ROWS = ", ".join(f"({q(c)}, {q(t)})" for c, t in FLOW_CLUSTERS)
+
+
+def _dql(expr: str) -> str:
+    return f"replace({_dq(expr)}, chr(10), '\\n')"
+
+
+register("s10_dot_flow_chart", with_(*_H9_BASE) + f"""
+, fn AS ({H9_NODES})
+, fe AS ({H9_EDGES})
+, cl AS (SELECT * FROM (VALUES {_FLOW_CLUSTER_ROWS}) t(cluster, label))
+SELECT 0 AS seq, '' AS key, 'digraph "Customer_Acquisition_Flow" {{' AS line
+UNION ALL SELECT 1, concat_ws(chr(1), COALESCE(cluster, ''), '1', id),
+                 '  ' || {_dql('id')} || ' [label=' || {_dql('label')} || ', shape=' || {_dql('shape')} || '];' FROM fn
+UNION ALL SELECT 1, concat_ws(chr(1), cluster, '0'), '  subgraph ' || {_dql("'cluster_' || cluster")} || ' {{ label=' || {_dql('label')} || ';' FROM cl
+UNION ALL SELECT 1, concat_ws(chr(1), cluster, '2'), '  }}' FROM cl
+UNION ALL SELECT 2, concat_ws(chr(1), src, dst), '  ' || {_dql('src')} || ' -> ' || {_dql('dst')} || ';' FROM fe
+UNION ALL SELECT 3, '', '}}'""")
+
 register("r3_reason_stage_crosstab", with_(NO_INTEREST, _melted("no_interest")) + "SELECT reason, " + ", ".join(
     f"COUNT(*) FILTER (WHERE reason_type = {q(c)}) AS {c}" for c in REASON_COLUMNS) + " FROM melted GROUP BY reason")
 

@@ -11,7 +11,7 @@ grouped by stage first; the per-stage windows then run over four rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import canonicalise, clean_category_name, first_token_lower, r6, safe_div
@@ -162,7 +162,8 @@ def top_reason(spark: SparkSession, no_interest: DataFrame, columns: list[str] |
 def stage_reason_crosstab(interactions: DataFrame) -> DataFrame:
     """(stage × call reason) call counts as a wide table, 0 for missing cells."""
     reasons = sorted({r for pair in CALL_REASONS.values() for r in pair})
-    return pivot_count(interactions.withColumnRenamed("lead_stage", "stage"), "stage", "call_reason", reasons)
+    staged = interactions.filter(F.col("lead_stage").isNotNull()).withColumnRenamed("lead_stage", "stage")
+    return pivot_count(staged, "stage", "call_reason", reasons)
 
 
 # F13 lookups: (output name, stage, reason) — fixed values of the flow chart
@@ -203,7 +204,8 @@ def manager_workload(managers: DataFrame) -> DataFrame:
 
 def success_failure_leads(interactions: DataFrame) -> DataFrame:
     """Distinct leads per (stage, call status)."""
-    return interactions.groupBy(F.col("lead_stage").alias("stage"), "call_status").agg(F.count_distinct("lead_id").alias("leads"))
+    staged = interactions.filter(F.col("lead_stage").isNotNull())
+    return staged.groupBy(F.col("lead_stage").alias("stage"), "call_status").agg(F.count_distinct("lead_id").alias("leads"))
 
 
 def language_distribution(demo: DataFrame) -> DataFrame:
@@ -232,31 +234,80 @@ def reason_names(no_interest: DataFrame, limit: int = 3) -> DataFrame:
     return g.select("reason_type", F.when(F.col("n") > limit, F.concat(text, F.lit("\n- ..."))).otherwise(text).alias("text"))
 
 
-def decision_funnel_edges(spark: SparkSession, interactions: DataFrame, no_interest: DataFrame) -> DataFrame:
-    """F16/P10: the yes/no decision funnel as an edge table (src, dst, kind, leads).
+# F16 fixed values: stage node, label of its yes edge, text of its drop node, label of its no edge
+DECISION_NODES = [
+    ("Lead", "Yes: Interested in Demo", "Drop (No Interest / No Response)", "No"),
+    ("Awareness (Demo Video)", "Yes: Post-Demo Follow-up", "Drop (Did Not Attend / No Follow-up Interest)", "No"),
+    ("Consideration", "Yes: Interested in Buying", "Drop (Budget / Product Fit)", "No"),
+    ("Conversion", None, "Drop (Payment Failed / Last-Minute Change)", "Failed Payment"),
+]
+
+
+def _decision_nodes(spark: SparkSession) -> DataFrame:
+    """The four stage nodes; their key is the first word, lower case (P10)."""
+    rows = [(*n, i + 1) for i, n in enumerate(DECISION_NODES)]
+    named = spark.createDataFrame(rows, "node string, yes string, drop_text string, no string, stage_order int")
+    return named.withColumn("stage", first_token_lower("node"))
 
-    Stage nodes carry extra words; their key is the first word, lower case (P10). Every
-    drop-off reason hangs on the first drop, as in the reference.
+
+def decision_funnel_edges(spark: SparkSession, interactions: DataFrame, no_interest: DataFrame, demo: DataFrame) -> DataFrame:
+    """F16/P10: the yes/no decision funnel as an edge table (src, dst, kind, label, leads).
+
+    Every drop-off reason hangs on the first drop, as in the reference; the demo's influence hangs on awareness.
     """
-    names = ["Lead", "Awareness (Demo Video)", "Consideration", "Conversion"]
-    nodes = spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "node string, stage_order int").withColumn(
-        "stage", first_token_lower("node")
-    )
-    f = distinct_funnel(spark, interactions).select("stage", "leads")
-    stage_nodes = nodes.join(f, "stage", "left")
+    stage_nodes = _decision_nodes(spark).join(distinct_funnel(spark, interactions).select("stage", "leads"), "stage", "left")
     w = Window.orderBy("stage_order")  # four rows
     yes = stage_nodes.withColumn("dst", F.lead("node").over(w)).filter(F.col("dst").isNotNull()).select(
-        F.col("node").alias("src"), "dst", F.lit("yes").alias("kind"), F.col("leads")
+        F.col("node").alias("src"), "dst", F.lit("yes").alias("kind"), F.col("yes").alias("label"), F.col("leads")
     )
     no = stage_nodes.select(
         F.col("node").alias("src"), F.concat(F.lit("Drop "), F.col("stage_order").cast("string")).alias("dst"),
-        F.lit("no").alias("kind"), F.lit(None).cast("bigint").alias("leads"),
+        F.when(F.col("no") == "No", "no").otherwise("failed").alias("kind"), F.col("no").alias("label"),
+        F.lit(None).cast("bigint").alias("leads"),
     )
     reasons = reasons_all_stages(no_interest).select(
         F.lit("Drop 1").alias("src"), F.concat(F.lit("Drop-off: "), F.col("reason")).alias("dst"),
-        F.lit("reason").alias("kind"), F.col("count").alias("leads"),
+        F.lit("reason").alias("kind"), F.lit("").alias("label"), F.col("count").alias("leads"),
+    )
+    influence = demo_influence(demo, interactions).select(
+        F.lit(DECISION_NODES[1][0]).alias("src"), F.lit("Demo Influence").alias("dst"), F.lit("demo").alias("kind"),
+        F.lit("").alias("label"), F.col("demo_watched_counts").alias("leads"),
+    )
+    return yes.unionByName(no).unionByName(reasons).unionByName(influence)
+
+
+def _one_digit(c) -> Column:
+    return F.format_string("%.1f%%", F.round(c, 1))
+
+
+def decision_funnel_nodes(spark: SparkSession, interactions: DataFrame, no_interest: DataFrame, demo: DataFrame) -> DataFrame:
+    """F16: the nodes of the decision funnel (node, kind, label); stage labels carry leads, conversion and call success."""
+    f = stage_summary(spark, interactions).select("stage", "leads", "conversion_pct", "success_rate")
+    named = _decision_nodes(spark)
+    stages = named.join(f, "stage", "left").select("node", F.lit("stage").alias("kind"), F.concat(
+        F.col("node"), F.format_string("\n(%d leads)\nConv. Rate: ", "leads"), _one_digit(F.col("conversion_pct")),
+        F.lit("\nCall Success: "), _one_digit(F.col("success_rate"))).alias("label"))
+    drops = named.select(F.concat(F.lit("Drop "), F.col("stage_order").cast("string")).alias("node"),
+                         F.lit("drop").alias("kind"), F.col("drop_text").alias("label"))
+    reasons = reasons_all_stages(no_interest).select(
+        F.concat(F.lit("Drop-off: "), F.col("reason")).alias("node"), F.lit("reason").alias("kind"),
+        F.format_string("%s\n(%d leads)", "reason", "count").alias("label"))
+    influence = demo_influence(demo, interactions).select(
+        F.lit("Demo Influence").alias("node"), F.lit("demo").alias("kind"),
+        F.concat(F.format_string("Demo Watched: %d leads\nConversion Rate: ", "demo_watched_counts"),
+                 _one_digit(F.col("demo_conversion_rate"))).alias("label"))
+    return stages.unionByName(drops).unionByName(reasons).unionByName(influence)
+
+
+def reason_edges(spark: SparkSession, no_interest: DataFrame, interactions: DataFrame) -> DataFrame:
+    """Interest decision → reason node, labelled with its leads and their share of that stage's drop-off."""
+    r = reasons_pct_of_drop(spark, no_interest, interactions, None)
+    order = F.array_position(F.array(*[F.lit(c) for c in REASON_COLUMNS]), F.col("reason_type")).cast("string")
+    return r.select(
+        F.concat(F.lit("Interest"), order).alias("src"),
+        F.concat_ws("_", "stage", F.lit("reason"), F.col("rank").cast("string")).alias("dst"),
+        F.concat(F.format_string("%d leads (", "count"), _one_digit(F.col("pct")), F.lit(")")).alias("label"),
     )
-    return yes.unionByName(no).unionByName(reasons)
 
 
 def row_funnel(leads: DataFrame, demo: DataFrame, interactions: DataFrame, extra: dict | None = None) -> DataFrame:
@@ -280,12 +331,69 @@ def row_funnel(leads: DataFrame, demo: DataFrame, interactions: DataFrame, extra
     )
 
 
+def _call_counts() -> dict[str, Column]:
+    return {n: F.count_if((F.col("lead_stage") == st) & (F.col("call_reason") == r)) for n, st, r in CALL_LOOKUPS}
+
+
+# H9 fixed values: clusters of the flow chart and their titles
+FLOW_CLUSTERS = [
+    ("main_stages", "Customer Acquisition Key Stages (with actual counts)"),
+    ("reasons", "Detailed Reasons for No Interest"),
+    ("call_flow", "Common Call Interaction Patterns"),
+]
+
+
+def flow_graph_nodes(spark: SparkSession, leads: DataFrame, demo: DataFrame, interactions: DataFrame, no_interest: DataFrame) -> DataFrame:
+    """H9: the nodes of the dynamic flow chart (id, cluster, shape, label); dropouts stand outside the clusters.
+
+    A share of nothing reads N/A.
+    """
+    ordered = F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("o"), "language", "count")))  # one entry a language
+    languages = language_distribution(demo).agg(ordered.alias("all")).select(
+        F.array_join(F.transform("all", lambda x: F.format_string("'%s': %d", x["language"], x["count"])), ", ").alias("languages"))
+    rf = row_funnel(leads, demo, interactions, _call_counts()).join(languages, how="cross")  # two one-row tables
+
+    def share(a, b):
+        return F.when(F.col(b) != 0, _one_digit(F.col(a) / F.col(b) * 100)).otherwise(F.lit("N/A"))
+
+    def node(name, cluster, shape, *label):
+        return F.struct(F.lit(name).alias("id"), F.lit(cluster).cast("string").alias("cluster"), F.lit(shape).alias("shape"),
+                        F.concat(*label).alias("label"))
+
+    def text(pattern, *names):
+        return F.format_string(pattern, *names)
+
+    def dropout(i, n, base):
+        return node(f"Dropout{i}", None, "diamond", text("Dropout\n%d leads\n(", n), share(n, base), F.lit(")"))
+
+    fixed = rf.select(F.explode(F.array(
+        node("Lead", "main_stages", "box", text("Lead\nTotal: %d\nSources: %d", "total_leads", "n_sources")),
+        node("Awareness", "main_stages", "box", text("Awareness\nDemo Watched: %d\n({%s})", "demo_watched", "languages")),
+        node("Consideration", "main_stages", "box", text("Consideration\nFollow-ups: %d", "awareness_to_consideration")),
+        node("Conversion", "main_stages", "box", text("Conversion\nSuccessful: %d\nRate: ", "consideration_to_conversion"),
+             share("consideration_to_conversion", "total_leads")),
+        dropout(1, "dropout_after_lead", "total_leads"),
+        dropout(2, "dropout_after_awareness", "lead_to_awareness"),
+        dropout(3, "dropout_after_consideration", "awareness_to_consideration"),
+        node("Start", "call_flow", "box", F.lit("Start Call")),
+        node("Intro", "call_flow", "box", text("Introduction\n%d calls", "intro_calls")),
+        node("Demo", "call_flow", "box", text("Demo Scheduled\n%d calls", "demo_scheduled_calls")),
+        node("Followup", "call_flow", "box", text("Follow-up\n%d calls", "followup_calls")),
+        node("ConversionCall", "call_flow", "box", text("Conversion Call\n%d calls", "converted_calls")),
+    )).alias("n")).select("n.*")
+    rc = reasons_by_category(no_interest)
+    heads = rc.select(F.concat(F.col("category"), F.lit("_header")).alias("id"), F.lit("reasons").alias("cluster"),
+                      F.lit("plaintext").alias("shape"), F.col("category").alias("label")).distinct()
+    reasons = rc.select(F.concat_ws("_", "category", "reason").alias("id"), F.lit("reasons").alias("cluster"), F.lit("box").alias("shape"),
+                        text("%s: %d leads", "reason", "count").alias("label"))
+    return fixed.unionByName(heads).unionByName(reasons)
+
+
 def flow_graph_edges(spark: SparkSession, leads: DataFrame, demo: DataFrame, interactions: DataFrame, no_interest: DataFrame) -> DataFrame:
     """H9: the dynamic flow chart as edges (src, dst, cluster, value, pct) — main stages, dropouts,
     reasons per category and the call-pattern chain. Layout/rendering is left to the DOT sink."""
     # the call-pattern counts come out of the same aggregate over the interactions
-    lookups = {n: F.count_if((F.col("lead_stage") == st) & (F.col("call_reason") == r)) for n, st, r in CALL_LOOKUPS}
-    rf = row_funnel(leads, demo, interactions, lookups)
+    rf = row_funnel(leads, demo, interactions, _call_counts())
 
     def edge(src, dst, cluster, value, pct):
         return F.struct(F.lit(src).alias("src"), F.lit(dst).alias("dst"), F.lit(cluster).alias("cluster"),

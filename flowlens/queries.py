@@ -222,7 +222,18 @@ def f15_manager_workload(spark, d):
 
 @query("f16_decision_funnel_edges")
 def f16_decision_funnel_edges(spark, d):
-    return _nullable_as_double(FN.decision_funnel_edges(spark, A.interactions_view(spark, d), A.no_interest_view(spark, d)), "leads")
+    return _nullable_as_double(FN.decision_funnel_edges(spark, A.interactions_view(spark, d), A.no_interest_view(spark, d),
+                                                        A.demo_view(spark, d)), "leads")
+
+
+@query("f16_decision_funnel_nodes")
+def f16_decision_funnel_nodes(spark, d):
+    return FN.decision_funnel_nodes(spark, A.interactions_view(spark, d), A.no_interest_view(spark, d), A.demo_view(spark, d))
+
+
+@query("h10_reason_edges")
+def h10_reason_edges(spark, d):
+    return FN.reason_edges(spark, A.no_interest_view(spark, d), A.interactions_view(spark, d))
 
 
 @query("f17_success_failure_leads")
@@ -251,6 +262,11 @@ def h9_flow_graph_edges(spark, d):
                                                    A.interactions_view(spark, d), A.no_interest_view(spark, d)), "value")
 
 
+@query("h9_flow_graph_nodes")
+def h9_flow_graph_nodes(spark, d):
+    return FN.flow_graph_nodes(spark, A.leads_view(spark, d), A.demo_view(spark, d), A.interactions_view(spark, d), A.no_interest_view(spark, d))
+
+
 @query("h1_hierarchy_edges")
 def h1_hierarchy_edges(spark, d):
     return HR.hierarchy_edges(A.managers_view(spark, d))
@@ -360,7 +376,7 @@ def m16_class_counts(spark, d):
 @query("m17_curated_subset")
 def m17_curated_subset(spark, d):
     lv = A.labelled_view(spark, d).select("row_id", "label")
-    return SM.curated_subset(lv, "row_id", "label", {0: 2000, 1: 200}, {0: 98, 1: 2}, FR.SEED)
+    return SM.curated_subset(lv, "row_id", "label", {0: 49, 1: 1}, {0: 490, 1: 10}, FR.SEED)
 
 
 @query("a21_moments")
@@ -550,7 +566,7 @@ def t9_mllib_logistic(spark, d):
 @query("t10_ovr_linear_svc")
 def t10_ovr_linear_svc(spark, d):
     data = _emb_split(spark, d, binary=False)
-    m = ML.ovr_linear_svc(data.filter("is_train"), "features", max_iter=10, parallelism=5)
+    m = ML.ovr_linear_svc(data.filter("is_train"), "features", parallelism=5)
     return ML.accuracy(m, data.filter(~F.col("is_train")), "features").withColumn("model", F.lit("ovr_linear_svc"))
 
 
@@ -564,7 +580,7 @@ def t11_decision_tree(spark, d):
 @query("t12_tree_nodes")
 def t12_tree_nodes(spark, d):
     data = _emb_split(spark, d, binary=False)
-    m = ML.decision_tree(data.filter("is_train"), "features", max_depth=5)
+    m = ML.decision_tree(data.filter("is_train"), "features")  # the tree of T11
     base = ensure_checkpoint_dir(spark).rstrip("/")
     import uuid
 
@@ -602,6 +618,14 @@ def s10_dot_hierarchy(spark, d):
     return dot_lines("SalesHierarchy", nodes, HR.hierarchy_edges(m).select("src", "dst"))
 
 
+@query("s10_dot_flow_chart")
+def s10_dot_flow_chart(spark, d):
+    views = A.leads_view(spark, d), A.demo_view(spark, d), A.interactions_view(spark, d), A.no_interest_view(spark, d)
+    clusters = spark.createDataFrame(FN.FLOW_CLUSTERS, "cluster string, label string")
+    return dot_lines("Customer_Acquisition_Flow", FN.flow_graph_nodes(spark, *views), FN.flow_graph_edges(spark, *views).select("src", "dst"),
+                     clusters=clusters)
+
+
 @query("r3_reason_stage_crosstab")
 def r3_reason_stage_crosstab(spark, d):
     from flowlens.operators.reshape import melt, pivot_count

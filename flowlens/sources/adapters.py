@@ -113,7 +113,7 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lead interactions (calls): one row per non-error event."""
+    """Lead interactions (calls): one row per event; an event of no stage (error) has a NULL stage and reason."""
     ev = read_table(spark, sf_dir, "events", ["user_id", "event_type", "value", "ts"])
     stage = F.when(F.col("event_type") == "view", "lead")
     for et, st in list(STAGE_OF_EVENT.items())[1:]:
@@ -123,7 +123,7 @@ def interactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         low, high = CALL_REASONS[st]
         branch = F.when(F.col("value") < 100, low).otherwise(high)
         reason = F.when(F.col("event_type") == et, branch) if reason is None else reason.when(F.col("event_type") == et, branch)
-    return ev.filter(F.col("event_type").isin(list(STAGE_OF_EVENT))).select(
+    return ev.select(
         F.col("user_id").alias("lead_id"),
         stage.alias("lead_stage"),
         F.when(F.col("value") >= SUCCESS_VALUE, "successful").otherwise("failed").alias("call_status"),

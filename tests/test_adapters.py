@@ -14,7 +14,8 @@ def test_views_keep_all_fact_rows(spark):
     assert A.no_interest_view(spark, SF_SMALL).count() == n_doc
     assert A.managers_view(spark, SF_SMALL).count() == read_table(spark, SF_SMALL, "customer").count()
     ev = read_table(spark, SF_SMALL, "events")
-    assert A.interactions_view(spark, SF_SMALL).count() == ev.filter("event_type <> 'error'").count()
+    assert A.interactions_view(spark, SF_SMALL).count() == ev.count()
+    assert A.interactions_view(spark, SF_SMALL).filter("lead_stage is null").count() == ev.filter("event_type = 'error'").count()
 
 
 def test_no_interest_has_one_reason_per_row(spark):
