@@ -105,3 +105,23 @@ def test_records_and_rejects(spark):
     assert {r.id: r.reason for r in rejects.collect()} == {2: "blank", 3: "blank", 4: "blank", 5: "one field"}
     good, rejects = parse_records(df.limit(0), "id", "line", 3)
     assert good.count() == rejects.count() == 0
+
+
+def test_dot_clusters_open_and_close_around_their_nodes(spark):
+    nodes = spark.createDataFrame([("x", "main", "box", 'a "b"\nc'), ("y", None, "diamond", "d"), ("z", "side", None, "e")],
+                                  "id string, cluster string, shape string, label string")
+    edges = spark.createDataFrame([("x", "y")], "src string, dst string")
+    clusters = spark.createDataFrame([("main", "Main"), ("side", "Side")], "cluster string, label string")
+    lines = [r.line for r in dot_lines("G", nodes, edges, clusters=clusters).orderBy("seq", "key").collect()]
+    assert lines == [
+        'digraph "G" {',
+        '  "y" [label="d", shape="diamond"];',
+        '  subgraph "cluster_main" { label="Main";',
+        '  "x" [label="a \\"b\\"\\nc", shape="box"];',
+        "  }",
+        '  subgraph "cluster_side" { label="Side";',
+        '  "z" [label="e"];',
+        "  }",
+        '  "x" -> "y";',
+        "}",
+    ]
