@@ -40,19 +40,14 @@ def mean_of_group_distinct(df: DataFrame, group: str, col: str, name: str) -> Da
     return per.agg(F.avg("_n").alias(name))
 
 
-def mean_date_gap(df: DataFrame, keys: Sequence[str], date_col: str, name: str = "avg_days") -> DataFrame:
-    """Mean gap between successive dates in a group, whole days, 0 with fewer than 2 dates.
+def mean_gap_days(d: Column) -> Column:
+    """A17 as an aggregate: mean gap between successive dates, whole days, 0 with fewer than 2 dates.
 
     The mean of successive differences telescopes to (max - min) / (n - 1), so no sort or
     per-group list is needed; ``.days`` of a timedelta is a floor.
     """
-    d = F.col(date_col)
-    return df.groupBy(*keys).agg(
-        F.when(
-            F.count(d) >= 2,
-            F.floor(F.datediff(F.max(d), F.min(d)) / (F.count(d) - F.lit(1))),
-        ).otherwise(F.lit(0)).cast("bigint").alias(name)
-    )
+    gap = F.floor(F.datediff(F.max(d), F.min(d)) / (F.count(d) - F.lit(1)))
+    return F.when(F.count(d) >= 2, gap).otherwise(F.lit(0)).cast("bigint")
 
 
 def moments(df: DataFrame, cols: Iterable[str], zero_std_to_one: bool = True) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import canonicalise, clean_category_name, first_token_lower, r6, safe_div
-from flowlens.operators.aggregates import conditional_rate, frequency, mean_date_gap, mean_of_group_distinct, ordered_text
+from flowlens.operators.aggregates import conditional_rate, frequency, mean_gap_days, mean_of_group_distinct, ordered_text
 from flowlens.operators.reshape import melt, pivot_count
 from flowlens.operators.topk import top_k_per_group
 from flowlens.sources.adapters import CALL_REASONS, REASON_COLUMNS, STAGES
@@ -183,18 +183,18 @@ def call_patterns(interactions: DataFrame) -> DataFrame:
 
 
 def stage_summary(spark: SparkSession, interactions: DataFrame) -> DataFrame:
-    """Leads, conversion to next stage, call success and mean days between calls per stage."""
-    f = distinct_funnel(spark, interactions).select("stage", "stage_order", "leads")
-    conv = stage_conversion(spark, interactions)
-    succ = call_success(spark, interactions).select("stage", "success_rate")
-    gap = F.broadcast(mean_date_gap(interactions.withColumnRenamed("lead_stage", "stage"), ["stage"], "call_done_date", "avg_days"))
-    return (
-        f.join(conv.select("stage", "conversion_pct"), "stage", "left")
-        .join(succ, "stage", "left")
-        .join(gap, "stage", "left")
-        .select("stage", "stage_order", "leads", F.coalesce("conversion_pct", F.lit(0.0)).alias("conversion_pct"),
-                "success_rate", F.coalesce("avg_days", F.lit(0).cast("bigint")).alias("avg_days"))
+    """Leads, conversion to next stage, call success and mean days between calls per stage.
+
+    One aggregate over the interactions serves all four measures."""
+    per = interactions.filter(F.col("lead_stage").isNotNull()).groupBy(F.col("lead_stage").alias("stage")).agg(
+        F.count_distinct("lead_id").alias("leads"),
+        (F.avg(F.when(F.col("call_status") == "successful", 1.0).otherwise(0.0)) * 100.0).alias("success_rate"),
+        mean_gap_days(F.col("call_done_date")).alias("avg_days"),
     )
+    f = stage_dim(spark).join(F.broadcast(per), "stage", "left").na.fill(0, ["leads", "success_rate", "avg_days"])
+    f = f.withColumn("next_leads", F.lead("leads", 1).over(_stage_window()))
+    conv = F.when((F.col("leads") > 0) & (F.col("next_leads") > 0), F.col("next_leads") / F.col("leads") * 100).otherwise(F.lit(0.0))
+    return f.select("stage", "stage_order", "leads", r6(conv).alias("conversion_pct"), r6("success_rate").alias("success_rate"), "avg_days")
 
 
 def manager_workload(managers: DataFrame) -> DataFrame:
