@@ -147,7 +147,7 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small}/{t}.parquet')")
     got = QUERIES[name](spark, small)
     columns = sorted(got.columns)
