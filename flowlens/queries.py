@@ -530,6 +530,7 @@ def e9_rebalancing_comparison(spark, d):
 
 # ------------------------------------------------------------------ kNN and SMOTE (embeddings, minority = class 0)
 from flowlens.operators import knn as KN  # noqa: E402
+from flowlens.operators import knn_lsh as KL  # noqa: E402
 
 
 @query("j7_knn_minority")
@@ -539,6 +540,13 @@ def j7_knn_minority(spark, d):
     return nn.select("vec_id", "neighbor_id", "rank", r6("distance").alias("distance"))
 
 
+@query("j7_knn_lsh")
+def j7_knn_lsh(spark, d):
+    e = A.embedding_view(spark, d)
+    nn = KL.knn_lsh_join(e, "vec_id", "features", k=5, query=F.col("vec_id") % 20 == 0)
+    return nn.select("vec_id", "neighbor_id", "rank", r6("distance").alias("distance"))
+
+
 @query("m9_smote")
 def m9_smote(spark, d):
     s = KN.smote(A.embedding_view(spark, d), "vec_id", "features", "label", k=5, ratio=1.0, seed=FR.SEED)
