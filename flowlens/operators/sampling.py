@@ -17,6 +17,10 @@ from flowlens.operators.ranking import first_n, first_n_flag, fraction_sample, h
 HASH = "_h"
 
 
+#: Most rows that a sample takes by top-n instead of by the boundary key; a bound on the parameter n, not on the data.
+TOP_ROWS = 10_000
+
+
 def _hashed(df: DataFrame, key: Sequence[str] | str, seed: int) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     return df.withColumn(HASH, hash_key(seed, *keys))
@@ -37,7 +41,13 @@ def stratified_split(df: DataFrame, key: Sequence[str] | str, label: str, test_s
 
 
 def sample_n(df: DataFrame, key: Sequence[str] | str, n: int | DataFrame, seed: int = 42, group: Sequence[str] = ()) -> DataFrame:
-    """M4/H7: exactly n rows (per group if given) — the n smallest seeded hashes."""
+    """M4/H7: exactly n rows (per group if given) — the n smallest seeded hashes.
+
+    Without groups, a number of rows that a task can hold is a top-n: one run of ``df``, n rows a task.
+    """
+    if not group and isinstance(n, int) and n <= TOP_ROWS:
+        keys = [key] if isinstance(key, str) else list(key)
+        return _hashed(df, key, seed).orderBy(HASH, *keys).limit(n).drop(HASH)
     return first_n(_hashed(df, key, seed), HASH, n, group).drop(HASH)
 
 

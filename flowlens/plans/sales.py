@@ -17,23 +17,34 @@ from flowlens.operators.topk import first_k_distinct, top_k_per_group
 from flowlens.operators.windows import lag_growth, next_in_chain, period_growth
 
 __all__ = [
-    "kpi_row", "performance_summary", "monthly_totals", "with_monthly_total", "year_month_series",
+    "kpi_row", "totals_by", "top_totals", "performance_summary", "monthly_totals", "with_monthly_total", "year_month_series",
     "top_by_sales", "with_margin_and_growth", "enhanced_county_view", "geo_hierarchy",
     "timeline_chain", "monthly_growth", "max_monthly_total", "first_store_name", "date_range",
 ]
 
 
-def performance_summary(sales: DataFrame) -> DataFrame:
-    """SL1: total sales, top product and top county in one row.
+def totals_by(sales: DataFrame, key: str) -> DataFrame:
+    """(key, total): exact sales by key, as ``adapters.sales_totals`` gives them without the joined rows."""
+    return sales.groupBy(key).agg(F.sum(money("sale_dollars")).alias("total"))
+
+
+def top_totals(totals: DataFrame, key: str, k: int = 10) -> DataFrame:
+    """SL6/O3: the k keys with the largest totals (ties: key asc), as (key, sales)."""
+    sales = totals.select(key, F.col("total").cast("double").alias("sales"))
+    return sales.orderBy(F.desc("sales"), F.asc_nulls_last(key)).limit(k)
+
+
+def performance_summary(by_county: DataFrame, by_item: DataFrame) -> DataFrame:
+    """SL1: total sales, top product and top county in one row, from totals by county and by item.
 
     Each part is a global aggregate or a top-1 (exactly one row), so attaching them to each
     other is a join of one-row relations, not a data-sized cross product.
     """
-    by_county = cut_lineage(sales.groupBy("county").agg(F.sum(money("sale_dollars")).alias("total")))  # one row per county
-    total = by_county.agg(F.sum("total").cast("double").alias("total_sales"))  # exact: decimal sums
+    by_county = cut_lineage(by_county)  # one row a county, read twice
+    total = by_county.agg(F.sum("total").cast("double").alias("total_sales"))
     county = by_county.orderBy(F.desc("total"), F.asc_nulls_last("county")).limit(1).select(F.col("county").alias("top_county"))
-    prod = arg_max_of_sum(sales, "item_description", "sale_dollars").select(F.col("item_description").alias("top_product"))
-    return total.join(F.broadcast(prod), how="cross").join(F.broadcast(county), how="cross")
+    item = top_totals(by_item, "item_description", 1).select(F.col("item_description").alias("top_product"))
+    return total.join(F.broadcast(item), how="cross").join(F.broadcast(county), how="cross")
 
 
 def monthly_totals(sales: DataFrame) -> DataFrame:
@@ -190,25 +201,35 @@ def first_store_name(sales: DataFrame) -> DataFrame:
     )
 
 
-def geo_hierarchy(sales: DataFrame, n_counties: int = 5, n_stores: int = 3) -> DataFrame:
+def _level(df: DataFrame) -> DataFrame:
+    """df written down, its columns new, so that it can be joined with the rows that it came from."""
+    done = cut_lineage(df)
+    return done.select(*[F.col(c).alias(c) for c in done.columns])
+
+
+def geo_hierarchy(sales: DataFrame, n_counties: int = 5, n_stores: int = 3, by_county: DataFrame | None = None) -> DataFrame:
     """H3: top counties → first stores (smallest numbers, O6) → store name and top product.
 
-    As in the reference, a store's name and top product come from all of the store's sales.
+    As in the reference, a store's name and top product come from all of the store's sales. The fact is read once a level: totals by county
+    (or ``by_county``), the chosen counties' stores, and one aggregate by (store, item) of the chosen stores, which carries
+    the first name as well. Each level (n_counties rows, n_counties × n_stores rows, the items of these stores) is written down.
     """
-    named = sales.filter(F.col("county").isNotNull())  # a group without a name is no county (D1)
-    counties = arg_max_of_sum(named, "county", "sale_dollars", n_counties).select("county", F.col("total").alias("county_sales"))
-    stores = first_k_distinct(
-        sales.join(F.broadcast(counties.select("county")), "county", "left_semi"), ["county"], "store_number", n_stores
-    ).withColumnRenamed("rank", "store_rank")
-    store_keys = F.broadcast(stores.select("store_number").distinct())
-    of_stores = sales.join(store_keys, "store_number", "left_semi")
-    names = first_store_name(of_stores)
-    prod = of_stores.groupBy("store_number", "item_description").agg(money_sum("sale_dollars").alias("product_sales"))
-    top_prod = top_k_per_group(prod, ["store_number"], [F.desc("product_sales"), F.asc("item_description")], 1, "_r").drop("_r")
+    totals = by_county if by_county is not None else totals_by(sales, "county")
+    named = totals.filter(F.col("county").isNotNull())  # a group without a name is no county (D1)
+    counties = _level(top_totals(named, "county", n_counties).withColumnRenamed("sales", "county_sales"))
+    stores = first_k_distinct(_only(sales, counties, ["county"]), ["county"], "store_number", n_stores)
+    stores = _level(stores.withColumnRenamed("rank", "store_rank"))
+    first = F.min(F.struct("date", "invoice_and_item_number", "store_name")).alias("_first")
+    by_item = _level(
+        _only(sales, stores.select("store_number").distinct(), ["store_number"])
+        .groupBy("store_number", "item_description").agg(money_sum("sale_dollars").alias("product_sales"), first)
+    )
+    names = by_item.groupBy("store_number").agg(F.min("_first")["store_name"].alias("store_name"))
+    top = top_k_per_group(by_item, ["store_number"], [F.desc("product_sales"), F.asc("item_description")], 1, "_r").drop("_r", "_first")
     return (
         stores.join(F.broadcast(counties), "county")
         .join(names, "store_number", "left")
-        .join(top_prod, "store_number", "left")
+        .join(top, "store_number", "left")
         .select("county", "county_sales", "store_rank", "store_number", "store_name",
                 F.col("item_description").alias("top_product"), "product_sales")
     )

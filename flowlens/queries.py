@@ -36,7 +36,7 @@ def sl4_kpi_row(spark, d):
 
 @query("sl1_sales_summary")
 def sl1_sales_summary(spark, d):
-    return S.performance_summary(A.sales_view(spark, d, ["sale_dollars", "item_description", "county"]))
+    return S.performance_summary(A.sales_totals(spark, d, "county"), A.sales_totals(spark, d, "item_description"))
 
 
 @query("sl2_monthly_totals")
@@ -76,12 +76,12 @@ def h5_timeline_chain(spark, d):
 
 @query("sl6_top_counties")
 def sl6_top_counties(spark, d):
-    return S.top_by_sales(A.sales_view(spark, d, ["county", "sale_dollars"]), "county", 10)
+    return S.top_totals(A.sales_totals(spark, d, "county"), "county", 10)
 
 
 @query("sl6_top_products")
 def sl6_top_products(spark, d):
-    return S.top_by_sales(A.sales_view(spark, d, ["item_description", "sale_dollars"]), "item_description", 10)
+    return S.top_totals(A.sales_totals(spark, d, "item_description"), "item_description", 10)
 
 
 _GROWTH_COLS = ["invoice_and_item_number", "date", "county", "store_number", "store_name", "item_description",
@@ -119,8 +119,9 @@ def a20_date_range(spark, d):
 
 @query("h3_geo_hierarchy")
 def h3_geo_hierarchy(spark, d):
-    return S.geo_hierarchy(A.sales_view(spark, d, ["county", "store_number", "store_name", "item_description",
-                                                   "sale_dollars", "date", "invoice_and_item_number"]))
+    sales = A.sales_view(spark, d, ["county", "store_number", "store_name", "item_description",
+                                    "sale_dollars", "date", "invoice_and_item_number"])
+    return S.geo_hierarchy(sales, by_county=A.sales_totals(spark, d, "county"))
 
 
 # ------------------------------------------------------------------ funnel

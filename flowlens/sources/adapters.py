@@ -14,6 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.functions.columns import money
 from flowlens.sources.readers import read_table
 
 # ---------------------------------------------------------------------------------------------
@@ -97,6 +98,25 @@ def sales_view(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
     return df.select(*[exprs[c].alias(c) for c in cols])
 
 
+def sales_totals(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """(key, total): sales of ``sales_view`` added up by county or item, before a dimension is joined.
+
+    Lines are added up by the fact's own key, so a join takes one row a key: an order, then a customer, or a part. Totals are
+    exact decimals.
+    """
+    part, dims = {
+        "county": ("l_orderkey", [("orders", "o_orderkey", "o_custkey"), ("customer", "c_custkey", "c_nationkey"), ("nation", "n_nationkey", "n_name")]),
+        "item_description": ("l_partkey", [("part", "p_partkey", "p_name")]),
+    }[key]
+    df = read_table(spark, sf_dir, "lineitem", [part, "l_extendedprice"]).groupBy(part).agg(F.sum(money("l_extendedprice")).alias("total"))
+    for name, own, further in dims:
+        dim = read_table(spark, sf_dir, name, [own, further])
+        dim = F.broadcast(dim) if name == "nation" else dim
+        df = df.join(dim, F.col(part) == F.col(own), "left").groupBy(further).agg(F.sum("total").cast("decimal(38,2)").alias("total"))
+        part = further
+    return df.withColumnRenamed(part, key)
+
+
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as text records (quantity, "price", discount, label), some of them broken by their line number.
 

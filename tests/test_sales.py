@@ -37,7 +37,7 @@ def test_top_and_ties(spark):
     s = sales(spark)
     top = S.top_by_sales(s, "county", 1).first()
     assert (top.county, top.sales) == ("POLK", 450.0)
-    summary = S.performance_summary(s).first()
+    summary = S.performance_summary(S.totals_by(s, "county"), S.totals_by(s, "item_description")).first()
     assert summary.total_sales == 490.0 and summary.top_county == "POLK"
     assert summary.top_product == "VODKA"  # 0 + 50 + 100 + 40
     top2 = [(r.item_description, r.sales) for r in S.top_by_sales(s, "item_description", 2).collect()]
