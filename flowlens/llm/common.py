@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.session import ensure_checkpoint_dir
+from flowlens.session import bound_batches, ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,21 +21,14 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-#: Bytes of a batch that goes to or comes from a Python worker, at most (or one row).
-BATCH_BYTES = 4 << 20
-
-
 def package_reachable(spark: SparkSession) -> SparkSession:
     """Prepare the session for Python workers: they import this package, and batches are bounded in bytes.
 
     On this machine workers import the package from where the driver did; on a cluster it is installed or shipped
-    with ``--py-files``, and the setting does no harm there. Spark's own bound of a batch (64 MB, doubled while a
+    XX of a batch (64 MB, doubled while a
     column of long texts or sets grows) is lowered to ``BATCH_BYTES``, if it isn't lower already.
     """
-    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(bound).rstrip("b")
-    if not now.isdigit() or int(now) > BATCH_BYTES:
-        spark.conf.set(bound, str(BATCH_BYTES))
+    bound_batches(spark)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -234,3 +234,67 @@ def test_wide_blocks_and_null_rows(spark):
         w -= 0.1 * (xb.T @ (1 / (1 + np.exp(-xb @ w)) - y)) / 301
     np.testing.assert_allclose(res.weights, w, rtol=1e-9, atol=1e-12)
     assert LN.fit_logistic_gd(df.limit(0), names, "label", LN.GDConfig(n_iterations=2)).weights == [0.0] * 81
+
+
+def brute_knn(rows, k):
+    """(id, neighbour, rank) by (distance, id) over rows (id, vector) of unique ids; rows with a null have none."""
+    whole = [(i, np.array(v)) for i, v in rows if v is not None and None not in v]
+    out = []
+    for i, v in whole:
+        near = sorted((float(np.sqrt(((v - w) ** 2).sum())), j) for j, w in whole if j != i)[:k]
+        out += [(i, j, r) for r, (_, j) in enumerate(near, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("cell_rows", [4, 16, 1024])
+def test_knn_of_copies_grids_and_null_rows(spark, monkeypatch, cell_rows):
+    """Many copies of few vectors, equal distances on a grid, text ids, rows with nulls: as brute force."""
+    monkeypatch.setattr(KN, "CELL_ROWS", cell_rows)
+    rng = np.random.default_rng(2)
+    rows = [(f"g{i}", [float(x) for x in v]) for i, v in enumerate(rng.integers(0, 5, (150, 3)))]
+    rows += [(f"c{i}", [9.0, 9.0, float(i % 2)]) for i in range(60)] + [(f"r{i}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(60, 3)))]
+    rows += [("n1", None), ("n2", [1.0, None, 2.0])]
+    df = spark.createDataFrame(rows, "id string, v array<double>").repartition(3)
+    got = KN.knn_self_join(df, "id", "v", k=4)
+    assert sorted((r.id, r.neighbor_id, r["rank"]) for r in got.collect()) == brute_knn(rows, 4)
+    assert KN.knn_self_join(df.limit(0), "id", "v", k=4).count() == 0
+
+
+def test_knn_holds_a_tile_at_a_time(spark, monkeypatch):
+    """A cell of 3,000 wide vectors in tiles of 30,000 distances: no array of a task has an entry for each pair and component."""
+    monkeypatch.setattr(KN, "TILE", 30_000)
+    rng = np.random.default_rng(6)
+    V = rng.normal(size=(3000, 64))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(V)], "id bigint, v array<double>")
+    got = {(r.id, r["rank"]): r.neighbor_id for r in KN.knn_self_join(df, "id", "v", k=3, n_pivots=1).where("id < 40").collect()}
+    for i in range(40):
+        D = np.sqrt(((V[i] - V) ** 2).sum(axis=1))
+        D[i] = np.inf
+        assert [got[i, r] for r in (1, 2, 3)] == np.argsort(D)[:3].tolist()
+
+
+def test_gd_blocks_reach_workers_in_small_batches(spark, data):
+    """Without weights a block carries none, and a batch to a worker is bounded however many rows there are."""
+    df, _, _ = data
+    LN.fit_logistic_gd(df, ["a", "b", "c"], "label", LN.GDConfig(n_iterations=1))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4 << 20
+    assert LN.pack_blocks(df, ["a", "b", "c"], "label").agg(F.sum(F.length("s"))).first()[0] == 0
+    assert LN.pack_blocks(df, ["a", "b", "c"], "label", "a").agg(F.sum(F.length("s"))).first()[0] == 8 * 400
+
+
+def test_class_sizes_and_bounds_take_few_runs(spark, monkeypatch):
+    """A split of two classes with large buckets reads the rows twice: counts by prefix, then the boundary rows of all classes."""
+    from flowlens.operators import ranking as RK
+    from flowlens.operators.sampling import stratified_split
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def tick(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(30_000).selectExpr("id", "cast(id % 2 as int) as label").mapInArrow(tick, "id long, label int")
+    out = stratified_split(df, "id", "label")
+    assert seen.value == 60_000
+    assert out.where("is_train").count() == 24_000
