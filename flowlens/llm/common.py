@@ -54,17 +54,27 @@ BROADCAST_ROWS = 1_000_000
 def semi_join(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is among ids (one column of that name): by broadcast while there are at most
     ``BROADCAST_ROWS`` ids (8 bytes each), else by a shuffle join."""
-    return _by_ids(rows, ids, key, "left_semi")
+    return _by_ids(rows, ids, key, "left_semi")[0]
 
 
 def anti_join(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among ids; rows with a null key stay."""
-    return _by_ids(rows, ids, key, "left_anti")
+    return _by_ids(rows, ids, key, "left_anti")[0]
 
 
-def _by_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+def marked(rows: DataFrame, ids: DataFrame, key: str, mark: str) -> DataFrame:
+    """rows with one more column: whether the key is among ids; a null key is not. What a shuffle join makes is written
+    once, as it is read more than once."""
+    out, few = _by_ids(rows, ids, key, "left")
+    out = out.select(*rows.columns, F.col("_wanted").isNotNull().alias(mark))
+    return out if few else written(out, "marked")
+
+
+def _by_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> tuple[DataFrame, bool]:
+    """The join, and whether it is by broadcast."""
     ids = written(ids.distinct(), "ids").withColumnRenamed(key, "_wanted")
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, F.col(key) == F.col("_wanted"), how)
+    few = ids.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(ids) if few else ids, F.col(key) == F.col("_wanted"), how), few
 
 
 def id_order(col: Column | str) -> Column:

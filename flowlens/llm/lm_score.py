@@ -1,7 +1,7 @@
 """Operator 2: cross-entropy difference of a target and a background bigram model.
 
-The background model is counted over all documents, the target model over a bounded sample of trusted ones
-(``TARGET_DOCS``; their ids are broadcast). Both are bigram models of one shared vocabulary (the
+The background model is counted over all documents, the target model over all trusted ones: a join with the trusted
+ids marks their rows (by broadcast while there are at most ``BROADCAST_ROWS``, else by a shuffle). Both are bigram models of one shared vocabulary (the
 ``VOCABULARY`` most frequent words of all documents; any other word is one unknown word; a mark stands
 before the first word), of the same order and smoothing: p(w | v) = (c(v w) + MU p(w)) / (c(v) + MU) with
 add-one unigrams. The bigram counts c that score a document leave out its own, in either model that it was
@@ -34,11 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm import arrays as A
-from flowlens.llm.common import id_and_text, id_order, package_reachable, written
+from flowlens.llm.common import id_and_text, marked, package_reachable, written
 
 VOCABULARY = 1 << 16
 FREQUENT = 1024
-TARGET_DOCS = 20_000
 MU = 50.0
 SHARD_WORDS = 2_000_000
 CHUNK_BYTES = 8 << 20
@@ -71,11 +70,10 @@ class Unigrams:
         return -np.log2((counts - own + MU * p) / (self.counts[pairs >> 17] - own_first + MU))
 
 
-def _texts(batches: Iterator[pa.RecordBatch], targets: np.ndarray):
+def _texts(batches: Iterator[pa.RecordBatch]):
     for part in A.slices(batches, limit=CHUNK_BYTES):
         _, _, h, starts = A.words(*A.bytes_of(part.column(1)))
-        ids = part.column(0).fill_null(-1).to_numpy()
-        yield part, h, starts, np.isin(ids, targets) & part.column(0).is_valid().to_numpy(zero_copy_only=False)
+        yield part, h, starts, part.column(2).to_numpy(zero_copy_only=False)
 
 
 def _bigrams(numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -105,7 +103,7 @@ def _sum_by(keys: np.ndarray, *weights: np.ndarray):
     return unique, *(np.bincount(back, w, len(unique)).astype(np.int64) for w in weights)
 
 
-def unigrams(texts: DataFrame, targets) -> tuple[Unigrams, int]:
+def unigrams(texts: DataFrame) -> tuple[Unigrams, int]:
     """The shared vocabulary with its counts, and the number of words of all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +114,7 @@ def unigrams(texts: DataFrame, targets) -> tuple[Unigrams, int]:
             held[:] = [(key, n, t)]
 
         docs = [0, 0]
-        for _, h, starts, target in _texts(batches, targets.value):
+        for _, h, starts, target in _texts(batches):
             held.append(_sum_by(h, np.ones(len(h)), np.repeat(target, np.diff(starts)).astype(float)))
             full = np.diff(starts) > 0
             docs = [docs[0] + int(full.sum()), docs[1] + int((full & target).sum())]
@@ -146,9 +144,9 @@ def unigrams(texts: DataFrame, targets) -> tuple[Unigrams, int]:
     return Unigrams(h[order], (np.arange(len(h)) + 2)[order], np.concatenate(([rest, first], by))), int(total[0])
 
 
-def _count_chunks(vocabulary, targets, shards: int):
+def _count_chunks(vocabulary, shards: int):
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, h, starts, target in _texts(batches, targets.value):
+        for _, h, starts, target in _texts(batches):
             if not len(h):
                 continue
             pairs = _bigrams(vocabulary.value.number(h), starts)
@@ -187,12 +185,12 @@ def _own(pairs: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _document_chunks(vocabulary, frequent, targets, shards: int):
+def _document_chunks(vocabulary, frequent, shards: int):
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         for part in A.slices(batches, limit=CHUNK_BYTES):
             for at in range(0, part.num_rows, 60_000):
-                for rows, h, starts, target in _texts([part.slice(at, 60_000)], targets.value):
+                for rows, h, starts, target in _texts([part.slice(at, 60_000)]):
                     number += 1
                     yield from chunk_rows(TaskContext.get().partitionId() << 32 | number, rows, h, starts, target)
 
@@ -286,16 +284,14 @@ def _total(rows: pd.DataFrame) -> pd.DataFrame:
 def cross_entropy_difference(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, target_bits, background_bits (mean loss a word) and ce_difference of every row.
 
-    ``trusted`` has a column doc_id: documents that the target sample may be drawn from.
+    ``trusted`` has a column doc_id: the documents that the target model is counted over.
     """
     spark = package_reachable(docs.sparkSession)
     texts, sc = id_and_text(docs, id_col, text_col), spark.sparkContext
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    share = min(1.0, TARGET_DOCS / max(ids.count(), 1))
-    targets = sc.broadcast(ids.where(id_order("doc_id") < share * (1 << 20)).toArrow().column(0).to_numpy())
-    words, total = unigrams(texts, targets)
+    texts = marked(texts, trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null"), "doc_id", "target")
+    words, total = unigrams(texts)
     vocabulary, shards = sc.broadcast(words), max(8, -(-total // SHARD_WORDS))
-    counted = texts.mapInArrow(_count_chunks(vocabulary, targets, shards), "shard long, keys binary, n binary, t binary")
+    counted = texts.mapInArrow(_count_chunks(vocabulary, shards), "shard long, keys binary, n binary, t binary")
     counts = "{0}keys binary, {0}n binary, {0}t binary"
     model = written(
         counted.repartition(shards, "shard").groupBy("shard").applyInPandas(_shard_counts, f"shard long, {counts.format('')}, {counts.format('f_')}"),
@@ -305,7 +301,7 @@ def cross_entropy_difference(docs: DataFrame, trusted: DataFrame, id_col: str =
     for r in model.select("f_keys", "f_n", "f_t").toLocalIterator():
         key = _unpack(r["f_keys"])
         table[key >> 17, key & 0x1FFFF] = np.stack([np.frombuffer(r[c], "<i8") for c in ("f_n", "f_t")], 1)
-    chunks = texts.mapInArrow(_document_chunks(vocabulary, sc.broadcast(table), targets, shards), _CHUNK_SCHEMA)
+    chunks = texts.mapInArrow(_document_chunks(vocabulary, sc.broadcast(table), shards), _CHUNK_SCHEMA)
     sums = (
         chunks.repartition(2 * shards, "shard")
         .groupBy("shard")

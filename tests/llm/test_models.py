@@ -157,6 +157,16 @@ def test_cross_entropy_on_edges(edge_docs, edge_labels, no_docs, no_labels):
     assert S.cross_entropy_difference(no_docs, trusted).count() == 0
 
 
+def test_every_trusted_document_is_in_the_target_model(spark):
+    """More trusted documents than the 20,000 of the former sample: the losses are those of a model of them all."""
+    rows = [(i, f"w{i % 11} w{i % 7} w{i % 3}") for i in range(21_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = S.cross_entropy_difference(docs, docs.select("doc_id").where("doc_id < 20800"))
+    want = {w[0]: w for w in brute_difference(rows, set(range(20_800)))}
+    for r in got.where("doc_id % 300 = 0 or doc_id >= 20800").collect():
+        assert r.target_bits == pytest.approx(want[r.doc_id][2], rel=1e-5)
+
+
 def test_rates_reach_the_targets(spark):
     docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
     rows = M.mix(docs, labels).toPandas()
