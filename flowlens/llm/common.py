@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.session import bound_batches, ensure_checkpoint_dir
+from flowlens.session import BATCH_BYTES, bound_batches, ensure_checkpoint_dir  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
