@@ -96,6 +96,16 @@ def test_quality_keeps_trusted_and_rejects_junk(spark):
     assert kept[1] >= 0.98 and kept[0] <= 0.45
 
 
+def test_quality_counts_all_trusted_text(spark):
+    """1,600 trusted documents of one language, each of one word of its own: all of the training half are in the model."""
+    docs = spark.range(1600).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    judge, _ = Q.fit(docs, labels)
+    trained = Q.trusted_ids(labels, 0).count()
+    assert trained > 700
+    assert judge.model.entries == 5 * trained  # a trigram, and a bigram and a word in and at the end of a document
+
+
 def test_quality_on_edges(edge_docs, edge_labels, no_docs, no_labels):
     got = Q.quality(edge_docs, edge_labels).collect()
     assert len(got) == N_EDGE
