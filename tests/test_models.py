@@ -8,6 +8,7 @@ from flowlens.operators import evaluate as EV
 from flowlens.operators import knn as KN
 from flowlens.operators import linear as LN
 from flowlens.operators.scaling import standardize
+from flowlens.plans.fraud import split_and_scale
 
 
 def np_gd(X, y, lr, iters, l2=0.0, l2_bias=False, mean=True, clip=None, w_s=None, patience=None):
@@ -298,3 +299,26 @@ def test_class_sizes_and_bounds_take_few_runs(spark, monkeypatch):
     out = stratified_split(df, "id", "label")
     assert seen.value == 60_000
     assert out.where("is_train").count() == 24_000
+
+
+def test_split_and_scale_works_its_statistics_out_once(data):
+    """Each use of the frame (blocks, class weights, test rows) would run the aggregate over all rows again."""
+    df, X, _ = data
+    out = split_and_scale(df.withColumnRenamed("id", "row_id"), ["a", "b", "c"])
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    train = np.array([[r.a, r.b, r.c] for r in out.filter("is_train").collect()])
+    np.testing.assert_allclose(train.mean(axis=0), 0, atol=1e-12)
+    np.testing.assert_allclose(train.std(axis=0), 1, atol=1e-12)
+
+
+def test_pass_over_persisted_blocks(data):
+    """A pass takes the blocks' bytes as they are kept: gradient, loss, rows and right predictions together."""
+    df, X, y = data
+    blocks = LN.pack_blocks(df, ["a", "b", "c"], "label").rdd.map(lambda r: (r[0], bytes(r[1]), bytes(r[2]), bytes(r[3]))).persist()
+    w = np.array([0.1, 0.5, -1.0, 0.2])
+    h = 1 / (1 + np.exp(-(w[0] + X @ w[1:])))
+    g, loss, n, right = LN._pass(blocks, w, LN.GDConfig())
+    blocks.unpersist()
+    np.testing.assert_allclose(g, np.c_[np.ones(len(X)), X].T @ (h - y), rtol=1e-9)
+    assert loss == pytest.approx(-np.sum(np.log(np.where(y == 1, h, 1 - h))))
+    assert (n, right) == (len(y), int(((h >= 0.5) == (y == 1)).sum()))
