@@ -1,12 +1,13 @@
 """Operator 3: document rates that mix soft domains to target weights.
 
-A classifier learnt from a labelled table (a bounded sample of its rows) gives each document a probability
-for each domain: softmax regression on hashed words, their pairs' repetition and the kinds of characters.
+A classifier learnt from all rows of a labelled table gives each document a probability
+for each domain: softmax regression on hashed words, their pairs' repetition and the kinds of characters, fitted
+by the ML library, a pass over the labelled documents' features a step.
 A document of n words with probabilities p adds n * p to the domains' expected words. Non-negative rates r
 are fitted by projected gradient steps to the least squares of (sum r n p - target), measured in the
 metric of the second moments of the domains' words over documents with a rate above 0, in which the step
 length is 1. Rates start at 1, so documents keep the rate 1 as far as the targets allow. The classifier is
-fitted to equal numbers of each domain; its bias is then set to the domains' shares of all labelled rows.
+fitted to equal weights of the domains; its bias is then set to the domains' shares of all labelled rows.
 
 A step changes a rate by -n p . z for a vector z with one number a domain, so a rate is worked out from the
 list of all z so far, and a step is one aggregate over a narrow table (words and probabilities): nothing a
@@ -25,18 +26,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm import arrays as A
-from flowlens.llm.common import class_sample, id_and_text, package_reachable, written
+from flowlens.llm.common import BROADCAST_ROWS, id_and_text, package_reachable, written
 
 #: Share of all words that each domain is to have after mixing; a domain not named keeps none.
 TARGETS = {"clean": 0.9, "junk": 0.07, "toxic": 0.03}
-PER_DOMAIN = 1_500
 BUCKETS = 1 << 16
 KINDS = 6
-EPOCHS = 12
+PASSES, PENALTY = 50, 1e-5
 STEPS, CLOSE = 25, 1e-4
 
 
@@ -82,43 +84,40 @@ def parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (h >> np.uint64(48)).astype(np.int64), starts, 10 * np.column_stack((kinds, repeats))
 
 
-def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in A.slices(batches):
         bucket, starts, kinds = parts(*A.bytes_of(part.column(1)))
-        cut = [bucket[a:b] for a, b in zip(starts[:-1], starts[1:])]
-        unique = [np.unique(b, return_counts=True) for b in cut]
-        yield pa.RecordBatch.from_arrays(
-            [part.column(0), part.column(2), *(pa.array([x.tobytes() for x in c], pa.binary()) for c in ([u[0] for u in unique], [u[1] for u in unique], list(kinds)))],
-            ["doc_id", "domain", "at", "n", "kinds"],
-        )
+        at, value = [], []
+        for a, b, k in zip(starts[:-1], starts[1:], kinds):
+            unique, n = np.unique(bucket[a:b], return_counts=True)
+            at.append(np.append(unique, BUCKETS + np.arange(KINDS)).astype(np.int32))
+            value.append(np.append(n / np.sqrt(max(b - a, 1)), k))
+        yield pa.RecordBatch.from_arrays([part.column(2), pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64()))], ["domain", "at", "value"])
 
 
 def fit_classifier(docs: DataFrame, labelled: DataFrame) -> Classifier:
-    """Softmax regression from the texts of documents (doc_id, text) that ``labelled`` (doc_id, domain) names."""
+    """Softmax regression from the texts of all documents (doc_id, text) that ``labelled`` (doc_id, domain) names."""
     rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("domain").cast("string").alias("domain"))
-    ids = written(class_sample(rows.where("doc_id is not null").dropDuplicates(["doc_id"]), "doc_id", "domain", PER_DOMAIN), "mix-sample")
-    sample = id_and_text(docs).join(F.broadcast(ids), "doc_id")  # a bounded number of ids
-    got = sample.mapInArrow(_sample_rows, "doc_id long, domain string, at binary, n binary, kinds binary").toArrow().sort_by("doc_id")
-    domains = sorted(set(got.column("domain").to_pylist())) or ["all"]
-    y = np.array([domains.index(d) for d in got.column("domain").to_pylist()], np.int64)
-    x = []
-    for a, n, k in zip(got.column("at"), got.column("n"), got.column("kinds")):
-        at, n = np.frombuffer(a.as_py(), np.int64), np.frombuffer(n.as_py(), np.int64)
-        x.append((np.append(at, BUCKETS + np.arange(KINDS)), np.append(n / np.sqrt(max(n.sum(), 1)), np.frombuffer(k.as_py(), np.float64))))
-    w, g, bias = np.zeros((BUCKETS + KINDS, len(domains))), np.full(BUCKETS + KINDS, 1e-8), np.zeros(len(domains))
-    rng = np.random.default_rng(3)
-    for epoch in range(EPOCHS if len(domains) > 1 else 0):
-        for i in rng.permutation(len(x)):
-            at, v = x[i]
-            p = softmax((v @ w[at] + bias)[None])[0]
-            p[y[i]] -= 1
-            step = v[:, None] * p + 1e-5 * w[at]
-            g[at] += (step * step).sum(axis=1)
-            w[at] -= 0.3 * step / np.sqrt(g[at])[:, None]
-            bias -= 0.01 * p
+    ids = written(rows.where("doc_id is not null").dropDuplicates(["doc_id"]).where("domain is not null"), "mix-labels")
+    few = ids.count() <= BROADCAST_ROWS
+    labels = id_and_text(docs).join(F.broadcast(ids) if few else ids, "doc_id").select("doc_id", "text", "domain")
+    found = written(labels.mapInArrow(_features, "domain string, at array<int>, value array<double>"), "mix-features")
+    sizes = {r["domain"]: r["n"] for r in found.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    domains = sorted(sizes) or ["all"]
+    weights, bias = np.zeros((BUCKETS + KINDS, len(domains))), np.zeros(len(domains))
+    if len(domains) > 1:
+        vector = F.udf(lambda at, value: Vectors.sparse(BUCKETS + KINDS, at, value), VectorUDT())
+        number, share = F.lit(None).cast("double"), F.lit(None).cast("double")
+        for i, d in enumerate(domains):
+            number = F.when(F.col("domain") == d, float(i)).otherwise(number)
+            share = F.when(F.col("domain") == d, sum(sizes.values()) / (len(domains) * sizes[d])).otherwise(share)
+        train = found.select(vector("at", "value").alias("features"), number.alias("label"), share.alias("weight"))
+        lr = LogisticRegression(weightCol="weight", family="multinomial", maxIter=PASSES, regParam=PENALTY, standardization=False)
+        model = lr.fit(train)
+        weights, bias = model.coefficientMatrix.toArray().T, model.interceptVector.toArray()
     counts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    prior = np.log([counts.get(d, 1) for d in domains]) - np.log(np.bincount(y, minlength=len(domains)) + 1e-9)
-    return Classifier(domains, w.astype(np.float32), bias + prior - prior.max())
+    prior = np.log([counts.get(d, 1) for d in domains])
+    return Classifier(domains, weights.astype(np.float32), bias + prior - prior.max())
 
 
 def memberships(docs: DataFrame, classifier: Classifier, text_col: str = "text", words: str = "n_tokens", share: str = "posterior") -> DataFrame:

@@ -199,6 +199,16 @@ def test_rates_are_the_least_squares_solution(spark):
     assert np.abs(total - target).max() < 1e-3 and (rate >= 0).all()
 
 
+def test_classifier_learns_from_all_labelled_documents(spark):
+    """4,000 documents of each domain, each told by one of 2,000 words of its domain: a part of them would leave words unknown."""
+    docs = spark.range(8000).select(F.col("id").alias("doc_id"), F.concat_ws("-", F.lit("w"), F.col("id") % 4000).alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 4000 < 2000, "clean").otherwise("junk").alias("domain"))
+    model = M.fit_classifier(docs, labels)
+    assert model.domains == ["clean", "junk"]
+    got = M.memberships(docs, model).join(labels, "doc_id").select(F.avg((F.col("posterior")[0] > 0.5).eqNullSafe(F.col("domain") == "clean").cast("int"))).first()[0]
+    assert got > 0.95  # words may share a bucket
+
+
 def test_mixing_on_edges(edge_docs, edge_labels, no_docs, no_labels):
     rows = M.mix(edge_docs, edge_labels)
     assert rows.count() == N_EDGE and rows.where("n_tokens = 0 and rate != 1").count() == 0
