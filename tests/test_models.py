@@ -322,3 +322,20 @@ def test_pass_over_persisted_blocks(data):
     np.testing.assert_allclose(g, np.c_[np.ones(len(X)), X].T @ (h - y), rtol=1e-9)
     assert loss == pytest.approx(-np.sum(np.log(np.where(y == 1, h, 1 - h))))
     assert (n, right) == (len(y), int(((h >= 0.5) == (y == 1)).sum()))
+
+
+def test_training_reads_its_rows_once(spark):
+    """Split, statistics, class weights and blocks take the rows as written with their hashes, not the source again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def tick(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    cols = "cast(id as string) as row_id, id % 11 / 11 as a, id % 7 / 7 as b, cast(id % 4 = 0 as int) as label"
+    df = spark.range(2000).selectExpr(*cols.split(", ")).mapInArrow(tick, "row_id string, a double, b double, label int")
+    data = split_and_scale(df, ["a", "b"], columns=["a", "b", "label"])
+    m = LN.LogisticRegressionGD(0.1, 2, class_weight="balanced").fit(data.filter("is_train"), ["a", "b"])
+    assert m.predict(data.filter("NOT is_train")).count() == 400
+    assert seen.value == 2000
