@@ -1,17 +1,19 @@
-"""Spark ML wrappers (T9-T12): library logistic regression, one-vs-rest linear SVM, decision tree
-and the tree's node table. Features arrive as an ``array<double>`` or as columns and are turned into an ML vector
+"""Models (T9-T12): the library's logistic regression and one-vs-rest linear SVM, the decision tree of ``tree``
+and its node table. Features arrive as an ``array<double>`` or as columns and are turned into an ML vector
 JVM-side (``array_to_vector`` / ``VectorAssembler``)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.operators.tree import TreeModel, fit_tree
+
 
 def as_vector(df: DataFrame, features: str | Sequence[str], out: str = "fv") -> DataFrame:
     if isinstance(features, str):
@@ -35,32 +37,25 @@ def ovr_linear_svc(train: DataFrame, features: str | Sequence[str], label: str =
 
 def decision_tree(train: DataFrame, features: str | Sequence[str], label: str = "label", max_depth: int = 30,
                   max_bins: int = 150, seed: int = 42):
-    """Gini decision tree grown to ``max_depth`` (30 is the deepest that the library grows)."""
-    dt = DecisionTreeClassifier(featuresCol="fv", labelCol=label, maxDepth=max_depth, maxBins=max_bins,
-                                impurity="gini", seed=seed)
-    return dt.fit(as_vector(train, features).withColumn(label, F.col(label).cast("double")))
+    """Gini decision tree grown to ``max_depth`` (30 is the deepest that the library grows), the library's tree by jobs
+    that grow with the rows (``tree``)."""
+    return fit_tree(train, features, label, max_depth, max_bins, seed)
 
 
 def accuracy(model, test: DataFrame, features: str | Sequence[str], label: str = "label") -> DataFrame:
-    pred = model.transform(as_vector(test, features).withColumn(label, F.col(label).cast("double")))
+    if isinstance(model, TreeModel):
+        pred = model.predict(test, features, label).withColumnRenamed("label", label)
+    else:
+        pred = model.transform(as_vector(test, features).withColumn(label, F.col(label).cast("double")))
     return pred.agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
 
-def tree_nodes(model, path: str) -> DataFrame:
+def tree_nodes(model: TreeModel, path: str) -> DataFrame:
     """Node table (id, prediction, impurity, split feature/threshold, children, counts) of a
-    fitted tree, read back from the saved model in the shared ``path``."""
-    model.write().overwrite().save(path)
-    spark = model.sparkSession if hasattr(model, "sparkSession") else None
-    from pyspark.sql import SparkSession
-
-    spark = spark or SparkSession.getActiveSession()
-    nodes = spark.read.parquet(f"{path}/data")
-    return nodes.select(
-        "id", "prediction", "impurity", "gain", "leftChild", "rightChild",
-        F.col("split.featureIndex").alias("feature_index"),
-        F.try_element_at(F.col("split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"),
-        F.aggregate("impurityStats", F.lit(0.0), lambda a, b: a + b).alias("samples"),
-    )
+    fitted tree, saved in the shared ``path`` and read back."""
+    nodes = model.nodes()
+    nodes.write.mode("overwrite").parquet(f"{path}/data")
+    return nodes.sparkSession.read.schema(nodes.schema).parquet(f"{path}/data")
 
 
 def tree_dot(nodes: DataFrame, feature_names: Sequence[str] | None = None, name: str = "DecisionTree") -> DataFrame:
