@@ -81,6 +81,32 @@ def test_kneser_ney_losses(spark, small):
         assert r.bits == pytest.approx(brute.bits(rows[r.doc_id]), rel=1e-4)
 
 
+def test_losses_with_frequent_and_unnumbered_words(spark, small, monkeypatch):
+    """Few words numbered and small slots: frequent words spread over several, other words told by hash."""
+    monkeypatch.setattr(Q, "VOCABULARY", 60)
+    monkeypatch.setattr(Q, "SLOT_BYTES", 10_000)
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("doc_id < 150").select("doc_id", "text")
+    docs = docs.union(docs.select(F.col("doc_id") + 1000, F.concat(F.lit("of the " * 20), F.substring("text", 1, 60))))
+    rows = {r.doc_id: words(r.text) for r in docs.collect()}
+    brute = KneserNey([rows[i] for i in rows if i % 3 == 0])
+    model = Q.train(docs.where("doc_id % 3 = 0"), Q._text_bytes(docs))
+    assert model.slots > 8 and not model.names.closed and 0 < len(model.names.hashes) <= 60 and len(model.names.hot) >= 2
+    got = Q.with_loss(docs, model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.bits == pytest.approx(brute.bits(rows[r.doc_id]), rel=1e-4)
+
+
+def test_quality_deals_little(spark, small):
+    """What is dealt to slots: each place of a text once, in few bytes (each n-gram's key, counts and documents took over 15 a word)."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    model = Q.train(docs.where("doc_id % 7 = 0"), Q._text_bytes(docs))
+    names = spark.sparkContext.broadcast(model.names)
+    dealt = docs.mapInArrow(Q._chunks(names, model.slots, "text"), Q._CHUNK_SCHEMA).agg(F.sum(F.octet_length("data"))).first()[0]
+    n = docs.select(F.sum(F.size(F.split("text", r"\s+")))).first()[0]
+    assert dealt < 7 * n
+
+
 def test_probabilities_sum_to_one():
     texts = [[w.encode() for w in t.split()] for t in ("a b a c", "b a b", "c c a b a", "d a b c")]
     brute = KneserNey(texts)
