@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from flowlens.llm import arrays as A
 from flowlens.llm.common import BROADCAST_ROWS, id_and_text, package_reachable, semi_join, written
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 60_000
 SLOT_BYTES = 32_000_000
 VOCABULARY = 1 << 21
